@@ -1,7 +1,7 @@
 """Query plans by family; importing this package registers every query."""
 
 from . import registry
-from . import star_queries  # noqa: F401
+from . import relational, star_queries  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE
