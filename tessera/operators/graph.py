@@ -101,7 +101,8 @@ def descendants(edges: DataFrame, roots: DataFrame, rel=None, direction: str = "
     per path, as a recursive CTE without a cycle guard.  A graph with a
     cycle would never finish; the loop raises ``DepthExceeded`` after
     ``max_depth`` levels instead of returning a truncated answer."""
-    e = oriented(edges, rel, direction).select(F.col("src").alias("id"), F.col("dst").alias("child"))
+    # the adjacency list is read once per level: materialise it once
+    e = cut_lineage(oriented(edges, rel, direction).select(F.col("src").alias("id"), F.col("dst").alias("child")))
     frontier = roots.select("id")
     levels = []
     for depth in range(1, max_depth + 2):
@@ -124,7 +125,7 @@ def expand(edges: DataFrame, starts: DataFrame, lo: int, hi: int, rel=None, dire
     is the bag of paths), so ``hi`` must be given."""
     if unique not in ("edge", "node"):
         raise ValueError(unique)
-    e = oriented(edges, rel, direction)
+    e = cut_lineage(oriented(edges, rel, direction))
     frontier = starts.select(
         F.col("id").alias("start"),
         F.col("id").alias("end"),
@@ -175,7 +176,7 @@ def shortest_path(edges: DataFrame, a, b, max_hops: int, rel=None, direction: st
     level is one join with the edges and one anti-join with the visited
     set; nothing enumerates paths.  No path within the bound: no row.
     """
-    e = oriented(edges, rel, direction).select(F.col("src").alias("parent"), F.col("dst").alias("id")).distinct()
+    e = cut_lineage(oriented(edges, rel, direction).select(F.col("src").alias("parent"), F.col("dst").alias("id")).distinct())
     spark = edges.sparkSession
     id_type = e.schema["id"].dataType
     start = spark.range(1).select(F.lit(a).cast(id_type).alias("id"), F.lit(None).cast(id_type).alias("parent"), F.lit(0).alias("depth"))
