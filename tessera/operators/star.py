@@ -99,63 +99,71 @@ def scd2_apply(
     surrogate: str | None = None,
     seq: str | None = None,
 ) -> DataFrame:
-    """Apply a change batch to a type-2 dimension in one pass.
+    """Apply a change batch to a type-2 dimension.
 
     ``dim`` carries ``effective_date``, ``expiry_date``, ``is_current``; ``batch``
     carries ``key``, the tracked columns and ``effective`` (the change date).
-    For keys whose tracked values differ (NULL-safe) the current row is
-    expired at ``effective - 1 day`` and a new current version is added;
-    unchanged keys are left as they are (re-applying a batch is a no-op);
-    unknown keys are inserted.  Several batch rows per key: the latest
-    ``effective`` (then ``seq``) wins — a reduction with map-side combine, so a
-    hot key does not land whole in one task.
+    Per key, the current row and the batch changes are put in date order
+    (several changes on one day: the last by ``seq`` wins); a change equal to
+    the version before it (NULL-safe) is a no-op and dropped, every other one
+    becomes a version that expires the day before the next one starts.  So an
+    unchanged key is left alone (re-applying a batch changes nothing), a
+    changed key gets its current row expired at ``change - 1 day`` plus one new
+    version per real change, and unknown keys are inserted.  Untracked
+    attributes of new versions come from the current row; new versions get
+    surrogate keys after the current maximum.
+
+    The batch is first reduced to one row per (key, day) with map-side
+    combine; the per-key window then holds at most one row per day of the
+    batch plus the current row, whatever the batch volume.
     """
-    order = [effective] + ([seq] if seq else [])
-    b = batch.groupBy(key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in tracked + [effective]]), F.struct(*[F.col(c) for c in order])).alias("__b")
-    ).select(key, *[F.col(f"__b.{c}").alias(f"__new_{c}") for c in tracked + [effective]])
-
+    order = [F.col(effective)] + ([F.col(seq)] if seq else [])
     attrs = [c for c in dim.columns if c not in {key, "effective_date", "expiry_date", "is_current"}]
+    other = [c for c in attrs if c not in tracked and c != surrogate]
+    daily = batch.groupBy(key, F.to_date(effective).alias("effective_date")).agg(
+        F.max_by(F.struct(*[F.col(c) for c in tracked]), F.struct(*order)).alias("__v")
+    ).select(key, "effective_date", *[F.col(f"__v.{c}").alias(c) for c in tracked])
+
     cur = dim.filter(F.col("is_current"))
     hist = dim.filter(~F.col("is_current"))
+    touched = daily.select(key).distinct()
+    cur_touched = cur.join(touched, key, "left_semi")
+    untouched = cur.join(touched, key, "left_anti")
 
-    j = cur.join(b, key, "full")
-    has_cur = F.col("effective_date").isNotNull()
-    has_new = F.col(f"__new_{effective}").isNotNull()
-    same = F.lit(True)
+    seqd = cur_touched.select(key, "effective_date", *tracked, F.lit(0).alias("__src")).unionByName(
+        daily.select(key, "effective_date", *tracked, F.lit(1).alias("__src"))
+    )
+    w = Window.partitionBy(key).orderBy("effective_date", "__src")
+    same_prev = F.lit(True)
     for c in tracked:
-        same = same & _same(F.col(c), F.col(f"__new_{c}"))
-    changed = has_cur & has_new & ~same
-    j = j.withColumn("__changed", changed).withColumn("__insert", ~has_cur)
+        same_prev = same_prev & _same(F.col(c), F.lag(c).over(w))
+    first = F.lag("effective_date").over(w).isNull()
+    kept = seqd.withColumn("__keep", (F.col("__src") == 0) | first | ~same_prev).filter("__keep").drop("__keep")
+    nxt = F.lead("effective_date").over(w)
+    kept = kept.withColumn("__next", nxt)
 
-    keep_cols = [key, *attrs, "effective_date", "expiry_date", "is_current"]
-    # current rows: untouched, or expired the day before the change
-    old = j.filter(has_cur).select(
+    # the current rows of changed keys: same row, possibly expired now
+    old = cur_touched.join(kept.filter("__src = 0").select(key, "__next"), key).select(
         key,
         *attrs,
         "effective_date",
-        F.when(F.col("__changed"), F.date_sub(F.col(f"__new_{effective}"), 1)).otherwise(F.col("expiry_date")).alias("expiry_date"),
-        F.when(F.col("__changed"), F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
+        F.coalesce(F.date_sub("__next", 1), F.col("expiry_date")).alias("expiry_date"),
+        F.col("__next").isNull().alias("is_current"),
     )
-    new_attrs = []
-    for c in attrs:
-        if c in tracked:
-            new_attrs.append(F.col(f"__new_{c}").alias(c))
-        elif c == surrogate:
-            new_attrs.append(F.lit(None).cast("long").alias(c))
-        else:
-            new_attrs.append(F.col(c))
-    new = j.filter(F.col("__changed") | F.col("__insert")).select(
+    carry = cur_touched.select(key, *other)
+    new = kept.filter("__src = 1").join(carry, key, "left").select(
         key,
-        *new_attrs,
-        F.col(f"__new_{effective}").cast("date").alias("effective_date"),
-        F.lit(OPEN_END).alias("expiry_date"),
-        F.lit(True).alias("is_current"),
+        *tracked,
+        *other,
+        "effective_date",
+        F.coalesce(F.date_sub("__next", 1), F.lit(OPEN_END)).alias("expiry_date"),
+        F.col("__next").isNull().alias("is_current"),
     )
     if surrogate:
         base = dim.agg(F.max(surrogate).alias("m"))
-        new = number_rows(new.drop(surrogate), [key], surrogate, base=base)
-    return hist.select(*keep_cols).unionByName(old.select(*keep_cols)).unionByName(new.select(*keep_cols))
+        new = number_rows(new, [key, "effective_date"], surrogate, base=base)
+    keep_cols = [key, *attrs, "effective_date", "expiry_date", "is_current"]
+    return hist.select(*keep_cols).unionByName(untouched.select(*keep_cols)).unionByName(old.select(*keep_cols)).unionByName(new.select(*keep_cols))
 
 
 def scd2_from_changes(df: DataFrame, key: str, tracked: list[str], ts: str, order: str | None = None) -> DataFrame:
