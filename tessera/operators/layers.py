@@ -43,6 +43,17 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def publish(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> DataFrame:
+    """Managed table by name (``saveAsTable``), read back with ``spark.table``.
+    ``name`` may be qualified (``schema.table``); the schema is created if
+    missing (``USE``-free: callers pass the qualified name)."""
+    spark = df.sparkSession
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    df.write.format(fmt).mode(mode).saveAsTable(name)
+    return spark.table(name)
+
+
 # --------------------------------------------------------------------------- medallion steps
 def to_silver(df: DataFrame, casts: dict[str, str], key: list[str], order: list[str] | None = None) -> DataFrame:
     """Typed, de-duplicated layer: apply ``casts`` then keep one row per

@@ -1,0 +1,97 @@
+"""Declared schemas (the DDL of the modelled tables), applied before loads.
+
+Parquet has no table constraints; NOT NULL / UNIQUE / CHECK / FOREIGN KEY
+are enforced by ``operators.quality`` checks instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+    ArrayType,
+    DoubleType,
+)
+
+
+def _s(*fields) -> StructType:
+    return StructType([StructField(n, t, nullable) for n, t, nullable in fields])
+
+
+DIM_DATE = _s(
+    ("date_key", IntegerType(), False),
+    ("full_date", DateType(), False),
+    ("day_of_week", StringType(), False),
+    ("day_num_in_week", ShortType(), False),
+    ("day_num_in_month", ShortType(), False),
+    ("day_num_in_year", ShortType(), False),
+    ("calendar_week", ShortType(), False),
+    ("calendar_month", StringType(), False),
+    ("month_num", ShortType(), False),
+    ("calendar_quarter", StringType(), False),
+    ("calendar_year", ShortType(), False),
+    ("is_weekend", BooleanType(), False),
+)
+
+DIM_CUSTOMER_SCD2 = _s(
+    ("customer_key", LongType(), False),
+    ("customer_durable_id", StringType(), False),
+    ("full_name", StringType(), True),
+    ("city", StringType(), True),
+    ("segment", StringType(), True),
+    ("effective_date", DateType(), False),
+    ("expiry_date", DateType(), False),
+    ("is_current", BooleanType(), False),
+)
+
+FACT_RETAIL_SALES = _s(
+    ("date_key", IntegerType(), False),
+    ("product_key", IntegerType(), False),
+    ("store_key", IntegerType(), False),
+    ("customer_key", IntegerType(), False),
+    ("promotion_key", IntegerType(), False),
+    ("pos_transaction_number", StringType(), True),
+    ("sales_quantity", IntegerType(), False),
+    ("unit_price", DecimalType(10, 2), False),
+    ("sales_amount", DecimalType(10, 2), False),
+    ("cost_amount", DecimalType(10, 2), False),
+    ("gross_profit_amount", DecimalType(10, 2), False),
+)
+
+DIM_PACKAGE = _s(
+    ("package_key", LongType(), False),
+    ("package_name", StringType(), False),
+    ("normalized_package_name", StringType(), False),
+    ("author_email", StringType(), True),
+)
+
+PYPI_DOCUMENT = _s(
+    ("info", _s(("name", StringType(), True), ("author_email", StringType(), True)), True),
+    ("package_name", StringType(), True),
+)
+
+OSV_DOCUMENT = _s(
+    ("package", StringType(), True),
+    ("source", StringType(), True),
+)
+
+INVENTORY_DOCUMENT = _s(
+    ("item", StringType(), True),
+    ("qty", IntegerType(), True),
+    ("status", StringType(), True),
+    ("tags", ArrayType(StringType()), True),
+    ("dim_cm", ArrayType(DoubleType()), True),
+    ("size", _s(("h", DoubleType(), True), ("w", DoubleType(), True), ("uom", StringType(), True)), True),
+    ("lastModified", TimestampType(), True),
+)
+
+GRAPH_NODES = _s(("id", StringType(), False), ("label", StringType(), False), ("name", StringType(), True))
+GRAPH_EDGES = _s(("eid", LongType(), False), ("src", StringType(), False), ("dst", StringType(), False), ("rel", StringType(), False))

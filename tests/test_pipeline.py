@@ -114,3 +114,15 @@ def test_normalise_round_trip(spark):
     assert parts["courses"].count() == 2
     lect = spark.createDataFrame([(1, 1, "Math"), (2, 1, "Physics"), (3, 2, "Math")], "student_id int, lecturer int, course string")
     assert normalise.fd_violations(lect, ["lecturer"], "course").collect()[0].lecturer == 1
+
+
+def test_managed_tables_by_name(spark):
+    raw = _lab(spark)
+    bronze = layers.publish(raw, "lab_bronze.orders")
+    assert bronze.count() == 4
+    silver = layers.publish(layers.to_silver(spark.table("lab_bronze.orders"), {"amount": "decimal(12,2)"}, ["order_id"]), "lab_silver.orders")
+    spark.sql("USE lab_silver")
+    gold = spark.sql("SELECT customer_id, SUM(amount) AS total FROM orders GROUP BY customer_id")
+    assert {r.customer_id: float(r.total) for r in gold.collect()} == {"C01": 190.5, "C02": 25.0, "C03": 220.0}
+    spark.sql("USE default")
+    assert silver.count() == 4
