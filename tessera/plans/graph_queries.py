@@ -56,8 +56,17 @@ _TREE_SQL = """
 tree AS (SELECT c_custkey AS id, CAST(floor((c_custkey - 1) / 10.0) AS BIGINT) AS parent FROM customer WHERE c_custkey > 0)"""
 
 
-def _tid(prefix, c):
-    return F.concat(F.lit(prefix + ":"), F.col(c).cast("string"))
+# Typed node ids are longs: key * 8 + kind code (fixed values below), so the
+# id space of all kinds is shared without string keys in shuffles and joins.
+KIND_CODE = {"supplier": 1, "customer": 2, "part": 3, "nation": 4, "region": 5}
+
+
+def typed_id(kind: str, key: int) -> int:
+    return key * 8 + KIND_CODE[kind]
+
+
+def _tid(kind, c):
+    return F.col(c).cast("long") * 8 + KIND_CODE[kind]
 
 
 def typed_graph(t):
@@ -86,18 +95,18 @@ def typed_graph(t):
 
 _TYPED_SQL = """
 nodes AS (
-  SELECT 'supplier:' || CAST(s_suppkey AS VARCHAR) AS id, 'Supplier' AS label, s_name AS name FROM supplier
-  UNION ALL SELECT 'customer:' || CAST(c_custkey AS VARCHAR), 'Customer', c_name FROM customer
-  UNION ALL SELECT 'part:' || CAST(p_partkey AS VARCHAR), 'Part', p_name FROM part
-  UNION ALL SELECT 'nation:' || CAST(n_nationkey AS VARCHAR), 'Nation', n_name FROM nation
-  UNION ALL SELECT 'region:' || CAST(r_regionkey AS VARCHAR), 'Region', r_name FROM region
+  SELECT s_suppkey * 8 + 1 AS id, 'Supplier' AS label, s_name AS name FROM supplier
+  UNION ALL SELECT c_custkey * 8 + 2, 'Customer', c_name FROM customer
+  UNION ALL SELECT p_partkey * 8 + 3, 'Part', p_name FROM part
+  UNION ALL SELECT n_nationkey * 8 + 4, 'Nation', n_name FROM nation
+  UNION ALL SELECT r_regionkey * 8 + 5, 'Region', r_name FROM region
 ), edges AS (
-  SELECT 'supplier:' || CAST(s_suppkey AS VARCHAR) AS src, 'nation:' || CAST(s_nationkey AS VARCHAR) AS dst, 'IN' AS rel FROM supplier
-  UNION ALL SELECT 'customer:' || CAST(c_custkey AS VARCHAR), 'nation:' || CAST(c_nationkey AS VARCHAR), 'IN' FROM customer
-  UNION ALL SELECT 'nation:' || CAST(n_nationkey AS VARCHAR), 'region:' || CAST(n_regionkey AS VARCHAR), 'IN' FROM nation
-  UNION ALL SELECT DISTINCT 'customer:' || CAST(o.o_custkey AS VARCHAR), 'part:' || CAST(l.l_partkey AS VARCHAR), 'BOUGHT'
+  SELECT s_suppkey * 8 + 1 AS src, s_nationkey * 8 + 4 AS dst, 'IN' AS rel FROM supplier
+  UNION ALL SELECT c_custkey * 8 + 2, c_nationkey * 8 + 4, 'IN' FROM customer
+  UNION ALL SELECT n_nationkey * 8 + 4, n_regionkey * 8 + 5, 'IN' FROM nation
+  UNION ALL SELECT DISTINCT o.o_custkey * 8 + 2, l.l_partkey * 8 + 3, 'BOUGHT'
             FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  UNION ALL SELECT DISTINCT 'supplier:' || CAST(l_suppkey AS VARCHAR), 'part:' || CAST(l_partkey AS VARCHAR), 'SUPPLIES' FROM lineitem
+  UNION ALL SELECT DISTINCT l_suppkey * 8 + 1, l_partkey * 8 + 3, 'SUPPLIES' FROM lineitem
 )"""
 
 # --------------------------------------------------------------------------- typed-graph patterns
@@ -147,14 +156,14 @@ def q_graph_link(spark, sf_dir):
     f"""
 WITH {_TYPED_SQL}
 SELECT c.id, c.name FROM edges e JOIN nodes c ON e.src = c.id
-WHERE e.rel = 'IN' AND e.dst = 'nation:7' AND c.label = 'Customer'
+WHERE e.rel = 'IN' AND e.dst = 7 * 8 + 4 AND c.label = 'Customer'
 """,
 )
 def q_graph_one_hop(spark, sf_dir):
-    """``MATCH (c:Customer)-[:IN]->(:Nation {id: 7}) RETURN c`` — one hop in
+    """``MATCH (c:Customer)-[:IN]->(:Nation {key: 7}) RETURN c`` — one hop in
     against the edge direction from the anchored nation."""
     nodes, edges = typed_graph(Tables(spark, sf_dir))
-    anchor = nodes.filter(F.col("id") == "nation:7").select("id")
+    anchor = nodes.filter(F.col("id") == typed_id("nation", 7)).select("id")
     hits = graph.hop(anchor, edges, rel="IN", direction="in").select(F.col("nbr").alias("id"))
     return hits.join(nodes.filter(F.col("label") == "Customer"), "id").select("id", "name")
 
@@ -203,7 +212,7 @@ def q_graph_chain(spark, sf_dir):
 WITH {_TYPED_SQL}
 SELECT e1.src AS customer, e2.dst AS region
 FROM edges e1 JOIN edges e2 ON e1.dst = e2.src
-WHERE e1.rel = 'IN' AND e2.rel = 'IN' AND e1.src LIKE 'customer:%'
+WHERE e1.rel = 'IN' AND e2.rel = 'IN' AND e1.src % 8 = 2
 """,
 )
 def q_graph_two_hop_sql(spark, sf_dir):
@@ -211,7 +220,7 @@ def q_graph_two_hop_sql(spark, sf_dir):
     form of the chain): each customer's region through its nation."""
     _, edges = typed_graph(Tables(spark, sf_dir))
     e = edges.filter(F.col("rel") == "IN")
-    e1 = e.filter(F.col("src").startswith("customer:")).select(F.col("src").alias("customer"), F.col("dst").alias("mid"))
+    e1 = e.filter(F.col("src") % 8 == KIND_CODE["customer"]).select(F.col("src").alias("customer"), F.col("dst").alias("mid"))
     e2 = e.select(F.col("src").alias("mid"), F.col("dst").alias("region"))
     return e1.join(e2, "mid").select("customer", "region")
 
@@ -251,18 +260,18 @@ def q_graph_collect(spark, sf_dir):
 WITH {_TYPED_SQL}, ue AS (
   SELECT src, dst, rel, src AS a, dst AS b FROM edges UNION ALL SELECT src, dst, rel, dst AS a, src AS b FROM edges
 ), two AS (
-  SELECT e1.b AS id FROM ue e1 WHERE e1.a = 'nation:3'
+  SELECT e1.b AS id FROM ue e1 WHERE e1.a = 3 * 8 + 4
   UNION ALL
   SELECT e2.b FROM ue e1 JOIN ue e2 ON e1.b = e2.a
-  WHERE e1.a = 'nation:3' AND NOT (e1.src = e2.src AND e1.dst = e2.dst AND e1.rel = e2.rel)
+  WHERE e1.a = 3 * 8 + 4 AND NOT (e1.src = e2.src AND e1.dst = e2.dst AND e1.rel = e2.rel)
 )
 SELECT DISTINCT n.label AS kind, n.id, n.name FROM two JOIN nodes n ON two.id = n.id
 """,
 )
 def q_neighbourhood(spark, sf_dir):
-    """``MATCH (b {id: 'nation:3'})-[*1..2]-(ctx) RETURN DISTINCT label(ctx), ctx``."""
+    """``MATCH (b:Nation {key: 3})-[*1..2]-(ctx) RETURN DISTINCT label(ctx), ctx``."""
     nodes, edges = typed_graph(Tables(spark, sf_dir))
-    ctx = graph.neighbourhood(nodes, edges, "nation:3", 1, 2)
+    ctx = graph.neighbourhood(nodes, edges, typed_id("nation", 3), 1, 2)
     return ctx.select(F.col("label").alias("kind"), "id", "name")
 
 

@@ -142,7 +142,8 @@ def _write_array_files(spark, docs, path):
     file, with stray commas between items as the source files have)."""
     n = docs.count()
     buckets = max(1, -(-n // ROWS_PER_FILE))
-    j = docs.select(F.to_json(F.struct(*docs.columns)).alias("j"), (F.xxhash64(*docs.columns) % buckets).alias("b"))
+    # bucket by row position, not content: identical rows must not pile up in one file
+    j = docs.select(F.to_json(F.struct(*docs.columns)).alias("j"), (F.monotonically_increasing_id() % buckets).alias("b"))
     arrays = j.repartition(buckets, "b").groupBy("b").agg(
         F.concat(F.lit("[ ,"), F.array_join(F.collect_list("j"), ",\n ,"), F.lit(",]")).alias("value")
     )

@@ -93,5 +93,5 @@ INVENTORY_DOCUMENT = _s(
     ("lastModified", TimestampType(), True),
 )
 
-GRAPH_NODES = _s(("id", StringType(), False), ("label", StringType(), False), ("name", StringType(), True))
-GRAPH_EDGES = _s(("eid", LongType(), False), ("src", StringType(), False), ("dst", StringType(), False), ("rel", StringType(), False))
+GRAPH_NODES = _s(("id", LongType(), False), ("label", StringType(), False), ("name", StringType(), True))
+GRAPH_EDGES = _s(("eid", LongType(), False), ("src", LongType(), False), ("dst", LongType(), False), ("rel", StringType(), False))
