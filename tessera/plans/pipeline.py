@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import changes, layers
+from ..operators import layers
 from ..sources.ingest import read_json_array
 from ..sources.tables import Tables
 from .registry import register
