@@ -57,16 +57,27 @@ def label_inventory(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return v.unionByName(e).select("name", "kind", "num")
 
 
-def oriented(edges: DataFrame, rel=None, direction: str = "out") -> DataFrame:
-    """Edges as (eid, src, dst) for traversal: typed (``rel`` a name or list),
-    reversed for ``in``, both ways for ``both`` (each copy keeps its eid so
-    edge-uniqueness still holds)."""
+def typed(edges: DataFrame, rel=None) -> DataFrame:
+    """(eid, src, dst) of the edges of type ``rel`` (a name, a list, or all)."""
     e = edges
     if rel is not None:
         rels = [rel] if isinstance(rel, str) else list(rel)
         e = e.filter(F.col("rel").isin(*rels))
-    fwd = e.select("eid", "src", "dst")
-    rev = e.select("eid", F.col("dst").alias("src"), F.col("src").alias("dst"))
+    return e.select("eid", "src", "dst")
+
+
+def _materialised(edges: DataFrame, rel, direction: str) -> DataFrame:
+    """The traversal's edge list, written once to the checkpoint folder (it
+    is read at every level) and oriented lazily (a scan, not a second copy)."""
+    return oriented(cut_lineage(typed(edges, rel)), None, direction)
+
+
+def oriented(edges: DataFrame, rel=None, direction: str = "out") -> DataFrame:
+    """Edges as (eid, src, dst) for traversal: typed (``rel`` a name or list),
+    reversed for ``in``, both ways for ``both`` (each copy keeps its eid so
+    edge-uniqueness still holds)."""
+    fwd = typed(edges, rel)
+    rev = fwd.select("eid", F.col("dst").alias("src"), F.col("src").alias("dst"))
     if direction == "out":
         return fwd
     if direction == "in":
@@ -102,7 +113,7 @@ def descendants(edges: DataFrame, roots: DataFrame, rel=None, direction: str = "
     cycle would never finish; the loop raises ``DepthExceeded`` after
     ``max_depth`` levels instead of returning a truncated answer."""
     # the adjacency list is read once per level: materialise it once
-    e = cut_lineage(oriented(edges, rel, direction).select(F.col("src").alias("id"), F.col("dst").alias("child")))
+    e = _materialised(edges, rel, direction).select(F.col("src").alias("id"), F.col("dst").alias("child"))
     frontier = roots.select("id")
     levels = []
     for depth in range(1, max_depth + 2):
@@ -125,7 +136,7 @@ def expand(edges: DataFrame, starts: DataFrame, lo: int, hi: int, rel=None, dire
     is the bag of paths), so ``hi`` must be given."""
     if unique not in ("edge", "node"):
         raise ValueError(unique)
-    e = cut_lineage(oriented(edges, rel, direction))
+    e = _materialised(edges, rel, direction)
     frontier = starts.select(
         F.col("id").alias("start"),
         F.col("id").alias("end"),
@@ -145,6 +156,9 @@ def expand(edges: DataFrame, starts: DataFrame, lo: int, hi: int, rel=None, dire
             F.array_append("nodes", F.col("dst")).alias("nodes"),
             F.array_append("eids", F.col("eid")).alias("eids"),
         )
+        if h == hi:  # last level: one join on a checkpointed frontier, nothing reads it again
+            out.append(frontier.withColumn("hops", F.lit(h)))
+            break
         frontier = cut_lineage(frontier)
         if h >= lo:
             out.append(frontier.withColumn("hops", F.lit(h)))
@@ -176,23 +190,32 @@ def shortest_path(edges: DataFrame, a, b, max_hops: int, rel=None, direction: st
     level is one join with the edges and one anti-join with the visited
     set; nothing enumerates paths.  No path within the bound: no row.
     """
-    e = cut_lineage(oriented(edges, rel, direction).select(F.col("src").alias("parent"), F.col("dst").alias("id")).distinct())
+    e = _materialised(edges, rel, direction).select(F.col("src").alias("parent"), F.col("dst").alias("id")).distinct()
     spark = edges.sparkSession
     id_type = e.schema["id"].dataType
     start = spark.range(1).select(F.lit(a).cast(id_type).alias("id"), F.lit(None).cast(id_type).alias("parent"), F.lit(0).alias("depth"))
-    visited = cut_lineage(start)
-    frontier = visited.select(F.col("id").alias("parent"))
+    levels = [cut_lineage(start)]
+    frontier = levels[0].select(F.col("id").alias("parent"))
     found = a == b
+    target_hit = F.max((F.col("id") == F.lit(b).cast(id_type)).cast("int"))
     for d in range(1, max_hops + 1):
         if found:
             break
-        cand = frontier.join(e, "parent").join(visited.select("id"), "id", "left_anti")
+        seen = levels[0].select("id")
+        for lv in levels[1:]:
+            seen = seen.unionByName(lv.select("id"))
+        cand = frontier.join(e, "parent").join(seen, "id", "left_anti")
         new = cut_lineage(cand.groupBy("id").agg(F.min("parent").alias("parent")).withColumn("depth", F.lit(d)))
-        if new.isEmpty():
+        # one small action per level: is the level empty, does it hold the target?
+        stats = new.agg(F.count(F.lit(1)).alias("n"), target_hit.alias("hit")).first()
+        if stats.n == 0:
             break
-        visited = cut_lineage(visited.unionByName(new))
-        found = not new.filter(F.col("id") == F.lit(b).cast(id_type)).isEmpty()
+        levels.append(new)
+        found = stats.hit == 1
         frontier = new.select(F.col("id").alias("parent"))
+    visited = levels[0]
+    for lv in levels[1:]:
+        visited = visited.unionByName(lv)
     target = visited.filter(F.col("id") == F.lit(b).cast(id_type))
     if not found:
         return target.select(F.array(F.col("id")).alias("nodes"), F.col("depth").alias("hops")).limit(0)
