@@ -87,58 +87,90 @@ def as_of_version(changes: DataFrame, key: list[str], version: int | None = None
     return latest.filter(F.col("__r." + OP) != "DELETE").select(*key, *[F.col(f"__r.{x}").alias(x) for x in cols])
 
 
-def record_update(changes: DataFrame, key: list[str], cond, sets: dict) -> DataFrame:
-    """``UPDATE t SET ... WHERE cond`` as new change records at
-    ``max(_version) + 1``; only rows that match emit a record."""
+def record_update(changes: DataFrame, key: list[str], cond, sets: dict, version: int | None = None) -> DataFrame:
+    """``UPDATE t SET ... WHERE cond`` as new change records at ``version``
+    (default ``max(_version) + 1``); only rows that match emit a record."""
     cur = as_of_version(changes, key)
     hit = F.coalesce(F.expr(cond) if isinstance(cond, str) else cond, F.lit(False))
     upd = cur.filter(hit).withColumns({k: (v if isinstance(v, Column) else F.lit(v)) for k, v in sets.items()})
-    return upd.select(_next_version(changes).alias(VERSION), F.lit("UPDATE").alias(OP), *cur.columns)
+    v = _next_version(changes) if version is None else F.lit(version).cast("long")
+    return upd.select(v.alias(VERSION), F.lit("UPDATE").alias(OP), *cur.columns)
 
 
-def record_delete(changes: DataFrame, key: list[str], cond) -> DataFrame:
-    """``DELETE FROM t WHERE cond`` as tombstone records at the next version."""
+def record_delete(changes: DataFrame, key: list[str], cond, version: int | None = None) -> DataFrame:
+    """``DELETE FROM t WHERE cond`` as tombstone records at ``version``."""
     cur = as_of_version(changes, key)
     hit = F.coalesce(F.expr(cond) if isinstance(cond, str) else cond, F.lit(False))
-    return cur.filter(hit).select(_next_version(changes).alias(VERSION), F.lit("DELETE").alias(OP), *cur.columns)
+    v = _next_version(changes) if version is None else F.lit(version).cast("long")
+    return cur.filter(hit).select(v.alias(VERSION), F.lit("DELETE").alias(OP), *cur.columns)
 
 
 def history(changes: DataFrame) -> DataFrame:
-    """One row per version: operation and number of affected rows (the
-    table-history listing)."""
+    """One row per version present in a change DataFrame: operation and
+    number of affected rows (the table-history listing)."""
     return changes.groupBy(VERSION, OP).agg(F.count(F.lit(1)).alias("num_affected_rows")).select(
         F.col(VERSION).alias("version"), F.col(OP).alias("operation"), "num_affected_rows"
     )
 
 
 class VersionedTable:
-    """A change table stored at ``path`` partitioned by version.
-
-    ``commit`` appends one version's records as a new partition folder, so
-    earlier versions are never rewritten; the append goes through Spark's
-    job commit protocol, so a failed commit leaves no partial version.
+    """A change table stored at ``path`` partitioned by version, plus a
+    commit log (``path/_commits``, one row per version).
+
+    Every operation is a version, also one that changes no row.  A commit
+    first appends the version's records (a new partition folder; earlier
+    versions are never rewritten), then its commit-log row.  Readers only
+    see versions present in the commit log, so a failed or half-finished
+    commit is invisible.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: list[str]):
-        self.spark, self.path, self.key = spark, path, key
+        self.spark, self.path, self.key = spark, path.rstrip("/"), key
+        self.log_path = self.path + "/_commits"
+
+    def _log(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.log_path)
+        except Exception:  # noqa: BLE001 - nothing committed yet
+            return None
+
+    def last_version(self) -> int:
+        log = self._log()
+        if log is None:
+            return -1
+        v = log.agg(F.max("version")).first()[0]
+        return -1 if v is None else int(v)
 
     def changes(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        """Change records of committed versions only."""
+        data = self.spark.read.parquet(self.path)
+        return data.filter(F.col(VERSION) <= self.last_version())
 
-    def commit(self, records: DataFrame) -> None:
+    def commit(self, make_records, operation: str) -> int:
+        version = self.last_version() + 1
+        records = make_records(version)
         records.write.mode("append").partitionBy(VERSION).parquet(self.path)
+        written = self.spark.read.parquet(self.path).filter(F.col(VERSION) == version).count()
+        entry = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"), F.lit(operation).alias("operation"), F.lit(written).cast("long").alias("num_affected_rows")
+        )
+        entry.write.mode("append").parquet(self.log_path)
+        return version
 
-    def write(self, df: DataFrame) -> None:
-        self.commit(initial_write(df))
+    def write(self, df: DataFrame) -> int:
+        return self.commit(lambda v: initial_write(df, v), "WRITE")
 
-    def update(self, cond, sets: dict) -> None:
-        self.commit(record_update(self.changes(), self.key, cond, sets))
+    def update(self, cond, sets: dict) -> int:
+        return self.commit(lambda v: record_update(self.changes(), self.key, cond, sets, version=v), "UPDATE")
 
-    def delete(self, cond) -> None:
-        self.commit(record_delete(self.changes(), self.key, cond))
+    def delete(self, cond) -> int:
+        return self.commit(lambda v: record_delete(self.changes(), self.key, cond, version=v), "DELETE")
 
     def read(self, version: int | None = None) -> DataFrame:
         return as_of_version(self.changes(), self.key, version)
 
     def history(self) -> DataFrame:
-        return history(self.changes())
+        log = self._log()
+        if log is None:
+            return self.spark.createDataFrame([], "version long, operation string, num_affected_rows long")
+        return log.select("version", "operation", "num_affected_rows")

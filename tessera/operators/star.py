@@ -109,7 +109,8 @@ def scd2_apply(
     becomes a version that expires the day before the next one starts.  So an
     unchanged key is left alone (re-applying a batch changes nothing), a
     changed key gets its current row expired at ``change - 1 day`` plus one new
-    version per real change, and unknown keys are inserted.  Untracked
+    version per real change, and unknown keys are inserted.  Changes dated
+    on or before the current version's start are ignored.  Untracked
     attributes of new versions come from the current row; new versions get
     surrogate keys after the current maximum.
 
@@ -133,6 +134,12 @@ def scd2_apply(
     seqd = cur_touched.select(key, "effective_date", *tracked, F.lit(0).alias("__src")).unionByName(
         daily.select(key, "effective_date", *tracked, F.lit(1).alias("__src"))
     )
+    # changes dated on or before the current version's start are already
+    # history: they are ignored (history is not rewritten)
+    cur_start = F.max(F.when(F.col("__src") == 0, F.col("effective_date"))).over(Window.partitionBy(key))
+    seqd = seqd.withColumn("__cur_start", cur_start).filter(
+        (F.col("__src") == 0) | F.col("__cur_start").isNull() | (F.col("effective_date") > F.col("__cur_start"))
+    ).drop("__cur_start")
     w = Window.partitionBy(key).orderBy("effective_date", "__src")
     same_prev = F.lit(True)
     for c in tracked:
