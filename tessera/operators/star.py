@@ -74,15 +74,15 @@ def lookup_key(fact: DataFrame, dim: DataFrame, on: list[str], key_col: str, unk
     return fact.join(m, on, "left").withColumn(key_col, F.coalesce(F.col(key_col), F.lit(unknown)))
 
 
-def build_fact(src: DataFrame, lookups: list[tuple[DataFrame, list[str], str]], measures: dict, keep: list[str]) -> DataFrame:
-    """Fact rows: every (dim, natural key, surrogate column) lookup, then the
-    derived measures (name -> Column) and the kept degenerate columns."""
+def build_fact(src: DataFrame, lookups: list[tuple], measures: dict, keep: list) -> DataFrame:
+    """Fact rows: every ``(dim, natural key, surrogate column[, unknown key])``
+    lookup (unmatched -> the placeholder, default 0), then the derived
+    measures (name -> Column), with the kept degenerate columns first."""
     out = src
-    for dim, on, key_col in lookups:
-        out = lookup_key(out, dim, on, key_col)
-    for name, expr in measures.items():
-        out = out.withColumn(name, expr)
-    return out.select(*keep, *[k for _, _, k in lookups], *measures.keys())
+    for dim, on, key_col, *unknown in lookups:
+        out = lookup_key(out, dim, on, key_col, *(unknown or [0]))
+    out = out.withColumns(measures)
+    return out.select(*keep, *[lk[2] for lk in lookups], *measures.keys())
 
 
 # --------------------------------------------------------------------------- type-2 history

@@ -31,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.local.dir", os.path.join(scratch, "local"))
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
