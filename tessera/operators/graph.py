@@ -175,8 +175,9 @@ def expand(edges: DataFrame, starts: DataFrame, lo: int, hi: int, rel=None, dire
 def suggest_links(edges: DataFrame, anchors: DataFrame, rel=None) -> DataFrame:
     """Friends-of-friends: nodes within 1..2 hops of each anchor, not the
     anchor itself, not already linked to it; distinct (anchor, candidate)."""
-    paths = expand(edges, anchors, 1, 2, rel=rel, direction="out", unique="edge")
-    direct = oriented(edges, rel, "out").select(F.col("src").alias("start"), F.col("dst").alias("end"))
+    e = cut_lineage(typed(edges, rel))  # read by both the expansion and the anti-join
+    paths = expand(e, anchors, 1, 2, direction="out", unique="edge")
+    direct = e.select(F.col("src").alias("start"), F.col("dst").alias("end"))
     cand = paths.filter(F.col("end") != F.col("start")).select("start", "end")
     return cand.join(direct, ["start", "end"], "left_anti").distinct()
 

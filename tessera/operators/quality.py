@@ -63,14 +63,22 @@ def required_text(c) -> Column:
     return ~is_blank(col)
 
 
-def split(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantine); ``rules`` maps a reason to a predicate that good
-    rows satisfy.  Quarantine rows carry the first failing reason."""
+def tag(df: DataFrame, rules: dict[str, Column], col: str = "reason") -> DataFrame:
+    """Add ``col`` = the first failing rule's name (NULL for good rows) in
+    one pass; ``rules`` maps a reason to a predicate good rows satisfy.
+    Writing the tagged rows once, partitioned by ``col``, lands good and
+    quarantined rows from a single scan."""
     reason = None
     for name, ok in rules.items():
         fail = ~F.coalesce(ok, F.lit(False))
         reason = F.when(fail, F.lit(name)) if reason is None else reason.when(fail, F.lit(name))
-    tagged = df.withColumn("__reason", reason)
+    return df.withColumn(col, reason)
+
+
+def split(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantine) views of ``tag``; quarantine rows carry the first
+    failing reason."""
+    tagged = tag(df, rules, "__reason")
     good = tagged.filter(F.col("__reason").isNull()).drop("__reason")
     bad = tagged.filter(F.col("__reason").isNotNull()).withColumnRenamed("__reason", "reason")
     return good, bad

@@ -443,8 +443,8 @@ def q_quarantine(spark, sf_dir):
     t = Tables(spark, sf_dir)
     k = F.col("doc_id") % 7
     d = t.documents.select("doc_id", F.when(k == 0, F.lit("")).when(k == 1, F.lit("  ")).otherwise(F.col("source")).alias("package"))
-    good, bad = quality.split(d, {"missing package": quality.required_text("package")})
-    return good.withColumn("status", F.lit("ok")).unionByName(bad.withColumnRenamed("reason", "status"))
+    tagged = quality.tag(d, {"missing package": quality.required_text("package")}, "status")
+    return tagged.withColumn("status", F.coalesce(F.col("status"), F.lit("ok")))
 
 
 @register(
