@@ -139,3 +139,19 @@ def q_doc_cond_group(spark, sf_dir):
         out(F.sum(money("value"))).alias("total_value"),
     )
     return g.orderBy("_id")
+
+
+@register(
+    "q_doc_pipeline_limit",
+    """
+SELECT event_id, event_type, value FROM events
+WHERE event_type IN ('click', 'view', 'purchase')
+ORDER BY event_id LIMIT 3
+""",
+)
+def q_doc_pipeline_limit(spark, sf_dir):
+    """``$match {$in}`` -> ``$project`` -> ``$limit: 3``; the store's natural
+    order is replaced by the document key so the three are well defined."""
+    t = Tables(spark, sf_dir)
+    m = t.events.filter(F.col("event_type").isin("click", "view", "purchase")).select("event_id", "event_type", "value")
+    return m.orderBy("event_id").limit(3)
