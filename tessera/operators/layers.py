@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -127,6 +127,7 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, key: list[str]):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
         self.log_path = self.path + "/_commits"
+        self._last: int | None = None  # known after this writer's own commits
 
     def _log(self) -> DataFrame | None:
         try:
@@ -135,11 +136,12 @@ class VersionedTable:
             return None
 
     def last_version(self) -> int:
+        if self._last is not None:
+            return self._last
         log = self._log()
-        if log is None:
-            return -1
-        v = log.agg(F.max("version")).first()[0]
-        return -1 if v is None else int(v)
+        v = None if log is None else log.agg(F.max("version")).first()[0]
+        self._last = -1 if v is None else int(v)
+        return self._last
 
     def changes(self) -> DataFrame:
         """Change records of committed versions only."""
@@ -148,13 +150,15 @@ class VersionedTable:
 
     def commit(self, make_records, operation: str) -> int:
         version = self.last_version() + 1
-        records = make_records(version)
-        records.write.mode("append").partitionBy(VERSION).parquet(self.path)
-        written = self.spark.read.parquet(self.path).filter(F.col(VERSION) == version).count()
+        # the row count is observed while writing: no second pass
+        seen = Observation(f"commit_{version}")
+        make_records(version).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(VERSION).parquet(self.path)
+        written = int(seen.get.get("n", 0))
         entry = self.spark.range(1).select(
             F.lit(version).cast("long").alias("version"), F.lit(operation).alias("operation"), F.lit(written).cast("long").alias("num_affected_rows")
         )
         entry.write.mode("append").parquet(self.log_path)
+        self._last = version
         return version
 
     def write(self, df: DataFrame) -> int:
