@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.money import money, out, units
 from ..functions.names import composite_id, first_present, normalise_name, to_text
 from ..operators import changes, normalise, quality
+from ..operators.joins import REFERENCE_TABLE_ROWS, broadcast_if_small
 from ..sources.tables import Tables
 from .registry import register
 
@@ -513,7 +514,7 @@ def q_normalise_3nf(spark, sf_dir):
     """The transitive attribute (customer -> nation -> name, region) moved to
     its own table, taken from the wide customer rows."""
     t = Tables(spark, sf_dir)
-    n = F.broadcast(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey"))
+    n = broadcast_if_small(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey"), REFERENCE_TABLE_ROWS)
     wide = t.customer.select("c_custkey", "c_nationkey").join(n, "c_nationkey")
     return normalise.split_entities(wide, {"nation": ["c_nationkey", "n_name", "n_regionkey"]})["nation"]
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import graph
+from ..operators.joins import REFERENCE_TABLE_ROWS, broadcast_if_small
 from ..sources.tables import Tables
 from .registry import register
 
@@ -146,7 +147,7 @@ def q_graph_link(spark, sf_dir):
     for each (customer name, nation name) pair of the source rows."""
     t = Tables(spark, sf_dir)
     nodes, _ = typed_graph(t)
-    pairs = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_name", "n_name")
+    pairs = t.customer.join(broadcast_if_small(t.nation, REFERENCE_TABLE_ROWS), F.col("c_nationkey") == F.col("n_nationkey")).select("c_name", "n_name")
     e = graph.link(pairs, nodes, ("Customer", "name", "c_name"), ("Nation", "name", "n_name"), "IN")
     return e.select("src", "dst", "rel")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import money, out, ratio, units
 from ..session import cut_lineage
+from ..operators.joins import REFERENCE_TABLE_ROWS, broadcast_if_small
 from ..sources.tables import Tables
 from .registry import register
 
@@ -199,8 +200,7 @@ def q_filter_topk(spark, sf_dir):
 def q_join_inner(spark, sf_dir):
     t = Tables(spark, sf_dir)
     n = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    # nation: 25 rows by definition of the schema -> broadcast is bounded.
-    return t.customer.join(F.broadcast(n), "c_nationkey").select("c_custkey", "c_name", "n_name")
+    return t.customer.join(broadcast_if_small(n, REFERENCE_TABLE_ROWS), "c_nationkey").select("c_custkey", "c_name", "n_name")
 
 
 @register(
@@ -302,7 +302,7 @@ def q_join_chain(spark, sf_dir):
     )
     o = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     c = t.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    nat = F.broadcast(t.nation.select("n_nationkey", "n_name"))  # 25 rows
+    nat = broadcast_if_small(t.nation.select("n_nationkey", "n_name"), REFERENCE_TABLE_ROWS)
     j = per_order.join(o, "o_orderkey").join(c, "c_custkey").join(nat, "n_nationkey")
     return j.groupBy("n_name").agg(F.sum("n").alias("num_lines"), out(F.sum("rev")).alias("revenue"))
 
@@ -385,7 +385,7 @@ def q_top_share(spark, sf_dir):
     per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(money("l_extendedprice")).alias("rev"))
     o = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     c = t.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    nat = F.broadcast(t.nation.select("n_nationkey", "n_name"))
+    nat = broadcast_if_small(t.nation.select("n_nationkey", "n_name"), REFERENCE_TABLE_ROWS)
     sales = per_order.join(o, "o_orderkey").join(c, "c_custkey").join(nat, "n_nationkey").groupBy("n_name").agg(
         F.sum("rev").alias("total_sales")
     )
