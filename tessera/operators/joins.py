@@ -19,3 +19,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     with AQE skew handling)."""
     fits = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if fits else df
+
+
+def outer_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str], how: str = "left") -> DataFrame:
+    """LEFT or FULL outer equi-join written so that a hot key on either side
+    is split: matches come from an inner join (AQE skew handling splits
+    both sides of an inner join, but not the non-preserved side of an outer
+    join nor any side of a full join), and the unmatched rows of a side come
+    from an anti-join against the *distinct* keys of the other side (the
+    distinct is a partial aggregate, so a hot key is one row per map task).
+    Unmatched rows are padded with NULLs; columns are those of both inputs."""
+    if how not in ("left", "full"):
+        raise ValueError(how)
+    cond = None
+    for a, b in zip(left_on, right_on):
+        c = left[a] == right[b]
+        cond = c if cond is None else cond & c
+    cols = left.columns + [c for c in right.columns if c not in left.columns]
+    matched = left.join(right, cond, "inner").select(*[left[c] if c in left.columns else right[c] for c in cols])
+
+    def only(side: DataFrame, side_on: list[str], other: DataFrame, other_on: list[str]) -> DataFrame:
+        keys = other.select(*[F.col(o).alias(f"__k{i}") for i, o in enumerate(other_on)]).distinct()
+        k_cond = None
+        for i, s in enumerate(side_on):
+            c = side[s] == keys[f"__k{i}"]
+            k_cond = c if k_cond is None else k_cond & c
+        return side.join(keys, k_cond, "left_anti")
+
+    out = matched.unionByName(only(left, left_on, right, right_on), allowMissingColumns=True)
+    if how == "full":
+        out = out.unionByName(only(right, right_on, left, left_on), allowMissingColumns=True)
+    return out.select(*cols)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import money, out, ratio, units
 from ..session import cut_lineage
-from ..operators.joins import REFERENCE_TABLE_ROWS, broadcast_if_small
+from ..operators.joins import REFERENCE_TABLE_ROWS, broadcast_if_small, outer_join
 from ..sources.tables import Tables
 from .registry import register
 
@@ -208,9 +208,13 @@ def q_join_inner(spark, sf_dir):
     "SELECT o.o_orderkey, l.l_linenumber, l.l_quantity FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey",
 )
 def q_join_left(spark, sf_dir):
+    """Orders left-joined to their lines.  Written as matches + orders
+    without lines, so a hot order key on the lineitem side is split (see
+    ``joins.outer_join``)."""
     t = Tables(spark, sf_dir)
-    li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
-    return t.orders.select("o_orderkey").join(li, "o_orderkey", "left")
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    j = outer_join(t.orders.select("o_orderkey"), li, ["o_orderkey"], ["l_orderkey"], "left")
+    return j.select("o_orderkey", "l_linenumber", "l_quantity")
 
 
 _FULL_SQL = """
@@ -235,13 +239,12 @@ def q_join_full(spark, sf_dir):
 
 @register("q_full_outer_emulated", _FULL_SQL)
 def q_full_outer_emulated(spark, sf_dir):
-    """Full outer join as matches + left-only + right-only (UNION ALL with
-    NULL padding); must equal ``q_join_full``."""
+    """Full outer join as matches UNION ALL left-only UNION ALL right-only
+    with NULL padding; must equal ``q_join_full``.  The one-sided branches
+    anti-join against distinct keys, so every branch tolerates a hot key."""
     o, li = _full_sides(Tables(spark, sf_dir))
-    matched = o.join(li, o.o_orderkey == li.l_orderkey, "inner").select("o_orderkey", "l_orderkey", "l_linenumber")
-    left_only = o.join(li, o.o_orderkey == li.l_orderkey, "left_anti")
-    right_only = li.join(o, li.l_orderkey == o.o_orderkey, "left_anti")
-    return matched.unionByName(left_only, allowMissingColumns=True).unionByName(right_only, allowMissingColumns=True)
+    j = outer_join(o, li, ["o_orderkey"], ["l_orderkey"], "full")
+    return j.select("o_orderkey", "l_orderkey", "l_linenumber")
 
 
 @register(

@@ -134,3 +134,18 @@ def test_versions_replay(spark, rows, upd_below, del_below):
     assert {r.k: r.v for r in vt.read(0).collect()} == v0
     assert {r.k: r.v for r in vt.read(1).collect()} == v1
     assert {r.k: r.v for r in vt.read().collect()} == state
+
+
+KEYS = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 99)), max_size=12)
+
+
+@SETTINGS
+@given(KEYS, KEYS, st.sampled_from(["left", "full"]))
+def test_outer_join_equals_native(spark, left_rows, right_rows, how):
+    from tessera.operators.joins import outer_join
+
+    left = spark.createDataFrame(left_rows, "a int, x int") if left_rows else spark.createDataFrame([], "a int, x int")
+    right = spark.createDataFrame(right_rows, "b int, y int") if right_rows else spark.createDataFrame([], "b int, y int")
+    native = left.join(right, left.a == right.b, how).select("a", "x", "b", "y")
+    mine = outer_join(left, right, ["a"], ["b"], how).select("a", "x", "b", "y")
+    assert sorted(map(tuple, mine.collect()), key=str) == sorted(map(tuple, native.collect()), key=str)
