@@ -268,7 +268,8 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
 )
 def q_anti_join(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
+    # distinct keys first: a hot order key on the probed side becomes one row
+    li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
     return t.orders.select("o_orderkey", "o_custkey").join(li, "o_orderkey", "left_anti")
 
 
