@@ -43,8 +43,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for ``DataFrame.checkpoint``.
 
     Order: the directory already set on the context, then the session
-    setting ``spark.checkpoint.dir``; only when both are missing (local tests)
-    a new scratch folder is created.
+    setting ``spark.checkpoint.dir``.  Only in local mode (tests, bench) is a
+    scratch folder created when both are missing; on a cluster the missing
+    setting is an error rather than a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive executor loss
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. an object-store or HDFS path)")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
