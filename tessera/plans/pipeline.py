@@ -68,18 +68,19 @@ GROUP BY o.o_custkey
 """,
 )
 def q_medallion_gold(spark, sf_dir):
-    """Gold: revenue per customer from silver, through SQL on named views,
+    """Gold: revenue per customer from silver, in SQL over the layer
+    DataFrames (parameterised ``spark.sql``, no session-global view names),
     written and read back."""
     t = Tables(spark, sf_dir)
     silver = _silver(spark, t)
-    silver.createOrReplaceTempView("silver_lineitem")
-    t.orders.createOrReplaceTempView("bronze_orders")
     gold = spark.sql(
         """
         SELECT o.o_custkey, SUM(s.l_extendedprice) AS revenue
-        FROM silver_lineitem s JOIN bronze_orders o ON s.l_orderkey = o.o_orderkey
+        FROM {silver} s JOIN {orders} o ON s.l_orderkey = o.o_orderkey
         GROUP BY o.o_custkey
-        """
+        """,
+        silver=silver,
+        orders=t.orders,
     )
     path = layers.lake_dir(spark, "gold")
     layers.write_table(gold, path)
