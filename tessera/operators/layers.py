@@ -129,6 +129,13 @@ class VersionedTable:
         self.log_path = self.path + "/_commits"
         self._last: int | None = None  # known after this writer's own commits
 
+    @classmethod
+    def create(cls, spark: SparkSession, path: str, key: list[str]) -> "VersionedTable":
+        """A new, empty table at a fresh ``path`` (nothing to read back)."""
+        vt = cls(spark, path, key)
+        vt._last = -1
+        return vt
+
     def _log(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self.log_path)
@@ -151,7 +158,7 @@ class VersionedTable:
     def commit(self, make_records, operation: str) -> int:
         version = self.last_version() + 1
         # the row count is observed while writing: no second pass
-        seen = Observation(f"commit_{version}")
+        seen = Observation(f"commit_{version}_{uuid.uuid4().hex[:12]}")  # names are session-wide: keep unique
         make_records(version).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(VERSION).parquet(self.path)
         written = int(seen.get.get("n", 0))
         entry = self.spark.range(1).select(

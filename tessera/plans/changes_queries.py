@@ -3,8 +3,6 @@ tables."""
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import functions as F
 
 from ..functions.money import money, out, units
@@ -14,7 +12,7 @@ from ..operators.joins import REFERENCE_TABLE_ROWS, broadcast_if_small
 from ..sources.tables import Tables
 from .registry import register
 
-RUN_TS = _dt.datetime(2024, 1, 1, 0, 0, 0)  # injected run timestamp ($currentDate)
+RUN_TS = "2024-01-01 00:00:00"  # injected run timestamp ($currentDate), wall clock, no time zone
 
 # --------------------------------------------------------------------------- I1, I3, I7, I8, I9
 

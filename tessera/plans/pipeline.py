@@ -95,7 +95,7 @@ _O = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
 def _versioned_orders(spark, t):
     """v0 write of orders; v1 pending orders' price + 1; v2 delete of
     finished orders under 5000."""
-    vt = layers.VersionedTable(spark, layers.lake_dir(spark, "orders_versions"), ["o_orderkey"])
+    vt = layers.VersionedTable.create(spark, layers.lake_dir(spark, "orders_versions"), ["o_orderkey"])
     vt.write(t.orders.select(*_O))
     vt.update(F.col("o_orderstatus") == "P", {"o_totalprice": F.col("o_totalprice") + 1})
     vt.delete((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") < 5000))

@@ -42,35 +42,33 @@ def read_latest(spark: SparkSession, path: str, key: str) -> DataFrame:
     return layers.as_of_version(spark.read.parquet(path), [key])
 
 
+def _write_snapshot(dim: DataFrame, path: str, epoch: int) -> None:
+    (
+        dim.withColumn(EPOCH, F.lit(int(epoch)).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(EPOCH)
+        .parquet(path)
+    )
+
+
 def scd2_sink(path: str, initial: DataFrame, key: str, tracked: list[str], effective: str = "effective_date", surrogate: str | None = None):
-    """``initial`` is the dimension before the first batch."""
+    """``initial`` is the dimension before the first batch; it is stored as
+    snapshot -1 (rewriting that one partition is idempotent on restart)."""
+    _write_snapshot(initial, path, -1)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        current = read_dimension(spark, path, before=int(epoch_id))
-        if current is None:
-            current = initial
+        current = read_dimension(batch.sparkSession, path, before=int(epoch_id))
         nxt = star.scd2_apply(current, batch, key, tracked, effective=effective, surrogate=surrogate)
-        (
-            nxt.withColumn(EPOCH, F.lit(int(epoch_id)).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(EPOCH)
-            .parquet(path)
-        )
+        _write_snapshot(nxt, path, int(epoch_id))
 
     return write
 
 
-def read_dimension(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+def read_dimension(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """Newest snapshot (optionally the newest strictly before epoch ``before``)."""
-    try:
-        snaps = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no snapshot written yet
-        return None
+    snaps = spark.read.parquet(path)
     if before is not None:
         snaps = snaps.filter(F.col(EPOCH) < before)
-    if snaps.isEmpty():
-        return None
     newest = snaps.select(F.max(EPOCH)).scalar()
     return snaps.filter(F.col(EPOCH) == newest).drop(EPOCH)

@@ -35,7 +35,7 @@ def test_silver_keeps_smallest_duplicate(spark):
 
 
 def test_versioned_table(spark):
-    vt = layers.VersionedTable(spark, layers.lake_dir(spark, "v"), ["order_id"])
+    vt = layers.VersionedTable.create(spark, layers.lake_dir(spark, "v"), ["order_id"])
     vt.write(_lab(spark))
     vt.update(F.col("order_id") == 1, {"amount": F.col("amount") + 1})
     vt.delete(F.col("customer_id") == "C02")

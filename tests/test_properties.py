@@ -122,7 +122,7 @@ def test_shortest_path_matches_bfs(spark, edges, target):
 @given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 100)), min_size=1, max_size=15, unique_by=lambda x: x[0]),
        st.integers(0, 100), st.integers(0, 100))
 def test_versions_replay(spark, rows, upd_below, del_below):
-    vt = layers.VersionedTable(spark, layers.lake_dir(spark, "prop"), ["k"])
+    vt = layers.VersionedTable.create(spark, layers.lake_dir(spark, "prop"), ["k"])
     vt.write(spark.createDataFrame(rows, "k int, v int"))
     vt.update(F.col("v") < upd_below, {"v": F.col("v") + 1000})
     vt.delete(F.col("v") < del_below)
