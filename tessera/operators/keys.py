@@ -26,9 +26,9 @@ def number_rows(df: DataFrame, order_cols: list[str], name: str, base=None) -> D
     ``base`` is an int, a Column over a one-row DataFrame joined by the caller,
     or a one-row DataFrame with a single numeric column.
     """
-    spark = df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
+    # no explicit partition count: AQE may coalesce adjacent range partitions
+    # of a small input, and adjacent ranges stay contiguous and in order
+    ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
     ranged = cut_lineage(ranged)
     tagged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
         _POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
