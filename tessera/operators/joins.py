@@ -28,25 +28,33 @@ def outer_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on:
     join nor any side of a full join), and the unmatched rows of a side come
     from an anti-join against the *distinct* keys of the other side (the
     distinct is a partial aggregate, so a hot key is one row per map task).
-    Unmatched rows are padded with NULLs; columns are those of both inputs."""
+    Unmatched rows are padded with NULLs; columns are those of both inputs
+    (a name on both sides is taken from the left).  Inputs may share lineage
+    (both sides are aliased)."""
     if how not in ("left", "full"):
         raise ValueError(how)
+    lf, rt = left.alias("__l"), right.alias("__r")
     cond = None
     for a, b in zip(left_on, right_on):
-        c = left[a] == right[b]
+        c = F.col(f"__l.`{a}`") == F.col(f"__r.`{b}`")
         cond = c if cond is None else cond & c
     cols = left.columns + [c for c in right.columns if c not in left.columns]
-    matched = left.join(right, cond, "inner").select(*[left[c] if c in left.columns else right[c] for c in cols])
+    pick = [F.col(f"__l.`{c}`").alias(c) if c in left.columns else F.col(f"__r.`{c}`").alias(c) for c in cols]
+    matched = lf.join(rt, cond, "inner").select(*pick)
 
     def only(side: DataFrame, side_on: list[str], other: DataFrame, other_on: list[str]) -> DataFrame:
-        keys = other.select(*[F.col(o).alias(f"__k{i}") for i, o in enumerate(other_on)]).distinct()
+        keys = other.select(*[F.col(o).alias(f"__k{i}") for i, o in enumerate(other_on)]).distinct().alias("__o")
+        s_al = side.alias("__s")
         k_cond = None
-        for i, s in enumerate(side_on):
-            c = side[s] == keys[f"__k{i}"]
+        for i, col in enumerate(side_on):
+            c = F.col(f"__s.`{col}`") == F.col(f"__o.__k{i}")
             k_cond = c if k_cond is None else k_cond & c
-        return side.join(keys, k_cond, "left_anti")
+        return s_al.join(keys, k_cond, "left_anti").select(*[F.col(f"__s.`{c}`").alias(c) for c in side.columns])
 
     out = matched.unionByName(only(left, left_on, right, right_on), allowMissingColumns=True)
     if how == "full":
-        out = out.unionByName(only(right, right_on, left, left_on), allowMissingColumns=True)
+        r_only = only(right, right_on, left, left_on)
+        # a column named on both sides holds the left value: NULL for right-only rows
+        r_only = r_only.select(*[F.col(c) if c not in left.columns else F.lit(None).cast(r_only.schema[c].dataType).alias(c) for c in right.columns])
+        out = out.unionByName(r_only, allowMissingColumns=True)
     return out.select(*cols)

@@ -187,3 +187,66 @@ def test_drill_across_full_joins_aggregates(spark):
     b = spark.createDataFrame([(2, 1), (3, 4)], "m int, w int")
     res = star.drill_across([(a, {"sv": F.sum("v")}), (b, {"sw": F.sum("w")})], ["m"])
     assert sorted(map(tuple, res.collect()), key=lambda r: r[0]) == [(1, 15, None), (2, 7, 1), (3, None, 4)]
+
+
+def _customers(spark):
+    rows = [(1, "C001", "Premium"), (2, "C002", "Standard"), (3, "C003", "Budget"), (4, "C004", "Premium")]
+    dim = spark.createDataFrame([(k, d, s, True) for k, d, s in rows], "customer_key int, customer_durable_id string, segment string, is_current boolean")
+    return star.with_unknown_member(dim, "customer_key", {"customer_durable_id": "UNKNOWN", "is_current": True})
+
+
+def test_q2_segment_current_non_placeholder(spark):
+    f, c = _fact(spark), _customers(spark)
+    j = f.join(c.filter(F.col("is_current") & (F.col("customer_key") != 0)), "customer_key")
+    g = j.groupBy("segment").agg(
+        F.countDistinct("pos_transaction_number").alias("n"), F.sum("sales_amount").alias("rev"), F.count("sales_amount").alias("c")
+    ).select("segment", "n", out(F.col("rev")).alias("rev"), ratio(F.col("rev"), F.col("c")).alias("avg"))
+    got = {r.segment: (r.n, r.rev, r.avg) for r in g.collect()}
+    assert got == {"Premium": (4, 2447.91, 407.99), "Standard": (2, 1099.97, 549.99), "Budget": (2, 724.96, 181.24)}
+
+
+def test_q3_q4_month_and_tiers(spark):
+    f, p = _fact(spark), _products(spark)
+    dd = star.date_dimension(spark, "2024-01-01", "2024-03-31")
+    m = f.join(dd, "date_key").groupBy("calendar_month", "month_num").agg(F.count(F.lit(1)).alias("n"), out(F.sum("sales_amount")).alias("rev")).collect()
+    assert [(r.calendar_month, r.n, r.rev) for r in m] == [("January", 13, 4297.79)]
+    amt = F.col("sales_amount")
+    tiers = f.join(p, "product_key").groupBy("department").agg(
+        F.sum(F.when(amt > 500, 1).otherwise(0)).alias("hi"),
+        F.sum(F.when(amt.between(50, 500), 1).otherwise(0)).alias("mid"),
+        F.sum(F.when(amt < 50, 1).otherwise(0)).alias("lo"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    got = {r.department: (r.hi, r.mid, r.lo, r.n) for r in tiers.collect()}
+    assert got == {"Electronics": (3, 1, 3, 7), "Furniture": (0, 3, 0, 3), "Stationery": (0, 0, 3, 3)}
+
+
+def test_q5_q6_store_and_promotion(spark):
+    f = _fact(spark)
+    stores = spark.createDataFrame(
+        [(1, "London City", "London"), (2, "Manchester Deansgate", "North West"), (3, "Birmingham Centre", "Midlands"), (4, "Edinburgh Royal", "Scotland")],
+        "store_key int, store_name string, region string",
+    )
+    g = f.join(stores, "store_key").groupBy("region", "store_name", "store_key").agg(
+        out(F.sum("sales_amount")).alias("rev"), out(F.sum("gross_profit_amount")).alias("profit")
+    )
+    got = {r.store_key: (r.rev, r.profit) for r in g.collect()}
+    assert got == {1: (1424.97, 564.97), 2: (1124.92, 424.92), 3: (724.96, 374.96), 4: (1022.94, 363.94)}
+    promos = spark.createDataFrame(
+        [(1, "Winter Sale", "Temporary Price Reduction"), (2, "Newsletter Coupon", "Coupon"), (3, "Weekend Ad", "Ad")],
+        "promotion_key int, promotion_name string, promo_type string",
+    )
+    promos = star.with_unknown_member(promos, "promotion_key", {"promotion_name": "No Promotion"})
+    q6 = f.join(promos, "promotion_key").groupBy("promotion_name", "promo_type").agg(F.count(F.lit(1)).alias("n"), out(F.sum("sales_amount")).alias("rev"))
+    got = {r.promotion_name: (r.n, r.rev) for r in q6.collect()}
+    assert got == {"No Promotion": (8, 2774.88), "Winter Sale": (2, 1099.97), "Weekend Ad": (1, 399.99), "Newsletter Coupon": (2, 22.95)}
+
+
+def test_row_count_audit(spark):
+    parts = [("dim_date", star.date_dimension(spark, "2024-01-01", "2024-03-31")), ("dim_product", _products(spark)),
+             ("dim_customer", _customers(spark)), ("fact_retail_sales", _fact(spark))]
+    audit = None
+    for name, df in parts:
+        c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        audit = c if audit is None else audit.unionByName(c)
+    assert {r.table_name: r.rows for r in audit.collect()} == {"dim_date": 91, "dim_product": 7, "dim_customer": 5, "fact_retail_sales": 13}
