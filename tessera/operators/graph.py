@@ -63,7 +63,7 @@ def typed(edges: DataFrame, rel=None) -> DataFrame:
     if rel is not None:
         rels = [rel] if isinstance(rel, str) else list(rel)
         e = e.filter(F.col("rel").isin(*rels))
-    return e.select("eid", "src", "dst")
+    return e.select(F.col("eid").cast("long").alias("eid"), "src", "dst")
 
 
 def _materialised(edges: DataFrame, rel, direction: str) -> DataFrame:
