@@ -15,11 +15,16 @@ TABLES = (
 
 
 class Tables:
-    """Attribute access to the driver tables: ``t.lineitem``."""
+    """Attribute access to the driver tables: ``t.lineitem``.
+
+    Each table is opened once per instance (one file listing, one schema
+    read): on object storage with many files, listing is the expensive part
+    of opening a table, and queries read some tables more than once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._open: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
@@ -27,7 +32,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(self.path(name))
+        return self._open[name]
 
     def register_views(self, names=TABLES) -> None:
         for name in names:
