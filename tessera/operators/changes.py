@@ -101,8 +101,9 @@ def upsert_replace(target: DataFrame, batch: DataFrame, key: str, seq: str) -> D
     keys absent from the batch keep their stored row."""
     cols = target.columns
     both = target.select(*cols, F.lit(0).alias("__src")).unionByName(batch.select(*cols, F.lit(1).alias("__src")))
-    win = both.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct("__src", seq)).alias("__r"))
-    return win.select("__r.*")
+    # stored < batch, then by seq; equal seq -> the larger record (deterministic)
+    win = both.groupBy(key).agg(F.max(F.struct("__src", F.col(seq).alias("__seq"), *[F.col(c) for c in cols])).alias("__r"))
+    return win.select(*[F.col(f"__r.{c}").alias(c) for c in cols])
 
 
 def upsert_dimension(
@@ -121,7 +122,7 @@ def upsert_dimension(
     is a full reload (keys restart at 1).
     """
     latest = batch.groupBy(natural_key).agg(
-        F.max_by(F.struct(*[F.col(a) for a in attrs]), F.col(seq)).alias("__v")
+        F.max(F.struct(F.col(seq).alias("__seq"), *[F.col(a) for a in attrs])).alias("__v")
     ).select(natural_key, *[F.col(f"__v.{a}").alias(a) for a in attrs])
     if target is None:
         return number_rows(latest, [natural_key], surrogate).select(surrogate, natural_key, *attrs)

@@ -122,7 +122,8 @@ def scd2_apply(
     attrs = [c for c in dim.columns if c not in {key, "effective_date", "expiry_date", "is_current"}]
     other = [c for c in attrs if c not in tracked and c != surrogate]
     daily = batch.groupBy(key, F.to_date(effective).alias("effective_date")).agg(
-        F.max_by(F.struct(*[F.col(c) for c in tracked]), F.struct(*order)).alias("__v")
+        # last by effective/seq; ties -> the larger value (deterministic)
+        F.max(F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(c) for c in tracked])).alias("__v")
     ).select(key, "effective_date", *[F.col(f"__v.{c}").alias(c) for c in tracked])
 
     cur = dim.filter(F.col("is_current"))
@@ -186,7 +187,7 @@ def scd2_from_changes(df: DataFrame, key: str, tracked: list[str], ts: str, orde
     """
     tie = [F.col(ts)] + ([F.col(order)] if order else [])
     daily = df.groupBy(key, F.to_date(ts).alias("effective_date")).agg(
-        F.max_by(F.struct(*[F.col(c) for c in tracked]), F.struct(*tie)).alias("__v")
+        F.max(F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(tie)], *[F.col(c) for c in tracked])).alias("__v")
     ).select(key, "effective_date", *[F.col(f"__v.{c}").alias(c) for c in tracked])
     w = Window.partitionBy(key).orderBy("effective_date")
     same_as_prev = F.lit(True)

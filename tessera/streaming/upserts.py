@@ -26,7 +26,10 @@ EPOCH = "_epoch"
 def keyed_upsert_sink(path: str, key: str, seq: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         cols = [c for c in batch.columns]
-        latest = batch.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(seq)).alias("__r")).select("__r.*")
+        # last by seq; equal seq -> the larger record, so a replay picks the same row
+        latest = batch.groupBy(key).agg(F.max(F.struct(F.col(seq).alias("__seq"), *[F.col(c) for c in cols])).alias("__r")).select(
+            *[F.col(f"__r.{c}").alias(c) for c in cols]
+        )
         rec = latest.select(F.lit(int(epoch_id)).cast("long").alias(layers.VERSION), F.lit("WRITE").alias(layers.OP), *cols)
         (
             rec.write.mode("overwrite")
