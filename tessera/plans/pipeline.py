@@ -145,10 +145,9 @@ def _write_array_files(spark, docs, path):
     buckets = max(1, -(-n // ROWS_PER_FILE))
     # bucket by row position, not content: identical rows must not pile up in one file
     j = docs.select(F.to_json(F.struct(*docs.columns)).alias("j"), (F.monotonically_increasing_id() % buckets).alias("b"))
-    arrays = j.repartition(buckets, "b").groupBy("b").agg(
-        F.concat(F.lit("[ ,"), F.array_join(F.collect_list("j"), ",\n ,"), F.lit(",]")).alias("value")
-    )
-    arrays.select("value").write.mode("overwrite").text(path)
+    arrays = j.groupBy("b").agg(F.concat(F.lit("[ ,"), F.array_join(F.collect_list("j"), ",\n ,"), F.lit(",]")).alias("value"))
+    # one folder per bucket: each array lands in a file of its own
+    arrays.write.mode("overwrite").partitionBy("b").text(path)
 
 
 @register(

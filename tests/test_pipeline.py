@@ -126,3 +126,10 @@ def test_managed_tables_by_name(spark):
     assert {r.customer_id: float(r.total) for r in gold.collect()} == {"C01": 190.5, "C02": 25.0, "C03": 220.0}
     spark.sql("USE default")
     assert silver.count() == 4
+
+
+def test_json_array_reader_ignores_content_after_the_array(spark):
+    d = tempfile.mkdtemp(prefix="tessera-json-")
+    _write(d, "two.json", '[{"package_name": "a"}]\n[{"package_name": "b"}]')
+    docs, bad = read_json_array(spark, d, SCHEMA)
+    assert [r.package_name for r in docs.collect()] == ["a"] and bad.count() == 0
