@@ -28,7 +28,8 @@ def read_json_array(spark: SparkSession, path: str, schema, strict: bool = False
     documents: ``source_file``, ``item_no``, the declared fields, ``raw`` (the
     item's JSON text).  quarantine: ``source_file``, ``item_no`` (NULL for a
     file-level problem), ``raw``, ``reason`` — "not a JSON array",
-    "malformed JSON", or "item is not an object".  An empty file yields no rows.
+    "malformed JSON", or "item is not an object".  An empty file yields no
+    rows; anything after the array's closing bracket is ignored.
     """
     files = spark.read.text(path, wholetext=True).select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("source_file"))
     cleaned = F.regexp_replace(F.regexp_replace(F.col("text"), _STRING_OR_STRAY_COMMA, "$1"), _LEADING_COMMAS, "$1")
