@@ -83,7 +83,8 @@ def as_of_version(changes: DataFrame, key: list[str], version: int | None = None
     change record with ``_version <= version``; deleted keys disappear."""
     c = changes if version is None else changes.filter(F.col(VERSION) <= version)
     cols = [x for x in changes.columns if x not in (VERSION, OP) and x not in key]
-    latest = c.groupBy(*key).agg(F.max_by(F.struct(OP, *cols), F.col(VERSION)).alias("__r"))
+    # newest version; within a version (a key written twice) the larger record, deterministically
+    latest = c.groupBy(*key).agg(F.max(F.struct(VERSION, OP, *cols)).alias("__r"))
     return latest.filter(F.col("__r." + OP) != "DELETE").select(*key, *[F.col(f"__r.{x}").alias(x) for x in cols])
 
 
