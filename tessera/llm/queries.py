@@ -18,12 +18,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    """Checkpoint folder from the session; Python workers find the package
+    where the driver does."""
+    checkpoint_dir(spark)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+
+
 def _query(name: str, sql: str | None = None):
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            checkpoint_dir(spark)
-            # Python workers find the package where the driver does
-            spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+            prepare(spark)
             return fn(lambda table: spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
 
         run.__name__, run.__doc__ = name, fn.__doc__

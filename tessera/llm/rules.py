@@ -194,3 +194,15 @@ def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return measured.select(
         F.col("doc_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), verdict(rules).alias("kept")
     )
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that the learned list keeps, with their columns.  The
+    rows' counts are a checkpoint keyed by (id, text hash); rows equal in both
+    have one verdict."""
+    key = [F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col)).alias("__thash")]
+    measured = cut_lineage(measure(docs.select(F.struct(*key).alias("key"), F.col(text_col)), "key", text_col))
+    rules = learn(measured.withColumn("key", F.col("doc_id")).withColumn("doc_id", F.col("key.__id")), labels)
+    keep = measured.where(verdict(rules)).select("doc_id.__id", "doc_id.__thash").distinct()
+    same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("k.__id")) & (F.xxhash64(F.col(f"d.`{text_col}`")) == F.col("k.__thash"))
+    return docs.alias("d").join(keep.alias("k"), same, "left_semi")
