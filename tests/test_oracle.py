@@ -26,7 +26,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(E.queries()) - set(E.oracle_sql()))
+    # the training-data operators (where present) have tests of their own
+    missing = sorted(set(E.queries()) - set(E.oracle_sql()) - set(E.LLM_QUERIES))
     assert missing == []
 
 
@@ -36,7 +37,7 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(set(E.oracle_sql()) - set(E.LLM_QUERIES)))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
