@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import chat, mixing, packing, rules, tokens, urls
+from . import ann, chat, lm, minhash, mixing, packing, rules, suffix, tokens, urls
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -115,3 +115,51 @@ def op7(table) -> DataFrame:
 def op9(table) -> DataFrame:
     """Base counts and verdict of every document."""
     return rules.judge(table("documents"), table("labels"))
+
+
+_OP8_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
+
+
+@_query("op8_near_dedup", _OP8_SQL)
+def op8(table) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return minhash.near_duplicates(table("documents")).drop("thash")
+
+
+@_query("op10_suffix_dedup")
+def op10(table) -> DataFrame:
+    """Every document without the strings that repeat."""
+    out = suffix.remove_repeats(table("documents"))
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("n_bytes").cast("long").alias("n_bytes"),
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@_query("op6_nearest")
+def op6(table) -> DataFrame:
+    """The 10 nearest found of every vector whose id is divisible by 100."""
+    return ann.search(table("embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@_query("op5_lm_scores")
+def op5(table) -> DataFrame:
+    """Scores of every text under the class model and the add-one base."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return lm.score(table("documents"), F.crc32(F.to_binary(name, F.lit("utf-8"))) % 7 == 2)
