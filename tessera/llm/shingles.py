@@ -66,9 +66,10 @@ def shingle_hashes(texts: list[bytes], hashes: WordHashes, width: int = 5) -> tu
     offset = np.cumsum(counts) - counts
     place = np.arange(len(out)) - np.repeat(offset, counts) + np.repeat(start, counts)
     out[full] = rolled[place[full]]
-    for i in np.flatnonzero((n > 0) & (n < width)):
-        h = np.uint64(n[i])
-        for x in flat[start[i] : start[i] + n[i]]:
-            h = h * _P + mixed(x)
-        out[offset[i]] = h
+    for k in range(1, width):  # texts of fewer words, by their number
+        few = np.flatnonzero(n == k)
+        h = np.full(len(few), k, dtype=np.uint64)
+        for j in range(k):
+            h = h * _P + mixed(flat[start[few] + j])
+        out[offset[few]] = h
     return mixed(out), counts
