@@ -40,7 +40,7 @@ MAX_REPEATS = 3
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 SEED = 20_011
-_CHUNK = 65_536
+_CHUNK = 16_384
 _BUCKET_ROWS = 2_048
 
 
@@ -97,7 +97,10 @@ def place(sized: DataFrame, rows: int) -> DataFrame:
 
 
 def slots(per_source: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
-    """(skey, pass, block, take, slot, shard): a row for each slot of the mix."""
+    """(skey, pass, block, take, slot, shard): a row for each slot of the mix.
+    Sources are dealt out in chunks of slots, as many tasks as chunks."""
+    words = per_source.agg(F.sum("quota")).first()[0] or 0
+    tasks = 1 + words // (block_words * _CHUNK)
     b, size, quota = F.lit(block_words).cast("long"), F.col("source_size"), F.col("quota")
     plan = per_source.where("quota > 0").select(
         "skey",
@@ -113,7 +116,7 @@ def slots(per_source: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: in
     plan = plan.withColumn("first_slot", F.coalesce(F.sum("n_slots").over(line), F.lit(0)))
     plan = plan.withColumn("all_slots", F.sum("n_slots").over(Window.partitionBy()))
     chunk = plan.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n_slots - 1) div {_CHUNK}"))))
-    one = chunk.repartition("skey", "chunk").withColumn(
+    one = chunk.repartition(tasks, "skey", "chunk").withColumn(
         "k", F.explode(F.sequence(F.col("chunk") * _CHUNK, F.least(F.col("chunk") * _CHUNK + _CHUNK, F.col("n_slots")) - 1))
     )
     one = one.withColumn("pass", F.expr("k div items")).withColumn("j", F.expr("k % items"))
@@ -137,7 +140,7 @@ def mix(docs: DataFrame, *, weights=WEIGHTS, max_repeats=MAX_REPEATS, block_word
     placed = place(sized, sized.count())
     span = placed.where("size > 0").select("skey", "bucket", "rn", "start", (F.col("start") + F.col("size")).alias("stop"))
     blocks = span.withColumn("block", F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(stop - 1) div {block_words}"))))
-    held = slots(per_source, block_words, shard_slots, seed).join(blocks, ["skey", "block"])
+    held = slots(per_source, block_words, shard_slots, seed).hint("merge").join(blocks, ["skey", "block"])
     lo = F.greatest(F.col("start"), F.col("block") * block_words)
     hi = F.least(F.col("stop"), F.col("block") * block_words + F.col("take"))
     pieces = held.where(lo < hi).select(
