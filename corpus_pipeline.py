@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing, packing, queries, rules
+from tessera.llm import minhash, mixing, packing, queries, rules, suffix
 from tessera.session import checkpoint_dir
 
 
@@ -19,6 +19,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.kept_documents(docs, labels)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near-duplicates."""
+    queries.prepare(spark)
+    return minhash.deduplicated(docs)
+
+
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that repeat."""
+    queries.prepare(spark)
+    return suffix.cleaned_documents(docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources as documents: whole texts for whole passes, and
     the words that the last pass took."""
@@ -34,11 +46,14 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality_rules", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("suffix_dedup", suffix_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]
 
-#: Learned rules and token ids cannot be stated in SQL.
+#: Learned rules and token ids cannot be stated in SQL; tests/llm holds each
+#: stage against a brute-force version.
 ORACLE_SQL = None
 
 

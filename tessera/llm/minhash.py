@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import cut_lineage
 from .common import connected_components
@@ -176,8 +177,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """``docs`` with one row for each group of near-duplicates: of the rows
     that carry the component's id, one."""
-    keep = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width).where("kept").select(F.col("doc_id").alias("__id"), F.col("thash").alias("__th"), "n_shingles")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    same = F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("k.__id")) & (F.xxhash64(F.coalesce(F.col(f"d.`{text_col}`"), F.lit(""))) == F.col("k.__th"))
-    rows = docs.alias("d").join(keep.distinct().alias("k"), same).select("d.*", F.xxhash64(text).alias("__th"))
-    return rows.dropDuplicates([id_col, "__th"]).drop("__th")
+    none = F.lit(-(2**63))
+    keep = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width).where("kept")
+    keep = keep.select(F.coalesce("doc_id", none).alias("__id"), F.col("thash").alias("__th")).distinct()
+    key = {"__id": F.coalesce(F.col(id_col).cast("long"), none), "__th": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
+    rows = docs.withColumns(key).join(keep, list(key))
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy("__th"))).where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -130,12 +130,14 @@ def slots(per_source: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: in
     return out.withColumn("shard", F.expr(f"slot div {shard_slots}"))
 
 
-def mix(docs: DataFrame, *, weights=WEIGHTS, max_repeats=MAX_REPEATS, block_words=BLOCK_WORDS, shard_slots=SHARD_SLOTS, seed=SEED, id_col="doc_id", text_col="text", source_col="source"):
+def mix(docs: DataFrame, *, weights=WEIGHTS, max_repeats=MAX_REPEATS, block_words=BLOCK_WORDS, shard_slots=SHARD_SLOTS, seed=SEED, distinct=False, id_col="doc_id", text_col="text", source_col="source"):
     """The mix as two DataFrames: ``documents`` (doc_id, source, thash, size,
     skey, bucket, rn, start, source_size, target) and ``pieces`` (shard, slot,
     pass, passes, skey, bucket, rn, word_from, word_to): the words of a
-    document that a slot holds, counted from the document's first."""
-    sized = cut_lineage(sizes(docs, id_col, text_col, source_col))
+    document that a slot holds, counted from the document's first.  With
+    ``distinct`` rows equal in id, source and text count once."""
+    sized = sizes(docs, id_col, text_col, source_col)
+    sized = cut_lineage(sized.dropDuplicates(["doc_id", "skey", "thash"]) if distinct else sized)
     per_source = cut_lineage(targets(sized, weights, max_repeats))
     placed = place(sized, sized.count())
     span = placed.where("size > 0").select("skey", "bucket", "rn", "start", (F.col("start") + F.col("size")).alias("stop"))
@@ -162,25 +164,24 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     text once for each full pass of its source, and the words that the last
     pass took of it, in order, as one more row.  Rows equal in id, source and
     text count once; documents without words are in no mix."""
-    docs = docs.withColumn("__thash", F.xxhash64(F.col(text_col))).withColumn("__skey", _source_key(F.col(source_col)))
-    docs = docs.dropDuplicates([id_col, "__skey", "__thash"])
-    documents, pieces = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    full = pieces.groupBy("skey", "bucket", "rn").agg(
-        F.max("passes").alias("passes"),
-        F.array_sort(F.collect_list(F.when(F.col("pass") == F.col("passes"), F.struct("word_from", "word_to")))).alias("spans"),
+    columns = docs.columns
+    documents, pieces = mix(docs, distinct=True, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    last = F.when(F.col("pass") == F.col("passes"), F.struct("word_from", "word_to"))
+    used = pieces.groupBy("skey", "bucket", "rn").agg(F.max("passes").alias("__passes"), F.array_sort(F.collect_list(last)).alias("__spans"))
+    got = documents.join(used, ["skey", "bucket", "rn"]).select(
+        F.xxhash64("doc_id", F.col("doc_id").isNull()).alias("__id"), F.col("skey").alias("__skey"), F.col("thash").alias("__thash"), "__passes", "__spans"
     )
-    got = documents.join(full, ["skey", "bucket", "rn"]).select(
-        F.col("doc_id").alias("__id"), F.col("skey").alias("__skey"), F.col("thash").alias("__thash"), F.col("size").alias("__size"), "passes", "spans"
-    )
-    same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("g.__id")) & (F.col("d.__skey") == F.col("g.__skey")) & (F.col("d.__thash") == F.col("g.__thash"))
-    rows = docs.alias("d").join(got.alias("g"), same).select("d.*", "g.__size", "g.passes", "g.spans")
+    id_ = F.col(id_col)
+    key = {"__id": F.xxhash64(id_, id_.isNull()), "__skey": _source_key(F.col(source_col)), "__thash": F.xxhash64(F.col(text_col))}
+    rows = docs.withColumns(key).join(got, list(key))
+    rows = rows.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy("__thash"))).where("__n = 1")
     unit = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD}(?:{GAP})?)"), F.lit(1))
-    part = F.transform(F.col("spans"), lambda s: F.array_join(F.slice(F.col("__units"), (s["word_from"] + 1).cast("int"), (s["word_to"] - s["word_from"]).cast("int")), ""))
-    whole = F.transform(F.sequence(F.lit(1), F.col("passes").cast("int")), lambda _: F.col(text_col))
-    whole = F.when(F.col("passes") > 0, whole).otherwise(F.array().cast("array<string>"))
-    rest = F.when(F.size("spans") > 0, F.array(F.array_join(part, ""))).otherwise(F.array().cast("array<string>"))
-    rows = rows.withColumn("__units", F.when(F.size("spans") > 0, unit))
+    words = F.transform("__spans", lambda s: F.array_join(F.slice(F.col("__units"), (s["word_from"] + 1).cast("int"), (s["word_to"] - s["word_from"]).cast("int")), ""))
+    none = F.array().cast("array<string>")
+    whole = F.when(F.col("__passes") > 0, F.array_repeat(F.col(text_col), F.col("__passes").cast("int"))).otherwise(none)
+    rest = F.when(F.size("__spans") > 0, F.array(F.array_join(words, ""))).otherwise(none)
+    rows = rows.withColumn("__units", F.when(F.size("__spans") > 0, unit))
     rows = rows.withColumn(text_col, F.explode(F.concat(whole, rest)))
-    if "n_chars" in docs.columns:
+    if "n_chars" in columns:
         rows = rows.withColumn("n_chars", F.char_length(F.col(text_col)).cast("long"))
-    return rows.drop("__size", "passes", "spans", "__units", "__thash", "__skey")
+    return rows.select(*[F.col(f"`{c}`") for c in columns])
