@@ -21,13 +21,12 @@ word before, the probabilities of all known words, the end and "any unknown
 word" add up to 1.
 
 A null text is empty (its one token is the end).  Rows may repeat and ids may
-be null; each row is scored.  Without training texts every token is unknown
-with probability 1.  Only id and text are read.
+be null; each row is scored.  Without training texts every token, the end
+included, has probability 1.  Only id and text are read.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, cut_lineage
+from ..session import cut_lineage, cut_table
 from .shingles import chunks
 
 CLASSES = 16
@@ -244,13 +243,6 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out([held[0]], [held[1]], held[2][None])
 
 
-def shared_table(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back."""
-    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def cluster(train: DataFrame, *, classes: int = CLASSES, core: int = CORE) -> DataFrame:
     """(word, n, cls) of every word of ``train`` (one binary text column)."""
     counts = train.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -376,7 +368,7 @@ def transitions(pairs: np.ndarray, size: np.ndarray, types: np.ndarray) -> np.nd
     gives[_END] = 0.0
     step[:, unknown] = step[:, :unknown] @ gives
     if not size.sum():
-        step[:, unknown] = 1.0
+        step[:] = 1.0
     return np.log10(np.maximum(step, 1e-300))
 
 
@@ -387,7 +379,7 @@ def score(docs: DataFrame, held_out: Column, *, classes: int = CLASSES, core: in
     text = F.to_binary(F.coalesce(F.col(text_col), F.lit("")), F.lit("utf-8"))
     rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), text.alias("text"))
     train = rows.where("not held_out").select("text")
-    vocab = shared_table(cluster(train, classes=classes, core=core))
+    vocab = cut_table(cluster(train, classes=classes, core=core))
     stats = vocab.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).collect()
     n_train = train.count()
     size, types = np.zeros(classes + 1), np.zeros(classes + 1)
@@ -403,7 +395,7 @@ def score(docs: DataFrame, held_out: Column, *, classes: int = CLASSES, core: in
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, held_out boolean, row long, n_tokens long, n_known long, base double, emit double, codes binary, times binary, rare array<binary>, places array<struct<at:int,l:tinyint,r:tinyint>>"
-    coded = shared_table(rows.mapInArrow(_encode(shared, n_train, 0.0, classes), schema))
+    coded = cut_table(rows.mapInArrow(_encode(shared, n_train, 0.0, classes), schema))
     rare = coded.select("row", F.explode(F.arrays_zip("rare", "places")).alias("x")).select("row", F.col("x.rare").alias("word"), "x.places.*")
     looked = rare.join(vocab, "word", "left")
     share = F.element_at(F.array(*[F.lit(float(x)) for x in np.maximum(size, 1.0)]), F.col("cls") + 1)

@@ -107,7 +107,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES, *, id_col: str
     t = cut_lineage(templates(cut_lineage(paths)))
     stats = t.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
     nodes = merged(stats)
-    total = nodes.agg((F.sum("bad") / F.sum("labelled")).alias("share"))
+    total = nodes.agg(F.try_divide(F.sum("bad"), F.sum("labelled")).alias("share"))
     judged = nodes.groupBy("host", "node").agg(F.sum("labelled").alias("nl"), F.sum("bad").alias("nb")).crossJoin(F.broadcast(total))
     prior = F.coalesce(1 - F.col("share"), F.lit(1.0))
     purity = (F.col("nl") - F.col("nb") + SMOOTHING * prior) / (F.col("nl") + SMOOTHING)
