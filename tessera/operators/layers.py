@@ -7,28 +7,31 @@ table format with its own log (e.g. Delta) can be used where installed.
 
 Versioned data is kept as a *change table*: every row change is a record
 ``(_version, _op, key..., columns...)`` with ``_op`` in WRITE/UPDATE/DELETE.
-Stored partitioned by ``_version``, an as-of read only scans versions
-``<= v`` (partition pruning), and the per-key reduction to the latest
-record is a map-side-combined aggregate.
+Stored in a folder per commit, an as-of read only scans the folders of versions
+``<= v``, and the per-key reduction to the latest record is a
+map-side-combined aggregate.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch_folder
 
 VERSION, OP = "_version", "_op"
 
 
 # --------------------------------------------------------------------------- paths and tables
 def lake_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder in shared storage for one pipeline run."""
-    base = spark.conf.get("spark.tessera.lake.dir", None) or checkpoint_dir(spark).rstrip("/") + "/lake"
-    return f"{base}/{name or 'run'}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder in shared storage for one pipeline run: under
+    ``spark.tessera.lake.dir`` where that is set (kept), else a scratch folder
+    that goes when the program ends."""
+    base = spark.conf.get("spark.tessera.lake.dir", None)
+    return f"{base}/{name or 'run'}-{uuid.uuid4().hex[:12]}" if base else scratch_folder(spark, f"lake-{name or 'run'}")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
@@ -114,75 +117,78 @@ def history(changes: DataFrame) -> DataFrame:
     )
 
 
+class CommitConflict(RuntimeError):
+    """Another writer took the version first; read again and retry."""
+
+
+_LOG = "version long, attempt string, operation string, num_affected_rows long, timestamp timestamp"
+
+
 class VersionedTable:
-    """A change table stored at ``path`` partitioned by version, plus a
-    commit log (``path/_commits``, one row per version).
-
-    Every operation is a version, also one that changes no row.  A commit
-    first appends the version's records (a new partition folder; earlier
-    versions are never rewritten), then its commit-log row.  Readers only
-    see versions present in the commit log, so a failed or half-finished
-    commit is invisible.
+    """A change table with one folder per commit attempt and a log.
+
+    A commit writes its records to a folder of its own, then one log row that
+    names the folder.  Readers take only folders that the log names, so a
+    commit that died before its log row is invisible, also after later
+    commits.  Two writers that took the same version both leave a log row;
+    the smaller attempt name is the version, and the other writer gets
+    ``CommitConflict``.  Nothing is cached: every handle reads the log.
+    Every operation is a version, also one that changes no row.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: list[str]):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
-        self.log_path = self.path + "/_commits"
-        self._last: int | None = None  # known after this writer's own commits
-
-    @classmethod
-    def create(cls, spark: SparkSession, path: str, key: list[str]) -> "VersionedTable":
-        """A new, empty table at a fresh ``path`` (nothing to read back)."""
-        vt = cls(spark, path, key)
-        vt._last = -1
-        return vt
 
-    def _log(self) -> DataFrame | None:
+    def log(self) -> DataFrame:
+        """One row per committed version."""
         try:
-            return self.spark.read.parquet(self.log_path)
-        except Exception:  # noqa: BLE001 - nothing committed yet
-            return None
+            rows = self.spark.read.schema(_LOG).parquet(self.path + "/log")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _LOG)
+        first = rows.groupBy("version").agg(F.min(F.struct("attempt", "operation", "num_affected_rows", "timestamp")).alias("r"))
+        return first.select("version", "r.*")
 
     def last_version(self) -> int:
-        if self._last is not None:
-            return self._last
-        log = self._log()
-        v = None if log is None else log.agg(F.max("version")).first()[0]
-        self._last = -1 if v is None else int(v)
-        return self._last
-
-    def changes(self) -> DataFrame:
-        """Change records of committed versions only."""
-        data = self.spark.read.parquet(self.path)
-        return data.filter(F.col(VERSION) <= self.last_version())
+        v = self.log().agg(F.max("version")).first()[0]
+        return -1 if v is None else int(v)
+
+    def changes(self, version: int | None = None) -> DataFrame:
+        """Change records of the committed versions (up to ``version``)."""
+        log = self.log() if version is None else self.log().filter(F.col("version") <= version)
+        folders = [f"{self.path}/data/{r.attempt}" for r in log.select("version", "attempt").orderBy("version").collect()]
+        return self.spark.read.parquet(*folders)
 
     def commit(self, make_records, operation: str) -> int:
         version = self.last_version() + 1
+        attempt = f"{version:012d}-{uuid.uuid4().hex}"
         # the row count is observed while writing: no second pass
-        seen = Observation(f"commit_{version}_{uuid.uuid4().hex[:12]}")  # names are session-wide: keep unique
-        make_records(version).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(VERSION).parquet(self.path)
-        written = int(seen.get.get("n", 0))
+        seen = Observation(f"commit_{attempt}")
+        make_records(version).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.path}/data/{attempt}")
         entry = self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"), F.lit(operation).alias("operation"), F.lit(written).cast("long").alias("num_affected_rows")
+            F.lit(version).cast("long").alias("version"),
+            F.lit(attempt).alias("attempt"),
+            F.lit(operation).alias("operation"),
+            F.lit(int(seen.get.get("n", 0))).cast("long").alias("num_affected_rows"),
+            F.current_timestamp().alias("timestamp"),
         )
-        entry.write.mode("append").parquet(self.log_path)
-        self._last = version
+        entry.coalesce(1).write.mode("append").parquet(self.path + "/log")
+        if self.log().filter(F.col("version") == version).first().attempt != attempt:
+            raise CommitConflict(f"{self.path}: version {version} was taken")
         return version
 
     def write(self, df: DataFrame) -> int:
         return self.commit(lambda v: initial_write(df, v), "WRITE")
 
     def update(self, cond, sets: dict) -> int:
-        return self.commit(lambda v: record_update(self.changes(), self.key, cond, sets, version=v), "UPDATE")
+        return self.commit(lambda v: record_update(self.changes(v - 1), self.key, cond, sets, version=v), "UPDATE")
 
     def delete(self, cond) -> int:
-        return self.commit(lambda v: record_delete(self.changes(), self.key, cond, version=v), "DELETE")
+        return self.commit(lambda v: record_delete(self.changes(v - 1), self.key, cond, version=v), "DELETE")
 
     def read(self, version: int | None = None) -> DataFrame:
-        return as_of_version(self.changes(), self.key, version)
+        return as_of_version(self.changes(version), self.key)
 
     def history(self) -> DataFrame:
-        log = self._log()
-        if log is None:
-            return self.spark.createDataFrame([], "version long, operation string, num_affected_rows long")
-        return log.select("version", "operation", "num_affected_rows")
+        return self.log().select("version", "timestamp", "operation", "num_affected_rows")

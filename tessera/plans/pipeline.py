@@ -6,8 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import layers
-from ..sources.ingest import read_json_array
+from ..functions.names import normalise_name
+from ..operators import changes, layers, quality
+from ..sources.ingest import read_json_array, write_json_arrays
 from ..sources.tables import Tables
 from .registry import register
 
@@ -89,13 +90,13 @@ def q_medallion_gold(spark, sf_dir):
 
 # --------------------------------------------------------------------------- versions
 
-_O = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+_O = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 def _versioned_orders(spark, t):
     """v0 write of orders; v1 pending orders' price + 1; v2 delete of
     finished orders under 5000."""
-    vt = layers.VersionedTable.create(spark, layers.lake_dir(spark, "orders_versions"), ["o_orderkey"])
+    vt = layers.VersionedTable(spark, layers.lake_dir(spark, "orders_versions"), ["o_orderkey"])
     vt.write(t.orders.select(*_O))
     vt.update(F.col("o_orderstatus") == "P", {"o_totalprice": F.col("o_totalprice") + 1})
     vt.delete((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") < 5000))
@@ -116,7 +117,10 @@ def q_version_history(spark, sf_dir):
     return h.select(F.col("version").cast("int").alias("version"), "operation", "num_affected_rows")
 
 
-_V1_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders"
+_V1_SQL = (
+    "SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, "
+    "o_orderdate, o_orderpriority FROM orders"
+)
 
 
 @register("q_version_as_of", _V1_SQL)
@@ -138,27 +142,60 @@ def q_version_current(spark, sf_dir):
 ROWS_PER_FILE = 2000
 
 
-def _write_array_files(spark, docs, path):
-    """Write the rows as JSON array files (about ROWS_PER_FILE objects per
-    file, with stray commas between items as the source files have)."""
-    n = docs.count()
-    buckets = max(1, -(-n // ROWS_PER_FILE))
-    # bucket by row position, not content: identical rows must not pile up in one file
-    j = docs.select(F.to_json(F.struct(*docs.columns)).alias("j"), (F.monotonically_increasing_id() % buckets).alias("b"))
-    arrays = j.groupBy("b").agg(F.concat(F.lit("[ ,"), F.array_join(F.collect_list("j"), ",\n ,"), F.lit(",]")).alias("value"))
-    # one folder per bucket: each array lands in a file of its own
-    arrays.write.mode("overwrite").partitionBy("b").text(path)
+DOCUMENT = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+
+
+def _loaded(spark, t):
+    """The documents, exported as JSON array files and loaded back."""
+    path = layers.lake_dir(spark, "json_arrays")
+    docs = t.documents.select("doc_id", "text", "lang", "source", "n_chars")
+    write_json_arrays(docs, path, max(1, -(-docs.count() // ROWS_PER_FILE)))
+    return read_json_array(spark, path, DOCUMENT)
 
 
 @register(
     "q_ingest_json",
-    "SELECT doc_id, lang, NULLIF(source, '') AS source, n_chars FROM documents",
+    "SELECT doc_id, text, lang, NULLIF(source, '') AS source, n_chars FROM documents",
 )
 def q_ingest_json(spark, sf_dir):
     """Documents exported as JSON array files, then loaded back through the
     array reader (stray commas tolerated, schema declared, raw kept)."""
-    t = Tables(spark, sf_dir)
-    path = layers.lake_dir(spark, "json_arrays")
-    _write_array_files(spark, t.documents.select("doc_id", "lang", "source", "n_chars"), path)
-    docs, _bad = read_json_array(spark, path, "doc_id BIGINT, lang STRING, source STRING, n_chars BIGINT")
-    return docs.select("doc_id", "lang", F.nullif(F.col("source"), F.lit("")).alias("source"), "n_chars")
+    docs, _bad = _loaded(spark, Tables(spark, sf_dir))
+    return docs.select("doc_id", "text", "lang", F.nullif(F.col("source"), F.lit("")).alias("source"), "n_chars")
+
+
+_LOAD_SQL = """
+WITH named AS (
+  SELECT doc_id, COALESCE(NULLIF(source, ''), 'osv') AS package_name, text, lang, n_chars FROM documents
+), stored AS (
+  SELECT *, regexp_replace(lower(regexp_replace(package_name, '[-_.]+', '-', 'g')), '^\\s+|\\s+$', '', 'g') AS normalized_package_name
+  FROM named
+), latest AS (
+  SELECT normalized_package_name, arg_max(package_name, doc_id) AS package_name, arg_max(lang, doc_id) AS lang,
+         arg_max(text, doc_id) AS text, arg_max(n_chars, doc_id) AS n_chars
+  FROM stored GROUP BY normalized_package_name
+)
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY normalized_package_name) AS BIGINT) AS package_key, * FROM latest
+"""
+
+
+@register("q_load_job", _LOAD_SQL)
+def q_load_job(spark, sf_dir):
+    """The load as one job: array files to whole documents, an id and a
+    package name for each, keyed replace into the raw store in two batches
+    (short documents, then long ones), then the package dimension from the
+    store: blank names to quarantine, the last document of a package wins,
+    dense keys."""
+    docs, _bad = _loaded(spark, Tables(spark, sf_dir))
+    docs = docs.withColumn("package_name", F.coalesce(F.nullif(F.col("source"), F.lit("")), F.lit("osv")))
+    docs = docs.withColumn("normalized_package_name", normalise_name("package_name"))
+    rows = docs.select(
+        F.concat(F.col("normalized_package_name"), F.lit(":"), F.col("doc_id").cast("string")).alias("_id"),
+        "doc_id", "package_name", "normalized_package_name", "lang", "text", "n_chars",
+    )
+    store = changes.upsert_replace(rows.limit(0), rows.filter(F.coalesce(F.col("n_chars") < 5000, F.lit(True))), "_id", "doc_id")
+    store = changes.upsert_replace(store, rows.filter(F.col("n_chars") >= 5000), "_id", "doc_id")
+    good, _blank = quality.split(store, {"missing package name": quality.required_text("package_name")})
+    attrs = ["package_name", "lang", "text", "n_chars"]
+    dim = changes.upsert_dimension(None, good, "normalized_package_name", "doc_id", "package_key", attrs)
+    return dim.select("package_key", "normalized_package_name", *attrs)

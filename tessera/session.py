@@ -9,10 +9,13 @@ absent (local runs); on a cluster that setting names shared storage.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
@@ -66,3 +69,38 @@ def cut_lineage(df):
     executor loss) and return the truncated-lineage DataFrame."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Python workers find this package where the driver does (needed where
+    the package is on the driver's path only, as in local runs)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this run through Spark's own file system layer."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in shared storage, removed when the program ends."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def clean() -> None:
+        with contextlib.suppress(Exception):  # the session may be gone by then
+            remove_folder(spark, path)
+
+    atexit.register(clean)
+    return path
+
+
+def cut_table(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to shared storage and read back: cuts the
+    lineage like a checkpoint, and later filters and column choices reach
+    the scan."""
+    path = scratch_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -1,25 +1,59 @@
 """JSON-array ingestion into a raw zone.
 
-A source file holds one top-level JSON array of objects.  Each file is read
-whole (one task per file — many files load in parallel; a single huge array
-should be split into JSON lines upstream), stray commas between items are
-dropped, the array is split into items, object items are parsed against a
-declared schema and keep their raw JSON text (extra fields survive), and
-everything else goes to a quarantine with a reason instead of aborting the
-load half-way.  ``strict=True`` restores fail-fast behaviour.
+A source file holds one top-level JSON array of objects.  Spark's text reader
+streams a file as fragments that end at a comma; the fragments of a file are
+brought together in file order (a shuffle that sorts and spills), and a
+tokeniser (``json_items``) cuts them into items while it holds one item in
+memory, whatever the size of the file.  Files load in parallel.  Object items
+are parsed against a declared schema and keep their raw JSON text (extra
+fields survive); everything else goes to a quarantine with a reason.
+``strict=True`` restores fail-fast behaviour.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import ConstraintViolation
+from ..session import ship_package
+from .json_items import ArrayItems
+
+_ITEM = "source_file string, item_no int, raw string, reason string"
+
+
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    reader, file, fresh = ArrayItems(), None, True
+    cols: list[list] = [[], [], [], []]
+
+    def keep(found) -> None:
+        for no, raw, reason in found:
+            for c, v in zip(cols, (file, no, raw, reason)):
+                c.append(v)
+
+    def out() -> pa.RecordBatch:
+        types = (pa.string(), pa.int32(), pa.string(), pa.string())
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["source_file", "item_no", "raw", "reason"])
+        for c in cols:
+            c.clear()
+        return batch
 
-# Fixed pattern: a JSON string literal (kept as is) or a comma whose next
-# non-blank character is another comma or the closing bracket (dropped).
-_STRING_OR_STRAY_COMMA = r'("(?:[^"\\]|\\.)*")|,(?=\s*[,\]])'
-_LEADING_COMMAS = r"^(\s*\[)[\s,]*"
+    for batch in batches:
+        for name, fragment in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if name != file:
+                keep(reader.end())
+                reader, file, fresh = ArrayItems(), name, True
+            # the reader took away the comma between two fragments
+            keep(reader.feed(fragment.as_py() if fresh else "," + fragment.as_py()))
+            fresh = False
+        if cols[0]:
+            yield out()
+    keep(reader.end())
+    if cols[0]:
+        yield out()
 
 
 def read_json_array(spark: SparkSession, path: str, schema, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -27,35 +61,39 @@ def read_json_array(spark: SparkSession, path: str, schema, strict: bool = False
 
     documents: ``source_file``, ``item_no``, the declared fields, ``raw`` (the
     item's JSON text).  quarantine: ``source_file``, ``item_no`` (NULL for a
-    file-level problem), ``raw``, ``reason`` — "not a JSON array",
-    "malformed JSON", or "item is not an object".  An empty file yields no
-    rows; anything after the array's closing bracket is ignored.
+    file-level problem), ``raw``, ``reason``: "not a JSON array", "malformed
+    JSON" (a broken item, or what is left of a file whose array does not
+    end), or "item is not an object".  Items before a file's broken end are
+    documents.  An empty file yields no rows; anything after the array's
+    closing bracket is ignored.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("source_file"))
-    cleaned = F.regexp_replace(F.regexp_replace(F.col("text"), _STRING_OR_STRAY_COMMA, "$1"), _LEADING_COMMAS, "$1")
-    staged = files.select(
-        "source_file",
-        cleaned.alias("clean"),
-        F.from_json(cleaned, "array<string>").alias("items"),
+    ship_package(spark)
+    lines = spark.read.option("lineSep", ",").text(path)
+    lines = lines.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("no"), "value")
+    staged = lines.repartition("source_file").sortWithinPartitions("source_file", "block", "no").select("source_file", "value").mapInArrow(_items, _ITEM)
+    parsed = F.try_parse_json("raw")
+    reason = (
+        F.when(F.col("reason").isNotNull(), F.col("reason"))
+        .when(parsed.isNull(), F.lit("malformed JSON"))
+        .when(~F.schema_of_variant(parsed).startswith("OBJECT"), F.lit("item is not an object"))
     )
-    empty = F.trim(F.col("clean")) == ""
-    not_array = ~F.ltrim(F.col("clean")).startswith("[")
-    file_reason = (
-        F.when(empty, F.lit(None))
-        .when(not_array, F.lit("not a JSON array"))
-        .when(F.col("items").isNull(), F.lit("malformed JSON"))
-    )
-    staged = staged.withColumn("file_reason", file_reason)
-    bad_files = staged.filter(F.col("file_reason").isNotNull()).select(
-        "source_file", F.lit(None).cast("int").alias("item_no"), F.col("clean").alias("raw"), F.col("file_reason").alias("reason")
-    )
-    items = staged.filter(F.col("file_reason").isNull() & ~empty).select("source_file", F.posexplode("items").alias("item_no", "raw"))
-    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("raw")).startswith("OBJECT"), F.lit(False))
-    items = items.withColumn("__obj", is_object)
-    bad_items = items.filter(~F.col("__obj")).select("source_file", "item_no", "raw", F.lit("item is not an object").alias("reason"))
-    docs = items.filter(F.col("__obj")).select("source_file", "item_no", F.from_json("raw", schema).alias("__d"), "raw")
+    tagged = staged.withColumn("reason", reason)
+    docs = tagged.filter(F.col("reason").isNull()).select("source_file", "item_no", F.from_json("raw", schema).alias("__d"), "raw")
     docs = docs.select("source_file", "item_no", "__d.*", "raw")
-    quarantine = bad_files.unionByName(bad_items)
+    quarantine = tagged.filter(F.col("reason").isNotNull())
     if strict and not quarantine.isEmpty():
         raise ConstraintViolation(f"{path}: rejected JSON input")
     return docs, quarantine
+
+
+def write_json_arrays(docs: DataFrame, path: str, files: int) -> None:
+    """``docs`` as ``files`` JSON array files below ``path``, with stray commas
+    between the items as the source files have them.  An array is written
+    row by row (a bracket, the items, a bracket), never gathered in a cell."""
+    spark = docs.sparkSession
+    items = docs.select((F.monotonically_increasing_id() % files).alias("b"), F.lit(1).alias("part"), F.concat(F.to_json(F.struct(*docs.columns)), F.lit(",")).alias("value"))
+    bracket = F.when(F.col("part") == 0, "[ ,").otherwise(",]").alias("value")
+    ends = spark.range(files).select(F.col("id").alias("b"), F.explode(F.array(F.lit(0), F.lit(2))).alias("part")).select("b", "part", bracket)
+    rows = items.unionByName(ends).repartition(files, "b").sortWithinPartitions("b", "part")
+    rows.select("b", "value").write.mode("overwrite").partitionBy("b").text(path)
+

@@ -9,8 +9,9 @@ the source offsets in the query's checkpoint location.
   store load): each batch is appended as change records of version
   ``epoch``; ``read_latest`` resolves the newest record per key.
 * ``scd2_sink`` — apply each batch to a type-2 dimension; every epoch writes
-  the next full snapshot (dimensions are small next to their facts) and
-  ``read_dimension`` returns the newest one.
+  only the keys that its batch touches, with all their versions, and
+  ``read_dimension`` takes each key from its newest epoch.  ``seq`` orders
+  changes of one day.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ def read_latest(spark: SparkSession, path: str, key: str) -> DataFrame:
     return layers.as_of_version(spark.read.parquet(path), [key])
 
 
-def _write_snapshot(dim: DataFrame, path: str, epoch: int) -> None:
+def _write_epoch(dim: DataFrame, path: str, epoch: int) -> None:
     (
         dim.withColumn(EPOCH, F.lit(int(epoch)).cast("long"))
         .write.mode("overwrite")
@@ -55,23 +56,28 @@ def _write_snapshot(dim: DataFrame, path: str, epoch: int) -> None:
     )
 
 
-def scd2_sink(path: str, initial: DataFrame, key: str, tracked: list[str], effective: str = "effective_date", surrogate: str | None = None):
+def scd2_sink(
+    path: str, initial: DataFrame, key: str, tracked: list[str], effective: str = "effective_date", surrogate: str | None = None, seq: str | None = None
+):
     """``initial`` is the dimension before the first batch; it is stored as
-    snapshot -1 (rewriting that one partition is idempotent on restart)."""
-    _write_snapshot(initial, path, -1)
+    epoch -1 (rewriting that one partition is idempotent on restart)."""
+    _write_epoch(initial, path, -1)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        current = read_dimension(batch.sparkSession, path, before=int(epoch_id))
-        nxt = star.scd2_apply(current, batch, key, tracked, effective=effective, surrogate=surrogate)
-        _write_snapshot(nxt, path, int(epoch_id))
+        current = read_dimension(batch.sparkSession, path, key, before=int(epoch_id))
+        touched = batch.select(key).distinct()
+        nxt = star.scd2_apply(current, batch, key, tracked, effective=effective, surrogate=surrogate, seq=seq)
+        _write_epoch(nxt.join(touched, key, "left_semi"), path, int(epoch_id))
 
     return write
 
 
-def read_dimension(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Newest snapshot (optionally the newest strictly before epoch ``before``)."""
-    snaps = spark.read.parquet(path)
+def read_dimension(spark: SparkSession, path: str, key: str, before: int | None = None) -> DataFrame:
+    """The dimension (optionally before epoch ``before``): the rows of each key
+    from the newest epoch that holds it."""
+    rows = spark.read.parquet(path)
     if before is not None:
-        snaps = snaps.filter(F.col(EPOCH) < before)
-    newest = snaps.select(F.max(EPOCH)).scalar()
-    return snaps.filter(F.col(EPOCH) == newest).drop(EPOCH)
+        rows = rows.filter(F.col(EPOCH) < before)
+    newest = rows.groupBy(F.col(key).alias("__key")).agg(F.max(EPOCH).alias("__newest"))
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col(EPOCH) == F.col("__newest"))
+    return rows.join(newest, same, "left_semi").drop(EPOCH)

@@ -1,6 +1,7 @@
 """Layered pipeline, versions, JSON-array ingestion, quality checks and
 normalisation."""
 
+import json
 import os
 import tempfile
 
@@ -8,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import layers, normalise, quality
-from tessera.sources.ingest import read_json_array
+from tessera.sources.ingest import read_json_array, write_json_arrays
+from tessera.sources.json_items import ArrayItems
 
 LAB = [(1, "C01", "Laptop", 120.50), (2, "C02", "Mouse", 25.00), (3, "C01", "Monitor", 70.00), (4, "C03", "Desk", 220.00)]
 
@@ -35,7 +37,7 @@ def test_silver_keeps_smallest_duplicate(spark):
 
 
 def test_versioned_table(spark):
-    vt = layers.VersionedTable.create(spark, layers.lake_dir(spark, "v"), ["order_id"])
+    vt = layers.VersionedTable(spark, layers.lake_dir(spark, "v"), ["order_id"])
     vt.write(_lab(spark))
     vt.update(F.col("order_id") == 1, {"amount": F.col("amount") + 1})
     vt.delete(F.col("customer_id") == "C02")
@@ -45,10 +47,57 @@ def test_versioned_table(spark):
     assert v0[1] == 120.5
     cur = {r.order_id: r.amount for r in vt.read().collect()}
     assert cur[1] == 121.5 and 2 not in cur and len(cur) == 3
+    stamps = [r.timestamp for r in vt.history().orderBy("version").collect()]
+    assert stamps == sorted(stamps) and None not in stamps
     latest = vt.read(2)
     assert sorted(map(tuple, latest.collect())) == sorted(map(tuple, vt.read().collect()))
 
 
+def _rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_dead_commit_stays_invisible(spark):
+    vt = layers.VersionedTable(spark, layers.lake_dir(spark, "dead"), ["order_id"])
+    vt.write(_lab(spark))
+    before = _rows(vt.read())
+    # a commit that died before its log row: records only
+    layers.record_update(vt.changes(), ["order_id"], "order_id = 2", {"amount": 999.0}, version=1).write.parquet(f"{vt.path}/data/000000000001-dead")
+    assert _rows(vt.read()) == before
+    vt.update("order_id = 1", {"amount": 1.0})
+    assert {r.order_id: r.amount for r in vt.read().collect()}[2] == 25.0 and vt.last_version() == 1
+
+
+def test_two_writers_of_one_version_conflict(spark):
+    path = layers.lake_dir(spark, "race")
+    a, b = (layers.VersionedTable(spark, path, ["order_id"]) for _ in range(2))
+    a.write(_lab(spark))
+
+    def late(version):  # the other writer commits the same version meanwhile
+        a.delete("order_id = 1")
+        return layers.record_delete(b.changes(), ["order_id"], "order_id = 2", version=version)
+
+    taken = []
+    try:
+        b.commit(late, "DELETE")
+    except layers.CommitConflict:
+        taken.append("b")
+    log = a.log().orderBy("version").collect()
+    assert [r.version for r in log] == [0, 1]
+    assert _rows(a.read()) == _rows(b.read()) and a.read().count() == 3  # one of the two deletes holds
+
+
+def test_an_unreadable_log_is_an_error(spark):
+    vt = layers.VersionedTable(spark, layers.lake_dir(spark, "bad"), ["order_id"])
+    assert vt.last_version() == -1 and vt.history().collect() == []
+    folder = vt.path.removeprefix("file:") + "/log"
+    os.makedirs(folder)
+    with open(folder + "/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt"):
+        vt.last_version()
+
+
 def _write(d, name, text):
     p = os.path.join(d, name)
     with open(p, "w", encoding="utf-8") as fh:
@@ -69,6 +118,7 @@ def test_json_array_reader(spark):
     docs, bad = read_json_array(spark, d, SCHEMA)
     rows = sorted(docs.collect(), key=lambda r: (os.path.basename(r.source_file), r.item_no))
     assert [(os.path.basename(r.source_file), r.item_no) for r in rows] == [("good.json", 0), ("good.json", 1), ("mixed.json", 0)]
+    assert {os.path.basename(r.source_file): r.raw for r in bad.collect()}["broken.json"] == '{"info": {"name": "x"}'
     assert rows[0].info.name == "Foo_Bar" and '"extra":[1,2]' in rows[0].raw.replace(" ", "")
     assert rows[1].package_name == "baz,]"
     reasons = sorted((os.path.basename(r.source_file), r.reason) for r in bad.collect())
@@ -128,6 +178,36 @@ def test_managed_tables_by_name(spark):
     assert silver.count() == 4
 
 
+def test_json_array_reader_long_strings_and_small_splits(spark):
+    d = tempfile.mkdtemp(prefix="tessera-json-")
+    text = ('say "x", \\ {[,]} ' * 8_000)[:100_000]
+    items = [{"package_name": text}, {"package_name": "b" * 100_000}, {"package_name": "é,日,\n\\"}]
+    _write(d, "long.json", "[" + ",\n,".join(json.dumps(i, ensure_ascii=i is items[0]) for i in items) + "]")
+    for size in ("128m", "16k"):  # a file in one split, and in many
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        docs, bad = read_json_array(spark, d, SCHEMA)
+        got = sorted((r.item_no, r.package_name) for r in docs.collect())
+        assert got == [(i, x["package_name"]) for i, x in enumerate(items)] and bad.count() == 0
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_json_array_round_trip(spark):
+    d = layers.lake_dir(spark, "arrays")
+    docs = spark.createDataFrame([(i, None if i % 7 == 0 else "x,]" * i) for i in range(50)], "id long, t string")
+    write_json_arrays(docs, d, 3)
+    back, bad = read_json_array(spark, d, "id long, t string")
+    assert sorted(map(str, back.select("id", "t").collect())) == sorted(map(str, docs.collect())) and bad.count() == 0
+
+
+def test_array_items_over_any_fragments():
+    text = '\ufeff [ , {"a": "x\\"],{"}, [1, [2]],, 3 ,"s,]" ] junk'
+    want = [(0, '{"a": "x\\"],{"}', None), (1, "[1, [2]]", None), (2, "3", None), (3, '"s,]"', None)]
+    for size in (1, 2, 3, 7, 100):
+        reader = ArrayItems()
+        got = [x for i in range(0, len(text), size) for x in reader.feed(text[i : i + size])] + list(reader.end())
+        assert got == want
+
+
 def test_json_array_reader_ignores_content_after_the_array(spark):
     d = tempfile.mkdtemp(prefix="tessera-json-")
     _write(d, "two.json", '[{"package_name": "a"}]\n[{"package_name": "b"}]')
