@@ -19,9 +19,11 @@ def money(c) -> Column:
 
 
 def units(c) -> Column:
-    """Quantities are whole numbers stored as double."""
+    """Quantities are whole numbers stored as double; a fraction is an error,
+    never cut off."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.cast("int")
+    whole = c.cast("int")
+    return F.when(c.isNull() | (whole == c), whole).otherwise(F.raise_error(F.concat(F.lit("not a whole quantity: "), c.cast("string"))).cast("int"))
 
 
 def out(c) -> Column:

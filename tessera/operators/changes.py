@@ -98,12 +98,17 @@ def fill_from_lookup(df: DataFrame, lookup: DataFrame, on: tuple[str, str], valu
 def upsert_replace(target: DataFrame, batch: DataFrame, key: str, seq: str) -> DataFrame:
     """Keyed replace-or-insert of whole rows (``replace_one(upsert=True)``):
     per key the batch row with the largest ``seq`` wins over the stored row;
-    keys absent from the batch keep their stored row."""
+    keys absent from the batch keep their stored row.  Only the batch is
+    reduced; the store meets its keys in an anti-join, which is a broadcast
+    (no shuffle of the store) while the batch's keys are small.  A null key is
+    a key."""
     cols = target.columns
-    both = target.select(*cols, F.lit(0).alias("__src")).unionByName(batch.select(*cols, F.lit(1).alias("__src")))
-    # stored < batch, then by seq; equal seq -> the larger record (deterministic)
-    win = both.groupBy(key).agg(F.max(F.struct("__src", F.col(seq).alias("__seq"), *[F.col(c) for c in cols])).alias("__r"))
-    return win.select(*[F.col(f"__r.{c}").alias(c) for c in cols])
+    # by seq; equal seq -> the larger record (deterministic)
+    win = batch.groupBy(key).agg(F.max(F.struct(F.col(seq).alias("__seq"), *[F.col(c) for c in cols])).alias("__r"))
+    new = win.select(*[F.col(f"__r.{c}").alias(c) for c in cols])
+    keys = batch.select(F.col(key).alias("__key")).distinct()
+    kept = target.select(*cols).join(keys, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    return kept.unionByName(new)
 
 
 def upsert_dimension(

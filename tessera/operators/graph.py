@@ -2,11 +2,11 @@
 
 ``nodes(id, label, ...properties)`` and ``edges(eid, src, dst, rel,
 ...properties)``.  Pattern matches are joins; variable-length patterns are
-frontier loops: each level joins the current frontier with the edge table
-(one distributed job), the new frontier is written to the shared checkpoint
-folder (lineage stays one level deep and a lost executor recomputes one
-level only), and the loop stops when the frontier is empty or the bound is
-reached.  The driver loop runs once per *level*, never per row.
+frontier loops: a level joins the current frontier with the edge table; every
+few levels the new paths are written to the shared checkpoint folder (lineage
+stays short, a lost executor recomputes one step only), and the loop stops
+when the frontier is empty or the bound is reached.  The driver loop runs
+once per step, never per row.
 
 Semantics (results are bags, one row per match):
 * ``unique="edge"`` — Cypher: a path never reuses an edge, nodes may repeat;
@@ -18,25 +18,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
-
-class DepthExceeded(RuntimeError):
-    pass
+from ..session import cut_lineage, cut_table
 
 
 # --------------------------------------------------------------------------- building
 def from_tables(nodes: DataFrame, edges: DataFrame, node_id: str = "id", label: str = "label",
                 src: str = "src", dst: str = "dst", rel: str = "rel", eid: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Standardise column names; edges without an id get a stable one from
-    (src, rel, dst)."""
+    """Standardise column names.  ``eid`` names a column that is unique per
+    edge; without one, a traversal numbers the edges when it stores them, so
+    parallel edges stay apart."""
     n = nodes.withColumnRenamed(node_id, "id").withColumnRenamed(label, "label")
     e = edges.withColumnRenamed(src, "src").withColumnRenamed(dst, "dst").withColumnRenamed(rel, "rel")
-    if eid is None:
-        e = e.withColumn("eid", F.xxhash64("src", "rel", "dst"))
-    else:
-        e = e.withColumnRenamed(eid, "eid")
-    return n, e
+    return n, e if eid is None else e.withColumnRenamed(eid, "eid")
 
 
 def link(pairs: DataFrame, nodes: DataFrame, src: tuple[str, str, str], dst: tuple[str, str, str], rel: str) -> DataFrame:
@@ -46,8 +39,7 @@ def link(pairs: DataFrame, nodes: DataFrame, src: tuple[str, str, str], dst: tup
     (sl, sp, sc), (dl, dp, dc) = src, dst
     a = nodes.filter(F.col("label") == sl).select(F.col("id").alias("src"), F.col(sp).alias(sc))
     b = nodes.filter(F.col("label") == dl).select(F.col("id").alias("dst"), F.col(dp).alias(dc))
-    e = pairs.join(a, sc).join(b, dc).select("src", "dst", F.lit(rel).alias("rel"))
-    return e.withColumn("eid", F.xxhash64("src", "rel", "dst"))
+    return pairs.join(a, sc).join(b, dc).select("src", "dst", F.lit(rel).alias("rel"))
 
 
 def label_inventory(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -58,18 +50,24 @@ def label_inventory(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def typed(edges: DataFrame, rel=None) -> DataFrame:
-    """(eid, src, dst) of the edges of type ``rel`` (a name, a list, or all)."""
+    """(eid, src, dst) of the edges of type ``rel`` (a name, a list, or all);
+    without an edge id (src, dst)."""
     e = edges
     if rel is not None:
         rels = [rel] if isinstance(rel, str) else list(rel)
         e = e.filter(F.col("rel").isin(*rels))
-    return e.select(F.col("eid").cast("long").alias("eid"), "src", "dst")
+    return e.select(F.col("eid").cast("long").alias("eid"), "src", "dst") if "eid" in e.columns else e.select("src", "dst")
+
+
+def stored(edges: DataFrame, rel=None) -> DataFrame:
+    """The edges of a traversal as a table (read at every level; filters reach
+    its scan), with an id per edge."""
+    e = typed(edges, rel)
+    return cut_table(e if "eid" in e.columns else e.withColumn("eid", F.monotonically_increasing_id()).select("eid", "src", "dst"))
 
 
 def _materialised(edges: DataFrame, rel, direction: str) -> DataFrame:
-    """The traversal's edge list, written once to the checkpoint folder (it
-    is read at every level) and oriented lazily (a scan, not a second copy)."""
-    return oriented(cut_lineage(typed(edges, rel)), None, direction)
+    return oriented(stored(edges, rel), None, direction)
 
 
 def oriented(edges: DataFrame, rel=None, direction: str = "out") -> DataFrame:
@@ -77,7 +75,7 @@ def oriented(edges: DataFrame, rel=None, direction: str = "out") -> DataFrame:
     reversed for ``in``, both ways for ``both`` (each copy keeps its eid so
     edge-uniqueness still holds)."""
     fwd = typed(edges, rel)
-    rev = fwd.select("eid", F.col("dst").alias("src"), F.col("src").alias("dst"))
+    rev = fwd.select(*[c for c in fwd.columns if c == "eid"], F.col("dst").alias("src"), F.col("src").alias("dst"))
     if direction == "out":
         return fwd
     if direction == "in":
@@ -107,79 +105,117 @@ def converge_counts(edges: DataFrame, rel_a: str, rel_b: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- variable length
-def descendants(edges: DataFrame, roots: DataFrame, rel=None, direction: str = "out", max_depth: int = 100) -> DataFrame:
-    """All nodes below ``roots`` (column ``id``) with their depth — one row
-    per path, as a recursive CTE without a cycle guard.  A graph with a
-    cycle would never finish; the loop raises ``DepthExceeded`` after
-    ``max_depth`` levels instead of returning a truncated answer."""
-    # the adjacency list is read once per level: materialise it once
-    e = _materialised(edges, rel, direction).select(F.col("src").alias("id"), F.col("dst").alias("child"))
-    frontier = roots.select("id")
-    levels = []
-    for depth in range(1, max_depth + 2):
-        nxt = frontier.join(e, "id").select(F.col("child").alias("id"), F.lit(depth).alias("depth"))
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+LEVELS_PER_JOB = 4  # levels of a traversal that one job grows before it is cut
+
+
+def _grow(frontier: DataFrame, e: DataFrame, unique: str) -> DataFrame:
+    """Paths one edge longer; ``e`` has (eid, end, dst)."""
+    j = frontier.join(e, "end")
+    fresh = ~F.array_contains("nodes", F.col("dst")) if unique == "node" else ~F.array_contains("eids", F.col("eid"))
+    return j.filter(fresh).select(
+        "start",
+        F.col("dst").alias("end"),
+        F.array_append("nodes", F.col("dst")).alias("nodes"),
+        F.array_append("eids", F.col("eid")).alias("eids"),
+        (F.col("hops") + 1).alias("hops"),
+    )
+
+
+def _distance_to(e: DataFrame, targets: DataFrame, hi: int | None) -> DataFrame:
+    """(end, far): nodes from which a target is at most ``hi`` edges away, and
+    the fewest edges (backward breadth-first search)."""
+    near = cut_lineage(targets.select(F.col("id").alias("end")).distinct().withColumn("far", F.lit(0)))
+    level, d = near, 0
+    while hi is None or d < hi:
+        d += 1
+        step = e.join(level.select(F.col("end").alias("dst")), "dst").select("end").distinct()
+        level = cut_lineage(step.join(near, "end", "left_anti").withColumn("far", F.lit(d)))
+        if level.isEmpty():
             break
-        if depth > max_depth:
-            raise DepthExceeded(f"descendants deeper than {max_depth} levels (cycle?)")
-        levels.append(nxt)
-        frontier = nxt.select("id")
-    return _union(levels, roots.sparkSession, "id", "depth", frontier.schema["id"].dataType)
+        near = near.unionByName(level)
+    return near
 
 
-def expand(edges: DataFrame, starts: DataFrame, lo: int, hi: int, rel=None, direction: str = "out",
-           unique: str = "edge") -> DataFrame:
+def expand(edges: DataFrame, starts: DataFrame, lo: int = 1, hi: int | None = None, rel=None, direction: str = "out",
+           unique: str = "edge", targets: DataFrame | None = None) -> DataFrame:
     """Variable-length pattern ``(s)-[*lo..hi]->(x)`` from the ``id``s in
     ``starts``: one row per path with ``start``, ``end``, ``nodes`` (node ids
-    in path order), ``eids`` and ``hops``.  Paths are enumerated (the answer
-    is the bag of paths), so ``hi`` must be given."""
+    in path order), ``eids`` and ``hops``.
+
+    ``hi=None`` is the unbounded pattern: it ends when no path can grow, which
+    the uniqueness rule guarantees, also on cycles.  With ``targets`` (ids)
+    only paths that end there are given, and a path is dropped as soon as
+    no target can be reached from its end within the hops left."""
     if unique not in ("edge", "node"):
         raise ValueError(unique)
-    e = _materialised(edges, rel, direction)
+    e = _materialised(edges, rel, direction).withColumnRenamed("src", "end")
+    near = None if targets is None else cut_lineage(_distance_to(e, targets, hi))
     frontier = starts.select(
         F.col("id").alias("start"),
         F.col("id").alias("end"),
         F.array(F.col("id")).alias("nodes"),
         F.array().cast("array<long>").alias("eids"),
+        F.lit(0).alias("hops"),
     )
-    out = []
-    for h in range(1, hi + 1):
-        j = frontier.join(e.withColumnRenamed("src", "end"), "end")
-        if unique == "node":
-            j = j.filter(~F.array_contains("nodes", F.col("dst")))
-        else:
-            j = j.filter(~F.array_contains("eids", F.col("eid")))
-        frontier = j.select(
-            "start",
-            F.col("dst").alias("end"),
-            F.array_append("nodes", F.col("dst")).alias("nodes"),
-            F.array_append("eids", F.col("eid")).alias("eids"),
-        )
-        if h == hi:  # last level: one join on a checkpointed frontier, nothing reads it again
-            out.append(frontier.withColumn("hops", F.lit(h)))
-            break
-        frontier = cut_lineage(frontier)
-        if h >= lo:
-            out.append(frontier.withColumn("hops", F.lit(h)))
-        if frontier.isEmpty():
+    out, h = [], 0
+    while hi is None or h < hi:
+        todo = LEVELS_PER_JOB if hi is None else min(LEVELS_PER_JOB, hi - h)
+        grown = None
+        for _ in range(todo):
+            h += 1
+            frontier = _grow(frontier, e, unique)
+            if near is not None:
+                left = F.lit(True) if hi is None else F.col("far") <= hi - h
+                frontier = frontier.join(near.filter(left).select("end"), "end", "left_semi")
+            grown = frontier if grown is None else grown.unionByName(frontier)
+        grown = cut_lineage(grown)
+        out.append(grown)
+        frontier = grown.filter(F.col("hops") == h)
+        if (hi is None or h < hi) and frontier.isEmpty():
             break
     if not out:
-        return frontier.withColumn("hops", F.lit(0)).limit(0)
+        return frontier.limit(0)
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
-    return res
+    res = res.filter(F.col("hops") >= lo)
+    if targets is not None:
+        res = res.join(targets.select(F.col("id").alias("end")).distinct(), "end", "left_semi")
+    return res.select("start", "end", "nodes", "eids", "hops")
+
+
+def descendants(edges: DataFrame, roots: DataFrame, rel=None, direction: str = "out") -> DataFrame:
+    """``(root)-[*]->(x)``: all nodes below ``roots`` (column ``id``) with their
+    depth, one row per path.  No depth limit; a path uses an edge once, so
+    cycles end."""
+    p = expand(edges, roots, 1, None, rel=rel, direction=direction, unique="edge")
+    return p.select(F.col("end").alias("id"), F.col("hops").alias("depth"))
+
+
+def reached(edges: DataFrame, starts: DataFrame, lo: int, hi: int, rel=None, direction: str = "out") -> DataFrame:
+    """Distinct (start, end) of ``(s)-[*lo..hi]-(x)``.  For ``lo`` up to 1 a level
+    keeps one row per (start, node, last edge) instead of every path, so a
+    hub does not multiply the work; a longer walk that comes back over an
+    edge ends where a shorter one did."""
+    if lo > 1:
+        return expand(edges, starts, lo, hi, rel, direction).select("start", "end").distinct()
+    e = oriented(edges, None, direction).withColumnRenamed("src", "end")
+    frontier = starts.select(F.col("id").alias("start"), F.col("id").alias("end"), F.lit(None).cast("long").alias("last"))
+    out = None
+    for _ in range(hi):
+        step = frontier.join(e, "end").filter(~F.col("eid").eqNullSafe(F.col("last")))
+        frontier = step.select("start", F.col("dst").alias("end"), F.col("eid").alias("last")).distinct()
+        out = frontier.select("start", "end") if out is None else out.unionByName(frontier.select("start", "end"))
+    return out.distinct()
 
 
 def suggest_links(edges: DataFrame, anchors: DataFrame, rel=None) -> DataFrame:
     """Friends-of-friends: nodes within 1..2 hops of each anchor, not the
     anchor itself, not already linked to it; distinct (anchor, candidate)."""
-    e = cut_lineage(typed(edges, rel))  # read by both the expansion and the anti-join
-    paths = expand(e, anchors, 1, 2, direction="out", unique="edge")
-    direct = e.select(F.col("src").alias("start"), F.col("dst").alias("end"))
-    cand = paths.filter(F.col("end") != F.col("start")).select("start", "end")
-    return cand.join(direct, ["start", "end"], "left_anti").distinct()
+    e = stored(edges, rel)
+    direct = e.join(anchors.select(F.col("id").alias("src")), "src", "left_semi").select(F.col("src").alias("start"), F.col("dst").alias("end")).distinct()
+    cand = reached(e, anchors, 1, 2).filter(F.col("end") != F.col("start"))
+    return cand.join(direct, ["start", "end"], "left_anti")
 
 
 def shortest_path(edges: DataFrame, a, b, max_hops: int, rel=None, direction: str = "both") -> DataFrame:
@@ -187,26 +223,27 @@ def shortest_path(edges: DataFrame, a, b, max_hops: int, rel=None, direction: st
 
     Level-by-level BFS: each node is kept once, at its first level, with the
     smallest predecessor as parent (ties broken by key, so the answer is
-    deterministic), then the path is read back along parents.  Work per
-    level is one join with the edges and one anti-join with the visited
-    set; nothing enumerates paths.  No path within the bound: no row.
+    deterministic), then the path is read back level by level.  Work per
+    level is one join of the frontier with the edges, reduced to a row per
+    node, and one anti-join with the visited set; nothing enumerates
+    paths.  No path within the bound: no row.
     """
-    e = _materialised(edges, rel, direction).select(F.col("src").alias("parent"), F.col("dst").alias("id")).distinct()
+    e = _materialised(edges, rel, direction).select(F.col("src").alias("parent"), F.col("dst").alias("id"))
     spark = edges.sparkSession
     id_type = e.schema["id"].dataType
-    start = spark.range(1).select(F.lit(a).cast(id_type).alias("id"), F.lit(None).cast(id_type).alias("parent"), F.lit(0).alias("depth"))
-    levels = [cut_lineage(start)]
-    frontier = levels[0].select(F.col("id").alias("parent"))
+    start = spark.range(1).select(F.lit(a).cast(id_type).alias("id"), F.lit(None).cast(id_type).alias("parent"))
+    levels = [start]
+    frontier = start.select(F.col("id").alias("parent"))
     found = a == b
     target_hit = F.max((F.col("id") == F.lit(b).cast(id_type)).cast("int"))
-    for d in range(1, max_hops + 1):
+    for _ in range(max_hops):
         if found:
             break
         seen = levels[0].select("id")
         for lv in levels[1:]:
             seen = seen.unionByName(lv.select("id"))
-        cand = frontier.join(e, "parent").join(seen, "id", "left_anti")
-        new = cut_lineage(cand.groupBy("id").agg(F.min("parent").alias("parent")).withColumn("depth", F.lit(d)))
+        cand = frontier.join(e, "parent").groupBy("id").agg(F.min("parent").alias("parent"))
+        new = cut_lineage(cand.join(seen, "id", "left_anti"))
         # one small action per level: is the level empty, does it hold the target?
         stats = new.agg(F.count(F.lit(1)).alias("n"), target_hit.alias("hit")).first()
         if stats.n == 0:
@@ -214,42 +251,24 @@ def shortest_path(edges: DataFrame, a, b, max_hops: int, rel=None, direction: st
         levels.append(new)
         found = stats.hit == 1
         frontier = new.select(F.col("id").alias("parent"))
-    visited = levels[0]
-    for lv in levels[1:]:
-        visited = visited.unionByName(lv)
-    target = visited.filter(F.col("id") == F.lit(b).cast(id_type))
+    target = levels[-1].filter(F.col("id") == F.lit(b).cast(id_type))
+    path = target.select(F.array(F.col("id")).alias("nodes"), F.col("parent").alias("cur"))
     if not found:
-        return target.select(F.array(F.col("id")).alias("nodes"), F.col("depth").alias("hops")).limit(0)
-    # read the path back: at most max_hops one-row lookups
-    path = target.select(F.array(F.col("id")).alias("nodes"), F.col("parent").alias("cur"), F.col("depth").alias("hops"))
-    lookup = visited.select(F.col("id").alias("cur"), F.col("parent").alias("next"))
-    for _ in range(max_hops):
-        path = path.join(lookup, "cur", "left").select(
-            F.when(F.col("cur").isNotNull(), F.concat(F.array(F.col("cur")), F.col("nodes"))).otherwise(F.col("nodes")).alias("nodes"),
-            F.col("next").alias("cur"),
-            "hops",
-        )
-    return path.select("nodes", "hops")
+        return path.select("nodes", F.lit(0).alias("hops")).limit(0)
+    for lv in reversed(levels[:-1]):  # the parent of a level's node is one level up
+        path = path.join(lv.select(F.col("id").alias("cur"), F.col("parent").alias("next")), "cur")
+        path = path.select(F.array_prepend("nodes", F.col("cur")).alias("nodes"), F.col("next").alias("cur"))
+    return path.select("nodes", F.lit(len(levels) - 1).alias("hops"))
 
 
 def neighbourhood(nodes: DataFrame, edges: DataFrame, start, lo: int = 1, hi: int = 2, rel=None) -> DataFrame:
-    """``(s)-[*lo..hi]-(ctx) RETURN DISTINCT label(ctx), ctx`` — undirected,
+    """``(s)-[*lo..hi]-(ctx) RETURN DISTINCT label(ctx), ctx``: undirected,
     edge-unique, anchored at node ``start``."""
     spark = edges.sparkSession
     id_type = nodes.schema["id"].dataType
     s = spark.range(1).select(F.lit(start).cast(id_type).alias("id"))
-    paths = expand(edges, s, lo, hi, rel=rel, direction="both", unique="edge")
-    ends = paths.select(F.col("end").alias("id")).distinct()
-    return ends.join(nodes, "id")
-
-
-def _union(frames, spark, c1, c2, id_type):
-    if not frames:
-        return spark.range(0).select(F.lit(None).cast(id_type).alias(c1), F.lit(0).alias(c2))
-    res = frames[0]
-    for f in frames[1:]:
-        res = res.unionByName(f)
-    return res
+    ends = reached(stored(edges, rel), s, lo, hi, direction="both").select(F.col("end").alias("id"))
+    return nodes.join(ends, "id", "left_semi")
 
 
 def path_text(c: Column, sep: str = ",") -> Column:

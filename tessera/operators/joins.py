@@ -5,21 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bounds for the small sides the plans broadcast (fixed values).
-REFERENCE_TABLE_ROWS = 10_000  # nation / region style lookup tables
-CALENDAR_ROWS = 100_000  # date dimension: ~270 years of days
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a size check.
-
-    At most ``max_rows + 1`` rows are read to check the bound; within it the
-    side is hinted for a broadcast hash join, beyond it the frame is returned
-    unhinted and the planner picks a shuffle join (sort-merge / shuffle-hash,
-    with AQE skew handling)."""
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
-
 
 def outer_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str], how: str = "left") -> DataFrame:
     """LEFT or FULL outer equi-join written so that a hot key on either side

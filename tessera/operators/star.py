@@ -10,6 +10,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .keys import number_rows
 
 OPEN_END = _dt.date(9999, 12, 31)
@@ -213,11 +214,19 @@ def as_of(history: DataFrame, when) -> DataFrame:
 
 def join_as_of(fact: DataFrame, history: DataFrame, key: str, fact_date: str, how: str = "inner") -> DataFrame:
     """Point-in-time lookup: each fact row meets the version of its key valid
-    on the fact's date.  The equality on ``key`` keeps it a hash/merge join;
-    the date range is a residual condition on matching keys only."""
-    h = history.withColumnRenamed(key, "__hkey")
-    cond = (F.col(key) == F.col("__hkey")) & F.to_date(F.col(fact_date)).between(F.col("effective_date"), F.col("expiry_date"))
-    return fact.join(h, cond, how).drop("__hkey")
+    on the fact's date.  The join is an equality on the key and the year: a
+    version stands once for each year it covers within the facts' years, so
+    a hot key's rows meet the versions of one year, not its whole history."""
+    if how != "inner":
+        raise ValueError(how)
+    year = F.year(F.to_date(F.col(fact_date)))
+    span = cut_lineage(fact.agg(F.min(year).alias("__from"), F.max(year).alias("__to")))
+    h = history.withColumnRenamed(key, "__hkey").crossJoin(F.broadcast(span))  # one row
+    first, last = F.greatest(F.year("effective_date"), F.col("__from")), F.least(F.year("expiry_date"), F.col("__to"))
+    h = h.filter(first <= last).withColumn("__year", F.explode(F.sequence(first, last))).drop("__from", "__to")
+    day = F.to_date(F.col(fact_date))
+    cond = (F.col(key) == F.col("__hkey")) & (year == F.col("__year")) & day.between(F.col("effective_date"), F.col("expiry_date"))
+    return fact.join(h, cond).drop("__hkey", "__year")
 
 
 # --------------------------------------------------------------------------- drill-across

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.money import money, out, units
 from ..functions.names import composite_id, first_present, normalise_name, to_text
 from ..operators import changes, normalise, quality
-from ..operators.joins import REFERENCE_TABLE_ROWS, broadcast_if_small
 from ..sources.tables import Tables
 from .registry import register
 
@@ -16,13 +15,13 @@ RUN_TS = "2024-01-01 00:00:00"  # injected run timestamp ($currentDate), wall cl
 
 # --------------------------------------------------------------------------- I1, I3, I7, I8, I9
 
-_ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
+_ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 
 @register(
     "q_update_where",
     f"""
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        CASE WHEN o_totalprice > 400000 THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority
 FROM orders
 """,
@@ -36,7 +35,7 @@ def q_update_where(spark, sf_dir):
 @register(
     "q_update_first",
     f"""
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM orders WHERE o_orderstatus = 'P') THEN '0-HOLD' ELSE o_orderpriority END AS o_orderpriority
 FROM orders
 """,
@@ -308,11 +307,11 @@ def q_composite_id(spark, sf_dir):
     "q_raw_upsert",
     """
 WITH d AS (
-  SELECT concat(COALESCE(NULLIF(source, ''), 'osv'), ':', lang) AS _id, doc_id, lang, source, n_chars,
+  SELECT concat(COALESCE(NULLIF(source, ''), 'osv'), ':', lang) AS _id, doc_id, text, lang, source, n_chars,
          CASE WHEN n_chars >= 5000 THEN 1 ELSE 0 END AS load_no
   FROM documents
 )
-SELECT _id, doc_id, lang, source, n_chars FROM (
+SELECT _id, doc_id, text, lang, source, n_chars FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY _id ORDER BY load_no DESC, doc_id DESC) AS rn FROM d
 ) WHERE rn = 1
 """,
@@ -325,6 +324,7 @@ def q_raw_upsert(spark, sf_dir):
     d = t.documents.select(
         F.concat(F.coalesce(F.nullif(F.col("source"), F.lit("")), F.lit("osv")), F.lit(":"), F.col("lang")).alias("_id"),
         "doc_id",
+        "text",
         "lang",
         "source",
         "n_chars",
@@ -336,12 +336,12 @@ def q_raw_upsert(spark, sf_dir):
 
 @register(
     "q_limit_source",
-    "SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 100",
+    "SELECT doc_id, text, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 100",
 )
 def q_limit_source(spark, sf_dir):
     """``--limit``: cap on the documents read, in key order (the cap is the feature)."""
     t = Tables(spark, sf_dir)
-    return t.documents.select("doc_id", "lang", "source", "n_chars").orderBy("doc_id").limit(100)
+    return t.documents.select("doc_id", "text", "lang", "source", "n_chars").orderBy("doc_id").limit(100)
 
 
 # --------------------------------------------------------------------------- I12, I13
@@ -429,10 +429,10 @@ def q_check_range(spark, sf_dir):
     "q_quarantine",
     """
 WITH d AS (
-  SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 = 1 THEN '  ' ELSE source END AS package
+  SELECT doc_id, text, lang, n_chars, CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 = 1 THEN '  ' ELSE source END AS package
   FROM documents
 )
-SELECT doc_id, package, CASE WHEN package IS NULL OR regexp_replace(package, '\\s+', '', 'g') = '' THEN 'missing package' ELSE 'ok' END AS status
+SELECT doc_id, text, lang, n_chars, package, CASE WHEN package IS NULL OR regexp_replace(package, '\\s+', '', 'g') = '' THEN 'missing package' ELSE 'ok' END AS status
 FROM d
 """,
 )
@@ -441,7 +441,7 @@ def q_quarantine(spark, sf_dir):
     seventh record and whitespace-only on the next; those go to quarantine."""
     t = Tables(spark, sf_dir)
     k = F.col("doc_id") % 7
-    d = t.documents.select("doc_id", F.when(k == 0, F.lit("")).when(k == 1, F.lit("  ")).otherwise(F.col("source")).alias("package"))
+    d = t.documents.select("doc_id", "text", "lang", "n_chars", F.when(k == 0, F.lit("")).when(k == 1, F.lit("  ")).otherwise(F.col("source")).alias("package"))
     tagged = quality.tag(d, {"missing package": quality.required_text("package")}, "status")
     return tagged.withColumn("status", F.coalesce(F.col("status"), F.lit("ok")))
 
@@ -512,7 +512,7 @@ def q_normalise_3nf(spark, sf_dir):
     """The transitive attribute (customer -> nation -> name, region) moved to
     its own table, taken from the wide customer rows."""
     t = Tables(spark, sf_dir)
-    n = broadcast_if_small(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey"), REFERENCE_TABLE_ROWS)
+    n = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
     wide = t.customer.select("c_custkey", "c_nationkey").join(n, "c_nationkey")
     return normalise.split_entities(wide, {"nation": ["c_nationkey", "n_name", "n_regionkey"]})["nation"]
 

@@ -1,12 +1,12 @@
 """Graph queries on graphs derived from the driver tables.
 
-* KNOWS graph: nodes = distinct ``events.user_id`` (n of them); edges
-  u -> (2u+1) mod n and u -> (3u+1) mod n, distinct, no self-loops.  Anchors
-  play the roles of the fixture's people: start = user 1, target = user 10
-  (paths/routes) and user 13 (shortest connection).
-* Management tree: customer k > 0 reports to customer floor((k-1)/10); root 0.
 * Typed graph: Supplier/Customer -IN-> Nation -IN-> Region,
   Customer -BOUGHT-> Part (orders x lineitem), Supplier -SUPPLIES-> Part.
+  Nations, parts and suppliers are hubs.
+* Supply graph: the same tables along the goods' way, Customer -BOUGHT-> Part
+  -SOLD_BY-> Supplier -IN-> Nation -IN-> Region, without cycles, so unbounded
+  patterns have finite answers.  Anchors: customer 1, region 1 and 2.
+* Place tree: Region -HAS-> Nation -HAS-> Customer, from the tables' own keys.
 """
 
 from __future__ import annotations
@@ -14,49 +14,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import graph
-from ..operators.joins import REFERENCE_TABLE_ROWS, broadcast_if_small
 from ..sources.tables import Tables
 from .registry import register
 
-START, TARGET, FAR = 1, 10, 13
-MAX_PATH_HOPS = 10  # the recursive path query's own bound (hops < 10 extended by one)
+START, FAR = 1, 13  # customers
+MAX_PATH_HOPS = 10  # the path query's own bound
 
 # --------------------------------------------------------------------------- graph builders
 
 
-def knows_graph(t):
-    users = t.events.select(F.col("user_id").alias("id")).distinct()
-    n = users.select(F.count(F.lit(1))).scalar()
-    e = users.select(F.col("id").alias("src"), ((F.col("id") * 2 + 1) % n).alias("dst")).unionByName(
-        users.select(F.col("id").alias("src"), ((F.col("id") * 3 + 1) % n).alias("dst"))
-    )
-    e = e.distinct().filter(F.col("src") != F.col("dst")).withColumn("rel", F.lit("KNOWS"))
-    nodes = users.select("id", F.lit("Person").alias("label"), F.concat(F.lit("user_"), F.col("id").cast("string")).alias("name"))
-    return graph.from_tables(nodes, e)
-
-
-_KNOWS_SQL = """
-users AS (SELECT DISTINCT user_id AS id FROM events),
-nn AS (SELECT count(*) AS n FROM users),
-knows AS (
-  SELECT DISTINCT src, dst FROM (
-    SELECT id AS src, (2 * id + 1) % (SELECT n FROM nn) AS dst FROM users
-    UNION ALL SELECT id, (3 * id + 1) % (SELECT n FROM nn) FROM users)
-  WHERE src <> dst
-)"""
-
-
-def tree_edges(t):
-    c = t.customer.filter(F.col("c_custkey") > 0)
-    return c.select(
-        F.floor((F.col("c_custkey") - 1) / 10).cast("long").alias("src"), F.col("c_custkey").alias("dst"), F.lit("MANAGES").alias("rel")
-    ).withColumn("eid", F.col("dst"))
-
-
-_TREE_SQL = """
-tree AS (SELECT c_custkey AS id, CAST(floor((c_custkey - 1) / 10.0) AS BIGINT) AS parent FROM customer WHERE c_custkey > 0)"""
-
-
 # Typed node ids are longs: key * 8 + kind code (fixed values below), so the
 # id space of all kinds is shared without string keys in shuffles and joins.
 KIND_CODE = {"supplier": 1, "customer": 2, "part": 3, "nation": 4, "region": 5}
@@ -110,6 +76,40 @@ nodes AS (
   UNION ALL SELECT DISTINCT l_suppkey * 8 + 1, l_partkey * 8 + 3, 'SUPPLIES' FROM lineitem
 )"""
 
+
+def _from(edges, kind):
+    """Edges that leave nodes of one kind."""
+    return edges.filter(F.col("src") % 8 == KIND_CODE[kind])
+
+
+def supply_graph(t):
+    """Edges of the supply graph, without nodes."""
+    nodes, edges = typed_graph(t)
+    sold = edges.filter(F.col("rel") == "SUPPLIES").select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit("SOLD_BY").alias("rel"))
+    places = edges.filter((F.col("rel") == "IN") & (F.col("src") % 8 != KIND_CODE["customer"]))
+    return edges.filter(F.col("rel") == "BOUGHT").unionByName(sold).unionByName(places)
+
+
+_SUPPLY_SQL = f"""{_TYPED_SQL}, supply AS (
+  SELECT src, dst FROM edges WHERE rel = 'BOUGHT'
+  UNION ALL SELECT dst, src FROM edges WHERE rel = 'SUPPLIES'
+  UNION ALL SELECT src, dst FROM edges WHERE rel = 'IN' AND src % 8 <> 2
+)"""
+
+
+def tree_edges(t):
+    """Region -HAS-> Nation -HAS-> Customer."""
+    n = t.nation.select(_tid("region", "n_regionkey").alias("src"), _tid("nation", "n_nationkey").alias("dst"))
+    c = t.customer.select(_tid("nation", "c_nationkey").alias("src"), _tid("customer", "c_custkey").alias("dst"))
+    return n.unionByName(c).withColumn("rel", F.lit("HAS"))
+
+
+_TREE_SQL = """
+tree AS (
+  SELECT n_nationkey * 8 + 4 AS id, n_regionkey * 8 + 5 AS parent FROM nation
+  UNION ALL SELECT c_custkey * 8 + 2, c_nationkey * 8 + 4 FROM customer
+)"""
+
 # --------------------------------------------------------------------------- typed-graph patterns
 
 
@@ -147,7 +147,7 @@ def q_graph_link(spark, sf_dir):
     for each (customer name, nation name) pair of the source rows."""
     t = Tables(spark, sf_dir)
     nodes, _ = typed_graph(t)
-    pairs = t.customer.join(broadcast_if_small(t.nation, REFERENCE_TABLE_ROWS), F.col("c_nationkey") == F.col("n_nationkey")).select("c_name", "n_name")
+    pairs = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_name", "n_name")
     e = graph.link(pairs, nodes, ("Customer", "name", "c_name"), ("Nation", "name", "n_name"), "IN")
     return e.select("src", "dst", "rel")
 
@@ -201,8 +201,8 @@ def q_graph_chain(spark, sf_dir):
     """``(s:Supplier)-[:IN]->()-[:IN]->(r:Region)`` — a fixed two-hop chain."""
     nodes, edges = typed_graph(Tables(spark, sf_dir))
     s = nodes.filter(F.col("label") == "Supplier").select("id", F.col("name").alias("supplier"))
-    one = graph.hop(s, edges, rel="IN").select("supplier", F.col("nbr").alias("id"))
-    two = graph.hop(one, edges, rel="IN").select("supplier", F.col("nbr").alias("id"))
+    one = graph.hop(s, _from(edges, "supplier"), rel="IN").select("supplier", F.col("nbr").alias("id"))
+    two = graph.hop(one, _from(edges, "nation"), rel="IN").select("supplier", F.col("nbr").alias("id"))
     r = nodes.filter(F.col("label") == "Region").select("id", F.col("name").alias("region"))
     return two.join(r, "id").select("supplier", "region")
 
@@ -222,7 +222,7 @@ def q_graph_two_hop_sql(spark, sf_dir):
     _, edges = typed_graph(Tables(spark, sf_dir))
     e = edges.filter(F.col("rel") == "IN")
     e1 = e.filter(F.col("src") % 8 == KIND_CODE["customer"]).select(F.col("src").alias("customer"), F.col("dst").alias("mid"))
-    e2 = e.select(F.col("src").alias("mid"), F.col("dst").alias("region"))
+    e2 = _from(e, "nation").select(F.col("src").alias("mid"), F.col("dst").alias("region"))
     return e1.join(e2, "mid").select("customer", "region")
 
 
@@ -246,12 +246,13 @@ def q_graph_collect(spark, sf_dir):
     the nation dimension, the count grows with the suppliers."""
     nodes, edges = typed_graph(Tables(spark, sf_dir))
     s = nodes.filter(F.col("label") == "Supplier").select("id")
-    sn = graph.hop(s, edges, rel="IN").select(F.col("nbr").alias("id"))
+    # one row per nation before anything else is joined
+    sn = graph.hop(s, _from(edges, "supplier"), rel="IN").groupBy(F.col("nbr").alias("id")).agg(F.count(F.lit(1)).alias("suppliers"))
     named = sn.join(nodes.filter(F.col("label") == "Nation").select("id", F.col("name").alias("nation")), "id")
-    nr = graph.hop(named, edges, rel="IN").select("nation", F.col("nbr").alias("id"))
-    full = nr.join(nodes.select("id", F.col("name").alias("region")), "id")
+    nr = graph.hop(named, _from(edges, "nation"), rel="IN").select("nation", "suppliers", F.col("nbr").alias("id"))
+    full = nr.join(nodes.filter(F.col("label") == "Region").select("id", F.col("name").alias("region")), "id")
     return full.groupBy("region").agg(
-        F.count(F.lit(1)).alias("supplier_count"), F.array_join(F.sort_array(F.collect_set("nation")), ",").alias("nations")
+        F.sum("suppliers").alias("supplier_count"), F.array_join(F.sort_array(F.collect_set("nation")), ",").alias("nations")
     )
 
 
@@ -276,7 +277,11 @@ def q_neighbourhood(spark, sf_dir):
     return ctx.select(F.col("label").alias("kind"), "id", "name")
 
 
-# --------------------------------------------------------------------------- management tree
+# --------------------------------------------------------------------------- place tree
+
+
+def _anchor(spark, kind, key):
+    return spark.range(1).select(F.lit(typed_id(kind, key)).cast("long").alias("id"))
 
 
 @register(
@@ -284,144 +289,133 @@ def q_neighbourhood(spark, sf_dir):
     f"""
 WITH RECURSIVE {_TREE_SQL},
 sub(id, depth) AS (
-  SELECT id, 1 FROM tree WHERE parent = 0
+  SELECT id, 1 FROM tree WHERE parent = 1 * 8 + 5
   UNION ALL SELECT t.id, s.depth + 1 FROM tree t JOIN sub s ON t.parent = s.id
 )
-SELECT id AS c_custkey, depth FROM sub
+SELECT id, depth FROM sub
 """,
 )
 def q_descendants(spark, sf_dir):
-    """All reports of customer 0 at any depth (``-[:MANAGES*]->``)."""
-    t = Tables(spark, sf_dir)
-    roots = spark.range(1).select(F.lit(0).cast("long").alias("id"))
-    d = graph.descendants(tree_edges(t), roots, rel="MANAGES")
-    return d.select(F.col("id").alias("c_custkey"), "depth")
+    """Everything below region 1 at any depth (``-[:HAS*]->``)."""
+    return graph.descendants(tree_edges(Tables(spark, sf_dir)), _anchor(spark, "region", 1), rel="HAS").select("id", "depth")
 
 
 @register(
     "q_expand_bounded",
     f"""
-WITH RECURSIVE {_TREE_SQL},
-sub(id, depth) AS (
-  SELECT id, 1 FROM tree WHERE parent = 0
-  UNION ALL SELECT t.id, s.depth + 1 FROM tree t JOIN sub s ON t.parent = s.id WHERE s.depth < 3
-)
-SELECT id AS c_custkey, depth FROM sub
+WITH {_TREE_SQL}
+SELECT n.id, 1 AS depth FROM tree n WHERE n.parent = 2 * 8 + 5
+UNION ALL SELECT c.id, 2 FROM tree n JOIN tree c ON c.parent = n.id WHERE n.parent = 2 * 8 + 5
 """,
 )
 def q_expand_bounded(spark, sf_dir):
-    """``MATCH p = (:Emp {id: 0})-[:MANAGES*1..3]->(r) RETURN r, length(p)``."""
-    t = Tables(spark, sf_dir)
-    roots = spark.range(1).select(F.lit(0).cast("long").alias("id"))
-    p = graph.expand(tree_edges(t), roots, 1, 3, rel="MANAGES")
-    return p.select(F.col("end").alias("c_custkey"), F.col("hops").alias("depth")).orderBy("depth", "c_custkey")
-
-
-# --------------------------------------------------------------------------- KNOWS graph
+    """``MATCH p = (:Region {key: 2})-[:HAS*1..3]->(r) RETURN r, length(p)``."""
+    p = graph.expand(tree_edges(Tables(spark, sf_dir)), _anchor(spark, "region", 2), 1, 3, rel="HAS")
+    return p.select(F.col("end").alias("id"), F.col("hops").alias("depth")).orderBy("depth", "id")
 
 
-def _start(spark):
-    return spark.range(1).select(F.lit(START).cast("long").alias("id"))
+# --------------------------------------------------------------------------- supply graph
 
 
 @register(
     "q_expand_exact",
     f"""
-WITH {_KNOWS_SQL}
-SELECT k2.dst AS friend FROM knows k1 JOIN knows k2 ON k1.dst = k2.src
-WHERE k1.src = {START} AND NOT (k1.src = k2.src AND k1.dst = k2.dst)
+WITH {_SUPPLY_SQL}
+SELECT b.dst AS reached FROM supply a JOIN supply b ON b.src = a.dst WHERE a.src = {START} * 8 + 2
 """,
 )
 def q_expand_exact(spark, sf_dir):
-    """``(:Person {id: 1})-[:KNOWS*2]->(friend)`` — one row per path."""
-    _, edges = knows_graph(Tables(spark, sf_dir))
-    return graph.expand(edges, _start(spark), 2, 2, rel="KNOWS").select(F.col("end").alias("friend"))
+    """``(:Customer {key: 1})-[*2]->(x)``: one row per path."""
+    p = graph.expand(supply_graph(Tables(spark, sf_dir)), _anchor(spark, "customer", START), 2, 2)
+    return p.select(F.col("end").alias("reached"))
+
+
+# A path of this graph has one node of each kind in a fixed order, so the
+# answer is written kind by kind.
+_CHAIN_SQL = f"""
+WITH {_SUPPLY_SQL}
+SELECT p.src AS customer, p.dst AS part, s.dst AS supplier, n.dst AS nation, r.dst AS region
+FROM supply p JOIN supply s ON s.src = p.dst JOIN supply n ON n.src = s.dst JOIN supply r ON r.src = n.dst
+WHERE p.src = {START} * 8 + 2
+"""
 
 
 @register(
     "q_graph_paths",
     f"""
-WITH RECURSIVE {_KNOWS_SQL},
-paths(person1, person2, hops, path) AS (
-  SELECT src, dst, 1, [src, dst] FROM knows WHERE src = {START}
-  UNION ALL
-  SELECT p.person1, k.dst, p.hops + 1, list_append(p.path, k.dst)
-  FROM paths p JOIN knows k ON p.person2 = k.src
-  WHERE NOT list_contains(p.path, k.dst) AND p.hops < {MAX_PATH_HOPS}
-)
-SELECT person1, person2, hops, array_to_string(path, ',') AS path FROM paths WHERE person2 = {TARGET}
+SELECT customer AS start_id, region AS end_id, 4 AS hops, concat_ws(',', customer, part, supplier, nation, region) AS path
+FROM ({_CHAIN_SQL}) WHERE region = 1 * 8 + 5
 """,
 )
 def q_graph_paths(spark, sf_dir):
-    """All simple paths (no repeated node) 1 -> 10 with at most 10 hops."""
-    _, edges = knows_graph(Tables(spark, sf_dir))
-    p = graph.expand(edges, _start(spark), 1, MAX_PATH_HOPS, rel="KNOWS", unique="node")
-    p = p.filter(F.col("end") == TARGET)
-    return p.select(F.col("start").alias("person1"), F.col("end").alias("person2"), "hops", graph.path_text(F.col("nodes")).alias("path")).orderBy(
-        "hops", "path"
-    )
+    """All simple paths (no repeated node) from customer 1 to region 1 with at
+    most 10 hops."""
+    t = Tables(spark, sf_dir)
+    p = graph.expand(supply_graph(t), _anchor(spark, "customer", START), 1, MAX_PATH_HOPS, unique="node", targets=_anchor(spark, "region", 1))
+    p = p.select(F.col("start").alias("start_id"), F.col("end").alias("end_id"), "hops", graph.path_text(F.col("nodes")).alias("path"))
+    return p.orderBy("hops", "path")
 
 
 @register(
     "q_graph_routes",
     f"""
-WITH RECURSIVE {_KNOWS_SQL},
-routes(last, hops, path, used) AS (
-  SELECT dst, 1, [src, dst], [src * 1000000000 + dst] FROM knows WHERE src = {START}
-  UNION ALL
-  SELECT k.dst, r.hops + 1, list_append(r.path, k.dst), list_append(r.used, k.src * 1000000000 + k.dst)
-  FROM routes r JOIN knows k ON r.last = k.src
-  WHERE NOT list_contains(r.used, k.src * 1000000000 + k.dst) AND r.hops < {MAX_PATH_HOPS}
-)
-SELECT array_to_string(path, ',') AS path_nodes, hops FROM routes WHERE last = {TARGET}
+WITH chain AS ({_CHAIN_SQL})
+SELECT concat_ws(',', customer, part) AS path_nodes, 1 AS hops FROM chain GROUP BY ALL
+UNION ALL SELECT concat_ws(',', customer, part, supplier), 2 FROM chain
+UNION ALL SELECT concat_ws(',', customer, part, supplier, nation), 3 FROM chain
+UNION ALL SELECT concat_ws(',', customer, part, supplier, nation, region), 4 FROM chain
 """,
 )
 def q_graph_routes(spark, sf_dir):
-    """``MATCH p = (:Person {id: 1})-[:KNOWS*..10]->(:Person {id: 10})
-    RETURN nodes(p), length(p)`` — edge-unique, nodes may repeat."""
-    _, edges = knows_graph(Tables(spark, sf_dir))
-    p = graph.expand(edges, _start(spark), 1, MAX_PATH_HOPS, rel="KNOWS", unique="edge").filter(F.col("end") == TARGET)
+    """``MATCH p = (:Customer {key: 1})-[*]->(x) RETURN nodes(p), length(p)``:
+    every route of any length, edge-unique, without a hop limit."""
+    p = graph.expand(supply_graph(Tables(spark, sf_dir)), _anchor(spark, "customer", START), 1, None, unique="edge")
     return p.select(graph.path_text(F.col("nodes")).alias("path_nodes"), "hops").orderBy("hops", "path_nodes")
 
 
 @register(
     "q_suggest_links",
     f"""
-WITH {_KNOWS_SQL},
-reach AS (
-  SELECT dst AS c FROM knows WHERE src = {START}
-  UNION ALL SELECT k2.dst FROM knows k1 JOIN knows k2 ON k1.dst = k2.src
-  WHERE k1.src = {START} AND NOT (k1.src = k2.src AND k1.dst = k2.dst)
-)
-SELECT DISTINCT c AS suggestion FROM reach
-WHERE c <> {START} AND c NOT IN (SELECT dst FROM knows WHERE src = {START})
+WITH {_SUPPLY_SQL}
+SELECT DISTINCT b.dst AS suggestion FROM supply a JOIN supply b ON b.src = a.dst
+WHERE a.src = {START} * 8 + 2 AND b.dst NOT IN (SELECT dst FROM supply WHERE src = {START} * 8 + 2)
 """,
 )
 def q_suggest_links(spark, sf_dir):
-    """People user 1 may know: within 1..2 KNOWS hops, not user 1, not
-    already known."""
-    _, edges = knows_graph(Tables(spark, sf_dir))
-    s = graph.suggest_links(edges, _start(spark), rel="KNOWS")
+    """Nodes that customer 1 may link to: within 1..2 hops of the supply graph
+    and not linked yet."""
+    s = graph.suggest_links(supply_graph(Tables(spark, sf_dir)), _anchor(spark, "customer", START))
     return s.select(F.col("end").alias("suggestion"))
 
 
 @register(
     "q_shortest_path",
     f"""
-WITH RECURSIVE {_KNOWS_SQL},
-ue AS (SELECT src AS a, dst AS b FROM knows UNION SELECT dst, src FROM knows),
-walks(last, hops, path) AS (
-  SELECT {START}, 0, [{START}]
-  UNION ALL
-  SELECT u.b, w.hops + 1, list_append(w.path, u.b) FROM walks w JOIN ue u ON w.last = u.a WHERE w.hops < 4
+WITH {_TYPED_SQL}, ue AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges),
+mid AS (
+  SELECT x.b AS m FROM ue x JOIN ue y ON y.a = x.b WHERE x.a = {START} * 8 + 2 AND y.b = {FAR} * 8 + 2
+), near AS (SELECT DISTINCT b AS id FROM ue WHERE a = {START} * 8 + 2),
+second AS (
+  SELECT u.b AS id, min(u.a) AS parent FROM ue u JOIN near n ON n.id = u.a
+  WHERE u.b <> {START} * 8 + 2 AND u.b NOT IN (SELECT id FROM near) GROUP BY u.b
+), third AS (
+  SELECT u.b AS id, min(u.a) AS parent FROM ue u JOIN second s ON s.id = u.a
+  WHERE u.b <> {START} * 8 + 2 AND u.b NOT IN (SELECT id FROM near) AND u.b NOT IN (SELECT id FROM second) GROUP BY u.b
+), fourth AS (
+  SELECT u.b AS id, min(u.a) AS parent FROM ue u JOIN third s ON s.id = u.a
+  WHERE u.b <> {START} * 8 + 2 AND u.b NOT IN (SELECT id FROM near)
+    AND u.b NOT IN (SELECT id FROM second) AND u.b NOT IN (SELECT id FROM third) GROUP BY u.b
 )
-SELECT array_to_string(path, ',') AS path_nodes, hops FROM walks WHERE last = {FAR}
-ORDER BY hops, list_reverse(path) LIMIT 1
+SELECT concat_ws(',', {START} * 8 + 2, (SELECT min(m) FROM mid), {FAR} * 8 + 2) AS path_nodes, 2 AS hops WHERE (SELECT count(*) FROM mid) > 0
+UNION ALL
+SELECT concat_ws(',', {START} * 8 + 2, s.parent, t.parent, f.parent, f.id), 4
+FROM fourth f JOIN third t ON t.id = f.parent JOIN second s ON s.id = t.parent WHERE f.id = {FAR} * 8 + 2
 """,
 )
 def q_shortest_path(spark, sf_dir):
-    """Shortest connection 1 -- 13, any direction, at most 4 hops; among
-    equally short paths the one whose predecessors are smallest."""
-    _, edges = knows_graph(Tables(spark, sf_dir))
-    p = graph.shortest_path(edges, START, FAR, 4, direction="both")
+    """Shortest connection of customers 1 and 13 in the typed graph, any
+    direction, at most 4 hops; among equally short paths the one whose
+    predecessors are smallest."""
+    _, edges = typed_graph(Tables(spark, sf_dir))
+    p = graph.shortest_path(edges, typed_id("customer", START), typed_id("customer", FAR), 4, direction="both")
     return p.select(graph.path_text(F.col("nodes")).alias("path_nodes"), "hops")

@@ -8,58 +8,10 @@ from pyspark.sql import functions as F
 
 from ..functions.money import money, out, ratio, units
 from ..session import cut_lineage
-from ..operators.joins import REFERENCE_TABLE_ROWS, broadcast_if_small, outer_join
+from ..operators.joins import outer_join
 from ..sources.tables import Tables
 from .registry import register
 
-# --------------------------------------------------------------------------- S2 series table
-
-
-@register(
-    "q_series_rows",
-    """
-SELECT CAST(gs AS BIGINT) AS order_id,
-       CAST(((gs - 1) % 100) + 1 AS BIGINT) AS cust_id,
-       CAST((((gs - 1) % 20) + 1) * 10 AS DOUBLE) AS amount
-FROM (SELECT unnest(generate_series(1, (SELECT count(*) FROM orders))) AS gs)
-""",
-)
-def q_series_rows(spark, sf_dir):
-    """The index-demo table: one generated row per order in ``orders``,
-    customer and amount by arithmetic on the running id.  The row count is a
-    scalar from the data; the rows themselves are produced in parallel."""
-    return _series(spark, Tables(spark, sf_dir))
-
-
-def _series(spark, t):
-    n = t.orders.count()
-    gs = F.col("id")
-    return spark.range(1, n + 1).select(
-        gs.alias("order_id"),
-        (((gs - 1) % 100) + 1).alias("cust_id"),
-        ((((gs - 1) % 20) + 1) * 10).cast("double").alias("amount"),
-    )
-
-
-_SERIES_SQL = """(SELECT CAST(gs AS BIGINT) AS order_id, CAST(((gs - 1) % 100) + 1 AS BIGINT) AS cust_id,
-        CAST((((gs - 1) % 20) + 1) * 10 AS DOUBLE) AS amount
- FROM (SELECT unnest(generate_series(1, (SELECT count(*) FROM orders))) AS gs))"""
-
-
-@register("q_series_filter", f"SELECT * FROM {_SERIES_SQL} WHERE cust_id = 42")
-def q_series_filter(spark, sf_dir):
-    """Equality lookup on the generated table (the index demo's query)."""
-    return _series(spark, Tables(spark, sf_dir)).filter(F.col("cust_id") == 42)
-
-
-@register("q_series_topk", f"SELECT * FROM {_SERIES_SQL} WHERE cust_id = 42 ORDER BY amount, order_id LIMIT 5")
-def q_series_topk(spark, sf_dir):
-    """Filter + sort + limit on the generated table; every match ties on
-    amount, so the order id breaks ties."""
-    s = _series(spark, Tables(spark, sf_dir))
-    return s.filter(F.col("cust_id") == 42).orderBy(F.col("amount").asc_nulls_last(), "order_id").limit(5)
-
-
 # --------------------------------------------------------------------------- F1-F7, F14-F17
 
 
@@ -200,7 +152,7 @@ def q_filter_topk(spark, sf_dir):
 def q_join_inner(spark, sf_dir):
     t = Tables(spark, sf_dir)
     n = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return t.customer.join(broadcast_if_small(n, REFERENCE_TABLE_ROWS), "c_nationkey").select("c_custkey", "c_name", "n_name")
+    return t.customer.join(n, "c_nationkey").select("c_custkey", "c_name", "n_name")
 
 
 @register(
@@ -233,8 +185,9 @@ def _full_sides(t):
 
 @register("q_join_full", _FULL_SQL)
 def q_join_full(spark, sf_dir):
+    """Full outer join, written so that a hot key is split (``joins.outer_join``)."""
     o, li = _full_sides(Tables(spark, sf_dir))
-    return o.join(li, o.o_orderkey == li.l_orderkey, "full").select("o_orderkey", "l_orderkey", "l_linenumber")
+    return outer_join(o, li, ["o_orderkey"], ["l_orderkey"], "full").select("o_orderkey", "l_orderkey", "l_linenumber")
 
 
 @register("q_full_outer_emulated", _FULL_SQL)
@@ -243,8 +196,13 @@ def q_full_outer_emulated(spark, sf_dir):
     with NULL padding; must equal ``q_join_full``.  The one-sided branches
     anti-join against distinct keys, so every branch tolerates a hot key."""
     o, li = _full_sides(Tables(spark, sf_dir))
-    j = outer_join(o, li, ["o_orderkey"], ["l_orderkey"], "full")
-    return j.select("o_orderkey", "l_orderkey", "l_linenumber")
+    left, right = o.alias("o"), li.alias("l")
+    same = F.col("o.o_orderkey") == F.col("l.l_orderkey")
+    matched = left.join(right, same).select("o.o_orderkey", "l.l_orderkey", "l.l_linenumber")
+    lines, orders = li.select("l_orderkey").distinct(), o.select("o_orderkey").distinct()
+    left_only = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+    right_only = li.join(orders, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+    return matched.unionByName(left_only, allowMissingColumns=True).unionByName(right_only, allowMissingColumns=True)
 
 
 @register(
@@ -306,7 +264,7 @@ def q_join_chain(spark, sf_dir):
     )
     o = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     c = t.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    nat = broadcast_if_small(t.nation.select("n_nationkey", "n_name"), REFERENCE_TABLE_ROWS)
+    nat = t.nation.select("n_nationkey", "n_name")
     j = per_order.join(o, "o_orderkey").join(c, "c_custkey").join(nat, "n_nationkey")
     return j.groupBy("n_name").agg(F.sum("n").alias("num_lines"), out(F.sum("rev")).alias("revenue"))
 
@@ -370,16 +328,12 @@ def q_global_agg(spark, sf_dir):
 @register(
     "q_top_share",
     """
-WITH nation_sales AS (
-  SELECT n.n_name, SUM(CAST(l.l_extendedprice AS DECIMAL(12,2))) AS total_sales
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-  GROUP BY n.n_name
-), top_nations AS (
-  SELECT n_name, total_sales FROM nation_sales
-  WHERE total_sales > (SELECT SUM(total_sales) / 25 FROM nation_sales)
-)
-SELECT n_name, CAST(total_sales AS DOUBLE) AS total_sales FROM top_nations
+SELECT n_name, CAST(sales AS DOUBLE) AS total_sales FROM (
+  SELECT n_name, SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS sales, SUM(SUM(CAST(l_extendedprice AS DECIMAL(12,2)))) OVER () AS every
+  FROM nation, customer, orders, lineitem
+  WHERE n_nationkey = c_nationkey AND c_custkey = o_custkey AND o_orderkey = l_orderkey
+  GROUP BY n_name
+) WHERE 25 * sales > every
 """,
 )
 def q_top_share(spark, sf_dir):
@@ -389,7 +343,7 @@ def q_top_share(spark, sf_dir):
     per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(money("l_extendedprice")).alias("rev"))
     o = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     c = t.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    nat = broadcast_if_small(t.nation.select("n_nationkey", "n_name"), REFERENCE_TABLE_ROWS)
+    nat = t.nation.select("n_nationkey", "n_name")
     sales = per_order.join(o, "o_orderkey").join(c, "c_custkey").join(nat, "n_nationkey").groupBy("n_name").agg(
         F.sum("rev").alias("total_sales")
     )

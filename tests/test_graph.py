@@ -43,10 +43,34 @@ def test_org_chart_descendants(spark):
     assert sorted(r.end for r in b.collect()) == [2, 3]
 
 
-def test_descendants_on_cycle_raises(spark):
-    cyc = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src long, dst long").withColumn("rel", F.lit("R")).withColumn("eid", F.col("src"))
-    with pytest.raises(graph.DepthExceeded):
-        graph.descendants(cyc, spark.createDataFrame([(1,)], "id long"), max_depth=5)
+def test_descendants_end_on_a_cycle_and_have_no_depth_limit(spark):
+    start = spark.createDataFrame([(1,)], "id long")
+    cyc = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src long, dst long").withColumn("rel", F.lit("R"))
+    assert sorted((r.id, r.depth) for r in graph.descendants(cyc, start).collect()) == [(1, 3), (2, 1), (3, 2)]
+    chain = spark.range(1, 301).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit("R").alias("rel"))
+    deep = graph.descendants(chain, start)
+    assert sorted((r.id, r.depth) for r in deep.collect()) == [(i + 1, i) for i in range(1, 301)]
+
+
+def test_parallel_edges_stay_apart(spark):
+    e = spark.createDataFrame([(1, 2), (1, 2), (2, 1)], "src long, dst long").withColumn("rel", F.lit("R"))
+    nodes = spark.createDataFrame([(1, "N"), (2, "N")], "id long, label string")
+    _, e = graph.from_tables(nodes, e)
+    p = graph.expand(e, spark.createDataFrame([(1,)], "id long"), 3, 3)
+    assert [(r.end, len(set(r.eids))) for r in p.collect()] == [(2, 3), (2, 3)]
+
+
+def test_paths_to_targets_are_the_filtered_paths(spark):
+    import random
+
+    rng = random.Random(1)
+    pairs = [(rng.randrange(9), rng.randrange(9)) for _ in range(22)]
+    e = spark.createDataFrame(pairs, "src long, dst long").withColumn("rel", F.lit("R"))
+    start, target = spark.createDataFrame([(0,)], "id long"), spark.createDataFrame([(5,), (5,)], "id long")
+    for unique in ("node", "edge"):
+        every = graph.expand(e, start, 1, 5, unique=unique).filter("end = 5")
+        pruned = graph.expand(e, start, 1, 5, unique=unique, targets=target)
+        assert sorted(r.nodes for r in every.collect()) == sorted(r.nodes for r in pruned.collect())
 
 
 def test_edge_unique_allows_revisits_node_unique_does_not(spark):
@@ -141,7 +165,7 @@ def test_converge_counts_without_pairs(spark):
 
 def test_recursive_sql_equals_frontier_loop(spark):
     """Spark SQL's WITH RECURSIVE and the checkpointed frontier loop give the
-    same descendants on the customer tree of the smallest driver tables."""
+    same descendants on the place tree of the smallest driver tables."""
     import os
 
     sf = "/root/testdata/sf0.001"
@@ -151,17 +175,15 @@ def test_recursive_sql_equals_frontier_loop(spark):
     from tessera.sources.tables import Tables
 
     t = Tables(spark, sf)
-    t.customer.createOrReplaceTempView("customer_tree_src")
+    tree_edges(t).createOrReplaceTempView("place_tree")
     rec = spark.sql(
         """
-        WITH RECURSIVE tree AS (
-          SELECT c_custkey AS id, CAST(floor((c_custkey - 1) / 10) AS BIGINT) AS parent FROM customer_tree_src WHERE c_custkey > 0
-        ), sub(id, depth) AS (
-          SELECT id, 1 FROM tree WHERE parent = 0
-          UNION ALL SELECT t.id, s.depth + 1 FROM tree t JOIN sub s ON t.parent = s.id
+        WITH RECURSIVE sub(id, depth) AS (
+          SELECT dst, 1 FROM place_tree WHERE src = 13
+          UNION ALL SELECT t.dst, s.depth + 1 FROM place_tree t JOIN sub s ON t.src = s.id
         )
         SELECT id, depth FROM sub
         """
     )
-    loop = graph.descendants(tree_edges(t), spark.createDataFrame([(0,)], "id long"), rel="MANAGES")
+    loop = graph.descendants(tree_edges(t), spark.createDataFrame([(13,)], "id long"), rel="HAS")
     assert sorted(map(tuple, rec.collect())) == sorted(map(tuple, loop.collect()))

@@ -1,19 +1,35 @@
-"""Size-checked broadcast hint."""
+"""Outer joins that split hot keys, and the order of sorted results."""
 
-from tessera.operators.joins import broadcast_if_small
+import os
 
+import pytest
 
-def _strategy(spark, small_side):
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    plan = big.join(small_side.withColumnRenamed("id", "k"), "k")._jdf.queryExecution().executedPlan().toString()
-    return "BroadcastHashJoin" if "BroadcastHashJoin" in plan else "shuffle join"
+import __spark_entry__ as E
+from tessera.operators.joins import outer_join
 
+SF = os.environ.get("TESSERA_TEST_SF", "/root/testdata/sf0.001")
 
-def test_broadcast_only_within_bound(spark):
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no automatic broadcast
-    try:
-        assert _strategy(spark, broadcast_if_small(spark.range(20), 25)) == "BroadcastHashJoin"
-        assert _strategy(spark, broadcast_if_small(spark.range(20), 10)) == "shuffle join"
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_outer_join_equals_the_native_one(spark, how):
+    left = spark.createDataFrame([(i % 3 if i % 5 else None, i) for i in range(40)], "a int, x int")
+    right = spark.createDataFrame([(i % 4 if i % 7 else None, i) for i in range(30)], "b int, y int")
+    native = left.join(right, left.a == right.b, how)
+    got = outer_join(left, right, ["a"], ["b"], how)
+    assert sorted(map(str, got.collect())) == sorted(map(str, native.collect()))
+
+
+ORDERED = {
+    "q_star_region": lambda r: (r.region, -r.store_revenue, r.store_name),
+    "q_star_margin": lambda r: (-r.total_revenue, r.department, r.category),
+    "q_star_month": lambda r: (r.calendar_year, r.month_num),
+    "q_expand_bounded": lambda r: (r.depth, r.id),
+    "q_row_counts": lambda r: r.table_name,
+}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+@pytest.mark.parametrize("key", sorted(ORDERED))
+def test_sorted_results_come_in_order(spark, key):
+    rows = E.queries()[key](spark, SF).collect()
+    assert rows == sorted(rows, key=ORDERED[key]) and len(rows) > 1
