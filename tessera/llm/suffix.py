@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_table
 from .shingles import chunks, mixed
 
 LENGTH = 200
@@ -109,29 +109,45 @@ def cover_runs(texts: list[bytes], rolling: Rolling, length: int, prefix: int):
     return text, start - (end - size)[text], count, heads[anchor[first]].view(np.int64), body.view(np.int64)
 
 
+def _intervals(lo: np.ndarray, hi: np.ndarray) -> list[dict]:
+    """Sorted starts lo..hi joined where they touch."""
+    new = np.flatnonzero(np.concatenate([[True], lo[1:] > hi[:-1] + 1]))
+    return [{"lo": int(x), "hi": int(y)} for x, y in zip(lo[new], hi[np.concatenate([new[1:] - 1, [len(hi) - 1]])])]
+
+
 def _runs(length: int, prefix: int):
+    """A row for each different run of a text: its first start, how often it is
+    there, and, if more than once, all of its windows' starts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for part in chunks(texts, CHUNK_BYTES):
                 text, start, count, name, body = cover_runs([texts[i] for i in part], rolling, length, prefix)
-                take = pa.array(text + part.start)
-                cols = [batch.column(0).take(take), batch.column(1).take(take), pa.array(start), pa.array(count.astype(np.int32)), pa.array(name), pa.array(body)]
-                yield pa.RecordBatch.from_arrays(cols, ["id", "thash", "start", "windows", "name", "body"])
+                order = np.lexsort((start, body, name, text))
+                text, start, count, name, body = (x[order] for x in (text, start, count, name, body))
+                same = (text[1:] == text[:-1]) & (name[1:] == name[:-1]) & (body[1:] == body[:-1]) & (count[1:] == count[:-1])
+                first = np.flatnonzero(np.concatenate([[True], ~same])) if len(text) else np.zeros(0, dtype=np.int64)
+                times = np.diff(np.concatenate([first, [len(text)]]))
+                own = [None if n == 1 else _intervals(start[i : i + n], start[i : i + n] + count[i : i + n] - 1) for i, n in zip(first.tolist(), times.tolist())]
+                take = pa.array(text[first] + part.start)
+                span = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
+                cols = [pa.array(start[first].astype(np.int32)), pa.array(count[first].astype(np.int32)), pa.array(name[first]), pa.array(body[first]), pa.array(times.astype(np.int32)), pa.array(own, span)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *cols], ["id", "thash", "start", "windows", "name", "body", "times", "own"])
 
     return run
 
 
 def _bodies(length: int):
-    """Rows (bytes, runs) -> the bytes of each run, or its windows'
+    """Rows (text, runs) -> the bytes of each run, or its windows'
     fingerprints if its bucket is large."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for batch in batches:
             for i in range(batch.num_rows):
-                data, runs = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
+                data, runs = batch.column(3)[i].as_py(), batch.column(4)[i].as_py()
                 cols: list[list] = [[], [], [], [], []]
                 for r in runs:
                     own = data[r["start"] : r["start"] + r["windows"] + length - 1]
@@ -143,7 +159,7 @@ def _bodies(length: int):
                         c.append(v)
                 n = len(runs)
                 arrays = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.list_(pa.int64())))]
-                both = [batch.column(c).take(pa.array([i] * n)) for c in (0, 1)]
+                both = [batch.column(c).take(pa.array([i] * n)) for c in (1, 2)]
                 yield pa.RecordBatch.from_arrays([*both, *arrays], ["id", "thash", "start", "name", "once", "own", "prints"])
 
     return run
@@ -194,33 +210,51 @@ def _sorted_buckets(length: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, prefix: int = PREFIX, bucket_runs: int = BUCKET_RUNS) -> DataFrame:
-    """(id, thash, lo, hi): starts lo..hi of windows that also start elsewhere."""
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row struct of the other columns, id, thash, bytes)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("thash"), F.to_binary(text, F.lit("utf-8")).alias("bytes"))
-    kind = rows.schema["id"].dataType.simpleString()
-    runs = rows.where(F.octet_length("bytes") >= length).mapInArrow(_runs(length, prefix), f"id {kind}, thash long, start long, windows int, name long, body long")
-    again = runs.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name")
-    runs = cut_lineage(runs.join(again, "name", "left_semi"))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    return docs.select(F.struct(*rest).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("thash"), F.to_binary(text, F.lit("utf-8")).alias("bytes"))
+
 
-    different = runs.groupBy("name", "body", "windows").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "thash", "start")).alias("m"))
-    different = cut_lineage(different)
-    copies = runs.join(different.where("c > 1").select("name", "body", "windows"), ["name", "body", "windows"])
-    whole = copies.select("id", "thash", F.col("start").alias("lo"), (F.col("start") + F.col("windows") - 1).alias("hi"))
+def _same_text(a: str, b: str):
+    return F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.thash") == F.col(f"{b}.thash"))
+
+
+def repeated_windows(rows: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, bucket_runs: int = BUCKET_RUNS) -> DataFrame:
+    """(id, thash, lo, hi): starts lo..hi of windows that also start elsewhere.
+    ``rows`` as ``_rows`` gives them."""
+    kind = rows.schema["id"].dataType.simpleString()
+    span = "array<struct<lo:bigint,hi:bigint>>"
+    texts = rows.where(F.octet_length("bytes") >= length).select("id", "thash", "bytes")
+    runs = texts.mapInArrow(_runs(length, prefix), f"id {kind}, thash long, start int, windows int, name long, body long, times int, own {span}")
+    again = runs.groupBy("name").agg(F.sum("times").alias("c")).where("c > 1").select("name")
+    runs = cut_table(runs.join(again, "name", "left_semi"))
+
+    # "windows" is the length of the body, which the body's hash covers
+    different = runs.groupBy("name", "body", "windows").agg(F.sum("times").alias("c"), F.min(F.struct("id", "thash", "start")).alias("m"))
+    different = cut_table(different)
+    copies = runs.join(different.where("c > 1").select("name", "body", "windows"), ["name", "body", "windows"], "left_semi")
+    only = F.array(F.struct(F.col("start").cast("long").alias("lo"), (F.col("start") + F.col("windows") - 1).cast("long").alias("hi")))
+    whole = copies.select("id", "thash", F.inline(F.coalesce("own", only)))
 
     buckets = different.groupBy("name").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    has_large = not buckets.where(F.col("k") > bucket_runs).isEmpty()
     open_ = different.join(buckets, "name").select("m.*", F.struct("m.start", "windows", "name", (F.col("c") == 1).alias("once"), (F.col("k") > bucket_runs).alias("large")).alias("run"))
     wanted = open_.groupBy("id", "thash").agg(F.collect_list("run").alias("runs"))
-    same = F.col("r.id").eqNullSafe(F.col("w.id")) & (F.col("r.thash") == F.col("w.thash"))
-    read = rows.alias("r").join(wanted.alias("w"), same).select("r.id", "r.thash", "r.bytes", "w.runs")
+    read = rows.alias("r").join(wanted.alias("w"), _same_text("r", "w")).select("r.row", "r.id", "r.thash", "r.bytes", "w.runs")
     bodies = read.mapInArrow(_bodies(length), f"id {kind}, thash long, start long, name long, once boolean, own binary, prints array<long>")
-    bodies = cut_lineage(bodies)
+    if has_large:  # then read twice
+        bodies = cut_table(bodies)
     small = bodies.where("own is not null").drop("prints").repartition("name").sortWithinPartitions("name")
     found = small.mapInArrow(_sorted_buckets(length), f"id {kind}, thash long, lo long, hi long")
 
+    if not has_large:
+        return whole.unionByName(found)
     prints = bodies.where("prints is not null").select("id", "thash", "start", "once", F.posexplode("prints").alias("w", "print"))
     twice = prints.groupBy("print").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("print")
-    large = prints.where("once").join(twice, "print", "left_semi").select("id", "thash", (F.col("start") + F.col("w")).alias("lo"), (F.col("start") + F.col("w")).alias("hi"))
+    start = F.col("start") + F.col("w")
+    large = prints.where("once").join(twice, "print", "left_semi").select("id", "thash", start.alias("lo"), start.alias("hi"))
     return whole.unionByName(found).unionByName(large)
 
 
@@ -265,13 +299,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """(row struct of the input's columns without the text, n_bytes, n_removed,
     spans array<struct<start, stop>>, kept binary) of every row.  With
     ``whole_chars`` a character of which only some bytes are covered stays."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    found = repeated_windows(docs, id_col=id_col, text_col=text_col, length=length, **how)
-    per = found.groupBy("id", "thash").agg(F.collect_list(F.struct("lo", "hi")).alias("w"))
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    rows = docs.select(F.struct(*rest).alias("row"), F.col(id_col).alias("rid"), F.xxhash64(text).alias("rhash"), F.to_binary(text, F.lit("utf-8")).alias("bytes"))
-    same = F.col("rid").eqNullSafe(F.col("id")) & (F.col("rhash") == F.col("thash"))
-    joined = rows.join(per, same, "left").select("row", "bytes", F.col("w.lo").alias("lo"), F.col("w.hi").alias("hi"))
+    rows = _rows(docs, id_col, text_col)
+    per = repeated_windows(rows, length=length, **how).groupBy("id", "thash").agg(F.collect_list(F.struct("lo", "hi")).alias("w"))
+    # the texts are dealt out once: the plan of the bodies reads the same exchange
+    joined = rows.alias("r").join(per.alias("p"), _same_text("r", "p"), "left").select("r.row", "r.bytes", F.col("p.w.lo").alias("lo"), F.col("p.w.hi").alias("hi"))
     schema = f"row {joined.schema['row'].dataType.simpleString()}, n_removed long, spans array<struct<start:bigint,stop:bigint>>, kept binary"
     out = joined.mapInArrow(_cut(length, whole_chars), schema)
     return out.withColumn("n_bytes", F.octet_length("kept") + F.col("n_removed"))
