@@ -11,6 +11,10 @@ token ends there in the whole text too.  A text without such a place (one
 unbroken run) is encoded as it is.  SentencePiece models and tokenizers
 that normalise across white space get whole texts.
 
+Because counts of such pieces add up, a worker remembers the counts of pieces
+it met twice (a bounded table; a piece is a space and what follows up to the
+next) and encodes only the other pieces of a text, joined.
+
 Nulls: a null text counts as empty (0 tokens); ids may be null or repeat; rows
 map one to one.  An empty table gives an empty result.
 """
@@ -27,6 +31,9 @@ from pyspark.sql import functions as F
 
 PIECE_CHARS = 1 << 16
 BATCH_BYTES = 1 << 18
+MEMO_PIECES = 400_000
+#: White space after a space: not a boundary between single words.
+_RUN = re.compile(r" \s")
 #: White space after a graphic ASCII character or a letter beyond ASCII.
 _CUT = re.compile(r"(?<=[!-~À-ɏЀ-ӿ])[ \n]")
 
@@ -59,15 +66,49 @@ def balanced(pieces: list[str], limit: int = BATCH_BYTES) -> Iterator[range]:
         yield range(first, len(pieces))
 
 
+class PieceCounts:
+    """Token counts of pieces " word", learned when a piece is met again."""
+
+    def __init__(self, lengths, special: tuple[str, ...], limit: int = MEMO_PIECES):
+        self.lengths, self.special, self.limit = lengths, special, limit
+        self.known: dict[str, int] = {}
+        self.met: set[str] = set()
+        self.learn: set[str] = set()
+
+    def split(self, text: str) -> tuple[int, str]:
+        """(tokens of the pieces known, the rest of the text joined)."""
+        if _RUN.search(text) or any(s in text for s in self.special):
+            return 0, text
+        first, *pieces = text.split(" ")
+        if pieces and not pieces[-1]:  # a space at the end stays with its piece
+            return 0, text
+        counts = list(map(self.known.get, pieces))
+        if None not in counts:
+            return sum(counts), first
+        new = [p for p, c in zip(pieces, counts) if c is None]
+        if len(self.known) < self.limit:
+            self.learn.update(p for p in new if p in self.met and len(p) < 100)
+            self.met.update(new)
+        return sum(filter(None, counts)), " ".join([first, *new])
+
+    def settle(self) -> None:
+        """Count the pieces met again; forget pieces met once when many."""
+        pieces = [p for p in self.learn if p not in self.known]
+        self.known.update(zip(pieces, self.lengths([" " + p for p in pieces])))
+        self.learn.clear()
+        if len(self.met) > 2 * self.limit:
+            self.met.clear()
+
+
 @functools.lru_cache(maxsize=4)
 def _lengths(path: str):
-    """Function from a list of texts to their token counts, and whether texts
-    may be split; one for each Python worker and vocabulary."""
+    """Function from a list of texts to their token counts, and piece counts
+    where texts may be split; one for each Python worker and vocabulary."""
     if path.endswith(".model"):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return (lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]), False
+        return (lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]), None
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -77,7 +118,13 @@ def _lengths(path: str):
     tok.no_truncation()
     tok.no_padding()
     by_bytes = tok.normalizer is None and type(tok.pre_tokenizer).__name__ == "ByteLevel" and not tok.pre_tokenizer.add_prefix_space
-    return (lambda texts: [len(x) for x in tok.encode_batch_fast(texts, add_special_tokens=False)]), by_bytes
+
+
+    def lengths(texts: list[str]) -> list[int]:
+        return [len(x) for x in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    special = tuple(t.content for t in tok.get_added_tokens_decoder().values())
+    return lengths, PieceCounts(lengths, special) if by_bytes else None
 
 
 def default_vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -91,17 +138,21 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None, *, limit: int =
     path = vocabulary or default_vocabulary()
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, splits = _lengths(path)
+        encode, memo = _lengths(path)
         for batch in batches:
-            pieces, of = [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                own = safe_pieces(text) if splits else [text]
+            pieces, of, counts = [], [], [0] * batch.num_rows
+            for row, text in enumerate(batch.column(1)):
+                text = text.as_py()
+                if memo:
+                    counts[row], text = memo.split(text)
+                own = safe_pieces(text) if memo else [text]
                 pieces += own
                 of += [row] * len(own)
-            counts = [0] * batch.num_rows
             for run in balanced(pieces):
                 for i, n in zip(run, encode([pieces[i] for i in run])):
                     counts[of[i]] += n
+            if memo:
+                memo.settle()
             size = batch.column(2)
             yield pa.RecordBatch.from_arrays([batch.column(0), size, pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
