@@ -10,14 +10,17 @@ with probability 4e-5, and less above.
 
 1. A collection value that no other class has cannot be part of a shared key;
    such values are dropped first, so keys are formed only where they can meet.
-2. In every bucket all classes are compared with the bucket's smallest
-   (no pairs within the bucket); sets whose sizes rule out the similarity
-   are left out, the others are compared in full.  Confirmed links
+2. In every bucket all classes are compared with its centre, the class that
+   meets most others over all tables; sets whose sizes rule out the
+   similarity are left out, the others are compared in full.  Confirmed links
    give components; buckets within one component are settled.
-3. In the buckets left, classes of different components are compared: those
-   whose 32 minhashes agree in at least ``SCREEN`` places (a pair of similarity
-   0.75 fails that with probability 1e-7) are compared in full.  Nothing is
-   capped.  Further links join the components.
+3. In the buckets left, classes of different components whose 32 minhashes
+   agree in at least ``SCREEN`` places (a pair of similarity 0.75 fails that
+   with probability 1e-7) may be linked; chains of them are clusters.  In a
+   cluster all classes of different components are compared in full, and the
+   links that join components are passed on.  Tasks pass on no more pairs than
+   it takes to keep a group together; groups of any size are compared in
+   bounded blocks, and nothing is capped.
 
 Keys, classes and links are joined on values with many distinct keys; joins on
 a hot bucket are inner equi-joins that adaptive execution splits.
@@ -38,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import cut_lineage
+from ..session import cut_lineage, cut_table
 from .common import connected_components
 from .shingles import WordHashes, chunks, mixed, shingle_hashes
 
@@ -46,6 +49,8 @@ WIDTH = 5
 GROUPS = 16
 ROWS = 2
 SCREEN = 11
+BUCKET_ROWS = 4_096  # rows of a bucket that a task compares at once
+BLOCK_SHINGLES = 1 << 20  # shingles of a cluster that a task compares at once
 SIMILAR = 75  # per cent
 
 
@@ -107,34 +112,180 @@ def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 
 def table_keys(classes: DataFrame) -> DataFrame:
-    """(key, rep, n): the keys of the tables in which a class can meet another."""
+    """(key, i, j, rep, n): the keys of the tables (i, j) in which a class can
+    meet another."""
     value = [F.xxhash64(F.lit(g), *[F.get("sig", F.lit(g * ROWS + r)) for r in range(ROWS)]) for g in range(GROUPS)]
     one = classes.select("rep", "n", F.posexplode(F.array(*value)).alias("g", "value"))
     shared = one.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value")
     mine = one.join(shared, "value").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("g", "value"))).alias("v")).where(F.size("v") > 1)
     v = F.col("v")
-    pairs = F.flatten(
-        F.transform(v, lambda a, i: F.transform(F.slice(v, i + 2, F.lit(GROUPS)), lambda b: F.xxhash64(a["g"], b["g"], a["value"], b["value"])))
-    )
-    return mine.select(F.explode(pairs).alias("key"), "rep", "n")
+
+    def entry(a, b):
+        return F.struct(F.xxhash64(a["g"], b["g"], a["value"], b["value"]).alias("key"), a["g"].alias("i"), b["g"].alias("j"))
+
+    pairs = F.flatten(F.transform(v, lambda a, i: F.transform(F.slice(v, i + 2, F.lit(GROUPS)), lambda b: entry(a, b))))
+    return mine.select(F.explode(pairs).alias("e"), "rep", "n").select("e.*", "rep", "n")
 
 
 def _sizes_fit(a, b):
     return F.least(a, b) * 100 >= F.greatest(a, b) * SIMILAR
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Pairs (u, v) whose full sets are similar enough."""
-    wanted = pairs.select(F.col("u").alias("rep")).union(pairs.select(F.col("v").alias("rep"))).distinct().join(classes.select("rep", "thash"), "rep")
+def full_sets(wanted: DataFrame, docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(rep, set) of the classes ``wanted`` (rep, thash)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.xxhash64(text).alias("thash"), F.to_binary(text, F.lit("utf-8")).alias("bytes"))
-    rows = rows.join(wanted, ["rep", "thash"], "left_semi").dropDuplicates(["rep", "thash"]).select("rep", "bytes")
+    rows = rows.join(wanted, ["rep", "thash"], "left_semi").select("rep", "bytes")
     sets = rows.mapInArrow(_sets(width), "rep long, set array<long>")
+    return cut_table(sets.dropDuplicates(["rep"]))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (u, v) whose full sets are similar enough."""
     both = pairs.join(sets.select(F.col("rep").alias("u"), F.col("set").alias("su")), "u").join(sets.select(F.col("rep").alias("v"), F.col("set").alias("sv")), "v")
     common = F.size(F.array_intersect("su", "sv"))
     return both.where(100 * common >= SIMILAR * (F.size("su") + F.size("sv") - common)).select("u", "v")
 
 
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of the rows equal in ``keys``; the rows come in order of them."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        marks = np.stack([np.array(batch.column(k)) for k in keys], axis=1)
+        edges = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1), batch.num_rows]
+        for a, b in zip(edges, edges[1:]):
+            if held and tuple(marks[a]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = tuple(marks[a])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return np.array(table.column(name))
+
+
+def _lists(table: pa.Table, name: str) -> list[np.ndarray]:
+    return [np.array(x.values) for x in table.column(name)]
+
+
+def _pairs_found(found: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["u", "v"])
+
+
+def _spanning(rep: np.ndarray, label: np.ndarray, side: np.ndarray, apart: bool, linked) -> Iterator[tuple[int, int]]:
+    """Links that join the components of a group, one per join.  ``linked`` gives
+    the members linked with member i; with ``apart`` only pairs of the two
+    sides count.  Members of the largest component need no turn of their own."""
+    labels, counts = np.unique(label, return_counts=True)
+    if len(labels) < 2:
+        return
+    label = label.copy()
+    for i in np.flatnonzero(label != labels[np.argmax(counts)]):
+        other = linked(i) & (label != label[i])
+        if apart:
+            other &= side != side[i]
+        while other.any():
+            k = int(np.argmax(other))
+            yield int(max(rep[i], rep[k])), int(min(rep[i], rep[k]))
+            label[label == label[k]] = label[i]
+            other &= label != label[i]
+
+
+def _screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets -> pairs of different components that agree well enough, as many
+    as it takes to keep together what may be linked."""
+    found: list[tuple[int, int]] = []
+    for group in _groups(batches, ["key", "lo", "hi"]):
+        rep, label, n, side = (_column(group, c) for c in ("rep", "component", "n", "side"))
+        sig = np.stack(_lists(group, "sig"))
+
+        def linked(i: int) -> np.ndarray:
+            fits = np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * SIMILAR
+            return fits & ((sig == sig[i]).sum(axis=1) >= SCREEN)
+
+        found += _spanning(rep, label, side, group.column("lo")[0] != group.column("hi")[0], linked)
+        if len(found) > 50_000:
+            yield _pairs_found(found)
+            found = []
+    yield _pairs_found(found)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Clusters -> links between different components, from the full sets."""
+    found: list[tuple[int, int]] = []
+    for group in _groups(batches, ["key", "lo", "hi"]):
+        rep, label, side = (_column(group, c) for c in ("rep", "component", "side"))
+        sets = _lists(group, "set")
+        n = np.array([len(x) for x in sets])
+        values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), n)[np.argsort(ids, kind="stable")]
+        start = np.concatenate([[0], np.cumsum(np.bincount(ids, minlength=len(values)))])
+        own = np.split(ids, np.cumsum(n)[:-1])
+
+        def linked(i: int) -> np.ndarray:
+            common = np.bincount(np.concatenate([owner[start[x] : start[x + 1]] for x in own[i]]), minlength=len(sets))
+            return 100 * common >= SIMILAR * (n + n[i] - common)
+
+        found += _spanning(rep, label, side, group.column("lo")[0] != group.column("hi")[0], linked)
+        if len(found) > 50_000:
+            yield _pairs_found(found)
+            found = []
+    yield _pairs_found(found)
+
+
+def _in_blocks(rows: DataFrame, key: str, blocks) -> DataFrame:
+    """Rows of a group dealt out over pairs of blocks (key, lo, hi): one pair for
+    a group of one block; a row of a large group goes to every pair of its
+    block, so a group of any size is worked off in bounded tasks."""
+    rows = rows.withColumn("blocks", blocks.cast("int")).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = rows.withColumn("other", other).withColumn("lo", F.least("side", "other")).withColumn("hi", F.greatest("side", "other"))
+    rows = rows.withColumnRenamed(key, "key").drop("blocks", "other")
+    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+
+def class_components(reps: DataFrame, docs: DataFrame, **how) -> DataFrame | None:
+    """(node, component) of the classes that are linked (None: none is)."""
+    keys = cut_lineage(table_keys(reps))
+    size = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    keys = cut_lineage(keys.join(size, "key"))
+    # the class that meets most others is a bucket's centre: a text that others
+    # were copied from meets more of them than they each other
+    rank = keys.groupBy("rep").agg(F.sum("c").alias("meets"))
+    keys = cut_lineage(keys.join(rank, "rep").withColumn("who", F.struct("meets", "rep", "n")))
+    sets = full_sets(reps.join(rank, "rep", "left_semi").select("rep", "thash"), docs, **how)
+
+    pairs = keys.join(keys.groupBy("key").agg(F.max("who").alias("centre")), "key")
+    pairs = pairs.where((F.col("rep") != F.col("centre.rep")) & _sizes_fit(F.col("n"), F.col("centre.n")))
+    pairs = pairs.select(F.greatest("rep", "centre.rep").alias("u"), F.least("rep", "centre.rep").alias("v")).distinct()
+    links = cut_lineage(confirmed(pairs, sets))
+    comp = connected_components(links)
+
+    part = keys.select("key", "c", "rep", "n").join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    part = cut_lineage(part.withColumn("component", F.coalesce("component", "rep")))
+    open_ = part.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
+    rest = part.join(open_, "key").join(reps.select("rep", "sig"), "rep")
+    rest = _in_blocks(rest, "key", F.ceil(F.col("c") / BUCKET_ROWS))
+    maybe = cut_lineage(rest.mapInArrow(_screened, "u long, v long").distinct())
+    if maybe.isEmpty():
+        return comp
+    # what may be linked, chained over the old links and the new pairs: a pair
+    # left out of a bucket because its ends hang together is in one cluster
+    cluster = connected_components(links.union(maybe)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    member = cluster.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed_ = member.groupBy("cluster").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("cluster")
+    member = cut_lineage(member.join(mixed_, "cluster").join(sets, "rep"))
+    weight = member.groupBy("cluster").agg(F.ceil(F.sum(F.size("set")) / BLOCK_SHINGLES).alias("blocks"))
+    member = _in_blocks(member.join(weight, "cluster"), "cluster", F.greatest("blocks", F.lit(1)))
+    further = cut_lineage(member.mapInArrow(_compared, "u long, v long").distinct())
+    return comp if further.isEmpty() else connected_components(links.union(further))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """(doc_id, thash, n_shingles, component_id, kept) of every row."""
     how = {"id_col": id_col, "text_col": text_col, "width": width}
@@ -144,30 +295,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = cut_lineage(classes.select("h1", "h2", "n", F.col("m.doc_id").alias("rep"), F.col("m.thash").alias("thash"), F.col("m.sig").alias("sig")))
     # an id on rows of different texts can stand for several classes
     reps = classes.groupBy("rep").agg(F.min(F.struct("thash", "n", "sig")).alias("m")).select("rep", "m.thash", "m.n", "m.sig")
+    comp = class_components(reps, docs, **how)
 
-    keys = cut_lineage(table_keys(reps))
-    first = keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    star = keys.join(first.select("key", F.col("m.rep").alias("u"), F.col("m.n").alias("un")), "key")
-    star = star.where((F.col("rep") != F.col("u")) & _sizes_fit(F.col("n"), F.col("un"))).select("u", F.col("rep").alias("v")).distinct()
-    star = cut_lineage(star)
-    links = cut_lineage(confirmed(star, docs, reps, **how))
-    comp = connected_components(links)
-
-    part = keys.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    part = cut_lineage(part)
-    mixed_ = part.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-    rest = part.join(mixed_, "key").join(reps.select("rep", "sig"), "rep")
-    a, b = rest.alias("a"), rest.alias("b")
-    agree = F.size(F.filter(F.zip_with("a.sig", "b.sig", lambda x, y: x == y), lambda same: same))
-    apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.component") != F.col("b.component"))
-    more = a.join(b, apart & _sizes_fit(F.col("a.n"), F.col("b.n")) & (agree >= SCREEN)).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")).distinct()
-    more = cut_lineage(more.join(star, ["u", "v"], "left_anti"))
-    further = cut_lineage(confirmed(more, docs, reps, **how))
-    if not further.isEmpty():
-        comp = connected_components(links.union(further))
-
-    whole = classes.select("h1", "h2", "n", "rep").join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    whole = whole.select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
+    whole = classes.select("h1", "h2", "n", "rep")
+    if comp is None:
+        whole = whole.withColumnRenamed("rep", "component")
+    else:
+        whole = whole.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
     out = signed.join(whole, ["h1", "h2", "n"], "left")
     linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     component = F.when(linked, F.col("component")).otherwise(F.col("doc_id"))
