@@ -45,7 +45,8 @@ TABLE = 1 << 19
 SWEEPS = 12
 DISCOUNT = 0.5
 BACKOFF = 2.0
-_FLUSH = 100_000
+_FLUSH = 400_000  # different words that a task holds
+_HELD = 1 << 22  # tokens that a task holds
 _END = 0  # class of the end token; word classes are 1 .. CLASSES
 
 
@@ -61,27 +62,34 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple
             yield batch, part, [texts[i] for i in part]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    count: Counter[bytes] = Counter()
+def _frequent(most: int):
+    """A task's most frequent words."""
 
-    def out() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], ["word", "n"])
-        count.clear()
-        return batch
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter[bytes] = Counter()
+
+        def out() -> pa.RecordBatch:
+            top = count.most_common(most)
+            count.clear()
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
 
-    for _, _, texts in _texts(batches):
-        for words in _words(texts):
-            count.update(words)
-        if len(count) > 4 * _FLUSH:
+        for _, _, texts in _texts(batches):
+            for words in _words(texts):
+                count.update(words)
+            if len(count) > 2 * _FLUSH:
+                yield out()
+        if count:
             yield out()
-    if count:
-        yield out()
+
+    return run
 
 
-def _sequence(texts: list[bytes], index: dict, end: int) -> np.ndarray:
-    """Numbers of all tokens, each text between two ends."""
+def _sequence(texts: list[bytes], index: dict, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all tokens, each text between two ends, and the place of the
+    end before each text."""
     words = _words(texts)
-    total = sum(map(len, words)) + len(words) + 1
+    size = np.array([len(w) for w in words], dtype=np.int64)
+    total = int(size.sum()) + len(words) + 1
 
     def numbers():
         yield end
@@ -89,7 +97,7 @@ def _sequence(texts: list[bytes], index: dict, end: int) -> np.ndarray:
             yield from map(index.__getitem__, own)
             yield end
 
-    return np.fromiter(numbers(), dtype=np.int64, count=total)
+    return np.fromiter(numbers(), dtype=np.int32, count=total), np.cumsum(size + 1) - size - 1
 
 
 class _Unknown(dict):
@@ -104,10 +112,10 @@ def _core_bigrams(core: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, total = _Unknown({w: i for i, w in enumerate(core)}), np.zeros(size * size, dtype=np.int64)
         for _, _, texts in _texts(batches):
-            seq = _sequence(texts, index, len(core))
-            a, b = seq[:-1], seq[1:]
+            seq, _ = _sequence(texts, index, len(core))
+            a, b = seq[:-1].astype(np.int64), seq[1:]
             both = (a >= 0) & (b >= 0)
-            total += np.bincount(a[both] * size + b[both], minlength=size * size)
+            np.add.at(total, a[both] * size + b[both], 1)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["pair", "n"])
 
@@ -162,90 +170,89 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndar
     return cls
 
 
+def _blocks(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Binary column from one array and the byte offsets of its values."""
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
+
+
 def _neighbour_scores(core: list[bytes], cls: np.ndarray, after: np.ndarray, before: np.ndarray):
     """(word, n, s): a word's count and, for each class, the likelihood of its
-    neighbours if the word were in it."""
-    classes = after.shape[1]
+    neighbours if the word were in it (little-endian 32-bit floats)."""
+    states, classes = after.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: dict[bytes, int] = {}
-        names: list[bytes] = []
         known = {w: int(c) for w, c in zip(core, cls)}
-        kind = np.full(_FLUSH * 2, -1, dtype=np.int64)
-        score, count = np.zeros((0, classes)), np.zeros(0, dtype=np.int64)
 
-        class Number(dict):
+        class Numbers(dict):
             def __missing__(self, word):
-                nonlocal kind
                 self[word] = i = len(self) + 1  # number 0 is the end
-                names.append(word)
-                if i >= len(kind):
-                    kind = np.concatenate([kind, np.full(len(kind), -1, dtype=np.int64)])
-                kind[i] = known.get(word, -1)
                 return i
 
-        index = Number()
-        kind[0] = _END
+        index, held, tokens = Numbers(), [], 0
 
         def flush() -> pa.RecordBatch:
-            flat = pa.array(score[1:].astype(np.float32).ravel())
-            offsets = pa.array(np.arange(0, len(names) * classes + 1, classes, dtype=np.int32))
-            batch = pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(count[1:]), pa.ListArray.from_arrays(offsets, flat)], ["word", "n", "s"])
-            index.clear()
-            names.clear()
-            kind[:] = -1
+            seq = np.concatenate(held)
+            names = list(index)
+            size = len(names) + 1
+            kind = np.full(size, states, dtype=np.int64)  # the last one: no core word
             kind[0] = _END
-            return batch
+            for w, c in known.items():
+                if w in index:
+                    kind[index[w]] = c
+            k, score = kind[seq], np.zeros((size, classes))
+            for own, other, weight in ((seq[:-1], k[1:], after), (seq[1:], k[:-1], before)):
+                times = np.bincount(own.astype(np.int64) * (states + 1) + other, minlength=size * (states + 1))
+                score += times.reshape(size, states + 1)[:, :states] @ weight
+            count = np.bincount(seq, minlength=size)
+            s = _blocks(score[1:].astype("<f4"), np.arange(size) * 4 * classes)
+            index.clear()
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(count[1:]), s], ["word", "n", "s"])
 
         for _, _, texts in _texts(batches):
-            seq = _sequence(texts, index, 0)
-            size = len(names) + 1
-            if len(score) < size:
-                score = np.concatenate([score, np.zeros((size - len(score), classes))])
-                count = np.concatenate([count, np.zeros(size - len(count), dtype=np.int64)])
-            # occurrences by (word, class of the word after / before)
-            k = kind[seq]
-            n = len(after)
-            for own, other, weight in ((seq[:-1], k[1:], after), (seq[1:], k[:-1], before)):
-                pairs, times = np.unique((own * n + other)[other >= 0], return_counts=True)
-                np.add.at(score, pairs // n, weight[pairs % n] * times[:, None])
-            count += np.bincount(seq, minlength=size)
-            if len(names) > _FLUSH:
-                yield flush()
-                score, count = np.zeros((0, classes)), np.zeros(0, dtype=np.int64)
-        if names:
+            held.append(_sequence(texts, index, 0)[0])
+            tokens += len(held[-1])
+            if len(index) > _FLUSH or tokens > _HELD:
+                if index:
+                    yield flush()
+                held, tokens = [], 0
+        if index:
             yield flush()
 
     return run
 
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _added(classes: int):
     """Rows in order of word -> one row per word with the best class."""
-    held: tuple | None = None  # the last word may go on in the next batch
 
-    def out(words, n, s) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array(1 + np.argmax(s, axis=1), pa.int32())], ["word", "n", "cls"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None  # the last word may go on in the next batch
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        words, n = batch.column(0).to_pylist(), np.array(batch.column(1))
-        s = np.array(batch.column(2).flatten(), dtype=np.float64).reshape(len(words), -1)
+        def out(words, n, s) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array(1 + np.argmax(s, axis=1), pa.int32())], ["word", "n", "cls"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words, n = batch.column(0).to_pylist(), np.array(batch.column(1))
+            s = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype="<f4").astype(np.float64).reshape(len(words), classes)
+            if held:
+                words, n, s = [held[0], *words], np.concatenate([[held[1]], n]), np.concatenate([held[2][None], s])
+            first = np.array([i for i in range(len(words)) if not i or words[i] != words[i - 1]])
+            n, s = np.add.reduceat(n, first), np.add.reduceat(s, first, axis=0)
+            words = [words[i] for i in first]
+            held = (words[-1], n[-1], s[-1])
+            if len(words) > 1:
+                yield out(words[:-1], n[:-1], s[:-1])
         if held:
-            words, n, s = [held[0], *words], np.concatenate([[held[1]], n]), np.concatenate([held[2][None], s])
-        first = np.array([i for i in range(len(words)) if not i or words[i] != words[i - 1]])
-        n, s = np.add.reduceat(n, first), np.add.reduceat(s, first, axis=0)
-        words = [words[i] for i in first]
-        held = (words[-1], n[-1], s[-1])
-        if len(words) > 1:
-            yield out(words[:-1], n[:-1], s[:-1])
-    if held:
-        yield out([held[0]], [held[1]], held[2][None])
+            yield out([held[0]], [held[1]], held[2][None])
+
+    return run
 
 
 def cluster(train: DataFrame, *, classes: int = CLASSES, core: int = CORE) -> DataFrame:
     """(word, n, cls) of every word of ``train`` (one binary text column)."""
-    counts = train.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = train.mapInArrow(_frequent(16 * core), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(core).collect()]
     size = len(top) + 1
     pairs = train.mapInArrow(_core_bigrams(top), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
@@ -258,8 +265,8 @@ def cluster(train: DataFrame, *, classes: int = CLASSES, core: int = CORE) -> Da
     grid = member.T @ bigrams @ member + 0.1
     forward = np.log(grid / grid.sum(1, keepdims=True))  # of the class after
     backward = np.log(grid / grid.sum(0, keepdims=True))  # of the class before
-    scores = train.mapInArrow(_neighbour_scores(top, cls[:-1], forward[1:].T.copy(), backward[:, 1:].copy()), "word binary, n long, s array<float>")
-    best = scores.repartition("word").sortWithinPartitions("word").mapInArrow(_added, "word binary, n long, cls int")
+    scores = train.mapInArrow(_neighbour_scores(top, cls[:-1], forward[1:].T.copy(), backward[:, 1:].copy()), "word binary, n long, s binary")
+    best = scores.repartition("word").sortWithinPartitions("word").mapInArrow(_added(classes), "word binary, n long, cls int")
     spark = train.sparkSession
     moved = spark.createDataFrame([(bytearray(w), int(c)) for w, c in zip(top, cls)], "word binary, own int")
     return best.join(F.broadcast(moved), "word", "left").select("word", "n", F.coalesce("own", "cls").alias("cls"))
@@ -279,26 +286,41 @@ def _encode(table: dict, end_count: int, log_emit_end: float, n_classes: int):
         emit = np.concatenate([emit, [log_emit_end, 0.0]])
         row = TaskContext.get().partitionId() << 33
         for batch, part, texts in _texts(batches, 2):
-            ids, held = batch.column(0).slice(part.start, len(part)), batch.column(1).slice(part.start, len(part))
-            cols: list[list] = [[] for _ in range(9)]
-            for text in texts:
-                own = text.lower().split()
-                seq = np.fromiter(map(index.__getitem__, own), dtype=np.int64, count=len(own))
-                seq = np.concatenate([[end], seq, [end]])
-                k = cls[seq]
-                both = (k[:-1] >= 0) & (k[1:] >= 0)
-                codes, times = np.unique(k[:-1][both] * states + k[1:][both], return_counts=True)
-                rare = np.flatnonzero(k < 0)
-                known = int((k[1:-1] >= 0).sum()) + (end_count > 0)
-                values = (row, len(own) + 1, known, float(base[seq[1:]].sum()), float(emit[seq[1:]].sum()), codes.astype("<u2").tobytes(), times.astype("<u4").tobytes(), [own[i - 1] for i in rare], [(int(i), int(k[i - 1]), int(k[i + 1])) for i in rare])
-                for c, v in zip(cols, values):
-                    c.append(v)
-                row += 1
-            place = pa.list_(pa.struct([("at", pa.int32()), ("l", pa.int8()), ("r", pa.int8())]))
-            places = pa.array([[{"at": a, "l": x, "r": y} for a, x, y in p] for p in cols[8]], place)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.binary()))
-            names = ["id", "held_out", "row", "n_tokens", "n_known", "base", "emit", "codes", "times", "rare", "places"]
-            yield pa.RecordBatch.from_arrays([ids, held, *[pa.array(c, t) for c, t in zip(cols, kinds)], places], names)
+            n = len(texts)
+            seq, start = _sequence(texts, index, end)
+            k = cls[seq]
+            size = np.diff(np.concatenate([start, [len(seq) - 1]]))  # tokens, the end included
+            doc = np.repeat(np.arange(n), size)  # of every token but the first end
+            here, before = k[1:], k[:-1]
+            both = (here >= 0) & (before >= 0)
+            grid = np.bincount(doc[both] * states * states + before[both] * states + here[both], minlength=n * states * states).reshape(n, -1)
+            own, code = np.nonzero(grid)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=n))])
+            token = seq[1:]
+            known = np.add.reduceat(((token != end) & (here >= 0)).astype(np.int64), start) + (end_count > 0)
+            rare = np.flatnonzero(here < 0)
+            lists = np.concatenate([[0], np.cumsum(np.bincount(doc[rare], minlength=n))]).astype(np.int32)
+            split = _words(texts)
+            rare_at = rare - start[doc[rare]]
+            rare_words = pa.array([split[d][i] for d, i in zip(doc[rare].tolist(), rare_at.tolist())], pa.binary())
+            after = np.append(k, _END)[rare + 2]
+            fields = [pa.array(rare_at.astype(np.int32)), pa.array(before[rare].astype(np.int8)), pa.array(after.astype(np.int8))]
+            places = pa.StructArray.from_arrays(fields, ["at", "l", "r"])
+            cols = [
+                batch.column(0).slice(part.start, n),
+                batch.column(1).slice(part.start, n),
+                pa.array(np.arange(row, row + n)),
+                pa.array(size),
+                pa.array(known),
+                pa.array(np.add.reduceat(base[token], start)),
+                pa.array(np.add.reduceat(emit[token], start)),
+                _blocks(code.astype("<u2"), ends * 2),
+                _blocks(grid[own, code].astype("<u4"), ends * 4),
+                pa.ListArray.from_arrays(pa.array(lists), rare_words),
+                pa.ListArray.from_arrays(pa.array(lists), places),
+            ]
+            row += n
+            yield pa.RecordBatch.from_arrays(cols, ["id", "held_out", "row", "n_tokens", "n_known", "base", "emit", "codes", "times", "rare", "places"])
 
     return run
 
