@@ -45,6 +45,10 @@ def shuffled_index(i: Column, n: Column, *key: Column, rounds: int = 12) -> Colu
     return F.aggregate(turns, i.cast("long"), swap)
 
 
+#: Edges for one task of a component round.
+EDGES_PER_TASK = 50_000
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v): the smallest node
     reachable.
@@ -53,21 +57,24 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     (large star), then its smaller neighbours and itself (small star); both
     are a partial ``min`` per node and an equi-join, so a hub is pre-aggregated
     and its join partition can be split.  Rounds end when no edge changes;
-    each is checkpointed to the shared folder.  ``max_rounds`` guards against
-    a defect only: the rounds needed grow with the logarithm of the longest
-    chain, and running out raises an error instead of returning part."""
+    each is checkpointed to the shared folder, in as many tasks as the edges
+    need.  ``max_rounds`` guards against a defect only: the rounds needed grow
+    with the logarithm of the longest chain, and running out raises an error
+    instead of returning part."""
     e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
     e = cut_lineage(e)
-    before = None
+    before, tasks = None, 1 + e.count() // EDGES_PER_TASK
     for _ in range(max_rounds):
+        e = e.coalesce(tasks)
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = large.where("u <> v").coalesce(tasks).distinct().coalesce(tasks)
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut_lineage(small.union(down.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        e = small.union(down.select("u", F.col("m").alias("v"))).where("u <> v").coalesce(tasks).distinct()
+        e = cut_lineage(e.coalesce(tasks))
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -264,7 +264,8 @@ def class_components(reps: DataFrame, docs: DataFrame, **how) -> DataFrame | Non
     pairs = pairs.where((F.col("rep") != F.col("centre.rep")) & _sizes_fit(F.col("n"), F.col("centre.n")))
     pairs = pairs.select(F.greatest("rep", "centre.rep").alias("u"), F.least("rep", "centre.rep").alias("v")).distinct()
     links = cut_lineage(confirmed(pairs, sets))
-    comp = connected_components(links)
+    comp = cut_lineage(connected_components(links))
+    tree = comp.select(F.col("node").alias("u"), F.col("component").alias("v"))  # as few edges as keep the components
 
     part = keys.select("key", "c", "rep", "n").join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
     part = cut_lineage(part.withColumn("component", F.coalesce("component", "rep")))
@@ -276,14 +277,14 @@ def class_components(reps: DataFrame, docs: DataFrame, **how) -> DataFrame | Non
         return comp
     # what may be linked, chained over the old links and the new pairs: a pair
     # left out of a bucket because its ends hang together is in one cluster
-    cluster = connected_components(links.union(maybe)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    cluster = connected_components(tree.union(maybe)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     member = cluster.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed_ = member.groupBy("cluster").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("cluster")
     member = cut_lineage(member.join(mixed_, "cluster").join(sets, "rep"))
     weight = member.groupBy("cluster").agg(F.ceil(F.sum(F.size("set")) / BLOCK_SHINGLES).alias("blocks"))
     member = _in_blocks(member.join(weight, "cluster"), "cluster", F.greatest("blocks", F.lit(1)))
     further = cut_lineage(member.mapInArrow(_compared, "u long, v long").distinct())
-    return comp if further.isEmpty() else connected_components(links.union(further))
+    return comp if further.isEmpty() else connected_components(tree.union(further))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
