@@ -2,11 +2,11 @@
 
 ``nodes(id, label, ...properties)`` and ``edges(eid, src, dst, rel,
 ...properties)``.  Pattern matches are joins; variable-length patterns are
-frontier loops: a level joins the current frontier with the edge table; every
-few levels the new paths are written to the shared checkpoint folder (lineage
-stays short, a lost executor recomputes one step only), and the loop stops
-when the frontier is empty or the bound is reached.  The driver loop runs
-once per step, never per row.
+frontier loops: a level joins the current frontier with the edge table, the
+new paths are written to the shared checkpoint folder (lineage stays one level
+deep, a lost executor recomputes one level only), and the loop stops when the
+frontier is empty or the bound is reached.  The driver loop runs once per
+level, never per row.
 
 Semantics (results are bags, one row per match):
 * ``unique="edge"`` — Cypher: a path never reuses an edge, nodes may repeat;
@@ -105,9 +105,6 @@ def converge_counts(edges: DataFrame, rel_a: str, rel_b: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- variable length
-LEVELS_PER_JOB = 4  # levels of a traversal that one job grows before it is cut
-
-
 def _grow(frontier: DataFrame, e: DataFrame, unique: str) -> DataFrame:
     """Paths one edge longer; ``e`` has (eid, end, dst)."""
     j = frontier.join(e, "end")
@@ -159,20 +156,18 @@ def expand(edges: DataFrame, starts: DataFrame, lo: int = 1, hi: int | None = No
     )
     out, h = [], 0
     while hi is None or h < hi:
-        todo = LEVELS_PER_JOB if hi is None else min(LEVELS_PER_JOB, hi - h)
-        grown = None
-        for _ in range(todo):
-            h += 1
-            frontier = _grow(frontier, e, unique)
-            if near is not None:
-                left = F.lit(True) if hi is None else F.col("far") <= hi - h
-                frontier = frontier.join(near.filter(left).select("end"), "end", "left_semi")
-            grown = frontier if grown is None else grown.unionByName(frontier)
-        grown = cut_lineage(grown)
-        out.append(grown)
-        frontier = grown.filter(F.col("hops") == h)
-        if (hi is None or h < hi) and frontier.isEmpty():
+        h += 1
+        frontier = _grow(frontier, e, unique)
+        if near is not None:
+            left = F.lit(True) if hi is None else F.col("far") <= hi - h
+            frontier = frontier.join(near.filter(left).select("end"), "end", "left_semi")
+        if h == hi:  # the last level is read once
+            out.append(frontier)
+            break
+        frontier = cut_lineage(frontier)
+        if frontier.isEmpty():
             break
+        out.append(frontier)
     if not out:
         return frontier.limit(0)
     res = out[0]
