@@ -12,8 +12,9 @@ that holds a third of all vectors is many groups.
 
 Search.  A query keeps one priority queue over the nodes of all trees, ordered by
 the squared distances to the planes on the wrong side of which they lie.
-It pops leaves until they hold ``SHARE`` of all vectors, counted as distinct by
-the estimate 1 - prod(1 - leaf share) over trees.  Queries meet vectors by an
+It pops leaves until they hold ``SHARE`` of the fitted sample and at least k of
+it (all of it, if there are fewer), each vector counted once over all trees and
+the query left out.  A table of up to ``SAMPLE`` vectors is its own sample.  Queries meet vectors by an
 equi-join on (tree, leaf, chunk); a group compares its queries with its
 vectors in blocks and passes on the best k of each query.  The final ranking is
 exact: Euclidean distances in double precision on the original vectors, ties
@@ -77,14 +78,13 @@ class Forest:
             out[:, t] = node - len(planes)
         return out
 
-    def visits(self, q: np.ndarray, sizes: np.ndarray, share: float) -> list[tuple[int, int]]:
-        """(tree, leaf) in the order of the shared queue, until the leaves hold
-        ``share`` of the vectors."""
+    def visits(self, q: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(tree, leaf) of the leaves with vectors in the order of the shared
+        queue."""
         margins = np.einsum("tnd,d->tn", self.planes, q) - self.offsets
-        inner, total = self.planes.shape[1], max(1, int(sizes[0].sum()))
+        inner = self.planes.shape[1]
         queue = [(0.0, t, 0) for t in range(len(self.planes))]
-        seen, out = np.zeros(len(self.planes)), []
-        while queue and 1 - np.prod(1 - np.minimum(seen / total, 1)) < share:
+        while queue:
             far, t, node = heapq.heappop(queue)
             while node < inner:
                 m = margins[t, node]
@@ -93,8 +93,31 @@ class Forest:
                 node = near
             leaf = node - inner
             if sizes[t, leaf]:
-                seen[t] += sizes[t, leaf]
-                out.append((t, leaf))
+                yield t, leaf
+
+
+class Sample:
+    """The fitted rows by (tree, leaf): what a query's leaves hold is counted on
+    them, a row once."""
+
+    def __init__(self, ids: np.ndarray, leaves: np.ndarray, n_leaves: int):
+        self.ids = ids
+        self.order = np.argsort(leaves, axis=0, kind="stable")
+        self.starts = [np.searchsorted(np.sort(own), np.arange(n_leaves + 1)) for own in leaves.T]
+
+    def enough(self, query_id: int, visits: Iterator[tuple[int, int]], share: float, k: int) -> list[tuple[int, int]]:
+        """The first of ``visits``, until they hold ``share`` of the rows other
+        than the query and at least ``k`` of them, or all."""
+        open_ = self.ids != query_id
+        total = int(open_.sum())
+        wanted, out = max(share * total, min(k, total)), []
+        seen = 0
+        while seen < wanted and (to := next(visits, None)):
+            t, leaf = to
+            own = self.order[self.starts[t][leaf] : self.starts[t][leaf + 1], t]
+            seen += int(open_[own].sum())
+            open_[own] = False
+            out.append(to)
         return out
 
 
@@ -149,14 +172,14 @@ def _leaf_rows(forest: Forest):
     return run
 
 
-def _visit_rows(forest: Forest, sizes: np.ndarray, share: float):
+def _visit_rows(forest: Forest, sizes: np.ndarray, fitted: Sample, share: float, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 q = np.array(batch.column(1)[i].as_py())
-                to = forest.visits(q, sizes, share)
+                to = fitted.enough(batch.column(0)[i].as_py(), forest.visits(q, sizes), share, k)
                 n = len(to)
-                same = pa.array([i] * n)
+                same = pa.array([i] * n, pa.int64())
                 cols = [pa.array([t for t, _ in to], pa.int32()), pa.array([x for _, x in to], pa.int32())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(same), batch.column(1).take(same), *cols], ["query_id", "q", "tree", "leaf"])
 
@@ -194,7 +217,8 @@ def search(table: DataFrame, is_query: Column, *, k: int = K, trees: int = TREES
     vectors = valid_vectors(table, id_col, vec_col)
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
-    fit = vectors.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample).select("vec").collect()
+    by_hash = [F.xxhash64("vec_id", F.lit(seed)), F.col("vec_id")]
+    fit = vectors.orderBy(*by_hash).limit(sample).select("vec").collect()
     if not fit:
         return spark.createDataFrame([], schema)
     points = np.unique(np.array([r.vec for r in fit]), axis=0)
@@ -206,11 +230,14 @@ def search(table: DataFrame, is_query: Column, *, k: int = K, trees: int = TREES
     for r in per_leaf:
         sizes[r.tree, r.leaf] = r["count"]
 
+    again = placed.orderBy(*by_hash).limit(sample).select("vec_id", "leaves").toArrow()  # the fitted rows
+    fitted = Sample(np.array(again.column("vec_id")), np.array(again.column("leaves").to_pylist(), dtype=np.int32), 2**depth)
+
     # chunks of a leaf: as many as its size asks for
     large = spark.createDataFrame([(int(t), int(x), int(-(-sizes[t, x] // chunk_rows))) for t, x in np.argwhere(sizes > 0)], "tree int, leaf int, chunks int")
     spread = placed.select("vec_id", "vec", F.posexplode("leaves").alias("tree", "leaf")).join(F.broadcast(large), ["tree", "leaf"])
     spread = spread.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int")).drop("chunks")
-    queries = vectors.where(is_query).mapInArrow(_visit_rows(forest, sizes, share), "query_id long, q array<double>, tree int, leaf int")
+    queries = vectors.where(is_query).mapInArrow(_visit_rows(forest, sizes, fitted, share, k), "query_id long, q array<double>, tree int, leaf int")
     queries = queries.join(F.broadcast(large), ["tree", "leaf"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
     key = ["tree", "leaf", "chunk"]
     near = spread.groupBy(*key).cogroup(queries.groupBy(*key)).applyInPandas(_best(k), "query_id long, vec_id long, score double")

@@ -281,6 +281,17 @@ def test_nearest_edge_cases(spark):
     assert ann.search(data.where("false"), F.lit(True)).collect() == []
 
 
+@pytest.mark.parametrize("distinct", [2, 12, 60])
+def test_nearest_in_small_tables(spark, distinct):
+    """Every query gets k rows, or all there are."""
+    x = np.random.default_rng(distinct).standard_normal((distinct, 64))
+    vectors = [(i, [float(v) for v in x[i]]) for i in range(distinct)]
+    queries.prepare(spark)
+    got = ann.search(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"), F.lit(True))
+    per = Counter(r.query_id for r in got.collect())
+    assert per == {i: min(10, distinct - 1) for i in range(distinct)}
+
+
 # near duplicates -------------------------------------------------------------
 
 
