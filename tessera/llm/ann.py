@@ -14,7 +14,9 @@ Search.  A query keeps one priority queue over the nodes of all trees, ordered b
 the squared distances to the planes on the wrong side of which they lie.
 It pops leaves until they hold ``SHARE`` of the fitted sample and at least k of
 it (all of it, if there are fewer), each vector counted once over all trees and
-the query left out.  A table of up to ``SAMPLE`` vectors is its own sample.  Queries meet vectors by an
+the query left out.  A dense group can make up most of such a share, so a query
+goes on until they also hold its k nearest of the sample.  A table of up to
+``SAMPLE`` vectors is its own sample.  Queries meet vectors by an
 equi-join on (tree, leaf, chunk); a group compares its queries with its
 vectors in blocks and passes on the best k of each query.  The final ranking is
 exact: Euclidean distances in double precision on the original vectors, ties
@@ -100,22 +102,27 @@ class Sample:
     """The fitted rows by (tree, leaf): what a query's leaves hold is counted on
     them, a row once."""
 
-    def __init__(self, ids: np.ndarray, leaves: np.ndarray, n_leaves: int):
-        self.ids = ids
+    def __init__(self, ids: np.ndarray, x: np.ndarray, leaves: np.ndarray, n_leaves: int):
+        self.ids, self.x = ids, x
         self.order = np.argsort(leaves, axis=0, kind="stable")
         self.starts = [np.searchsorted(np.sort(own), np.arange(n_leaves + 1)) for own in leaves.T]
 
-    def enough(self, query_id: int, visits: Iterator[tuple[int, int]], share: float, k: int) -> list[tuple[int, int]]:
+    def enough(self, query_id: int, q: np.ndarray, visits: Iterator[tuple[int, int]], share: float, k: int) -> list[tuple[int, int]]:
         """The first of ``visits``, until they hold ``share`` of the rows other
-        than the query and at least ``k`` of them, or all."""
+        than the query ``q`` and its ``k`` nearest of them, or all."""
         open_ = self.ids != query_id
         total = int(open_.sum())
-        wanted, out = max(share * total, min(k, total)), []
-        seen = 0
-        while seen < wanted and (to := next(visits, None)):
+        wanted, out = share * total, []
+        d = np.where(open_, ((self.x - q) ** 2).sum(1), np.inf)
+        near = np.zeros(len(d), dtype=bool)
+        near[np.argsort(d, kind="stable")[: min(k, total)]] = True
+        seen, missing = 0, min(k, total)
+        while (seen < wanted or missing) and (to := next(visits, None)):
             t, leaf = to
             own = self.order[self.starts[t][leaf] : self.starts[t][leaf + 1], t]
-            seen += int(open_[own].sum())
+            own = own[open_[own]]
+            seen += len(own)
+            missing -= int(near[own].sum())
             open_[own] = False
             out.append(to)
         return out
@@ -177,7 +184,7 @@ def _visit_rows(forest: Forest, sizes: np.ndarray, fitted: Sample, share: float,
         for batch in batches:
             for i in range(batch.num_rows):
                 q = np.array(batch.column(1)[i].as_py())
-                to = fitted.enough(batch.column(0)[i].as_py(), forest.visits(q, sizes), share, k)
+                to = fitted.enough(batch.column(0)[i].as_py(), q, forest.visits(q, sizes), share, k)
                 n = len(to)
                 same = pa.array([i] * n, pa.int64())
                 cols = [pa.array([t for t, _ in to], pa.int32()), pa.array([x for _, x in to], pa.int32())]
@@ -230,8 +237,8 @@ def search(table: DataFrame, is_query: Column, *, k: int = K, trees: int = TREES
     for r in per_leaf:
         sizes[r.tree, r.leaf] = r["count"]
 
-    again = placed.orderBy(*by_hash).limit(sample).select("vec_id", "leaves").toArrow()  # the fitted rows
-    fitted = Sample(np.array(again.column("vec_id")), np.array(again.column("leaves").to_pylist(), dtype=np.int32), 2**depth)
+    again = placed.orderBy(*by_hash).limit(sample).select("vec_id", "vec", "leaves").toArrow()  # the fitted rows
+    fitted = Sample(np.array(again.column("vec_id")), np.array(again.column("vec").to_pylist()), np.array(again.column("leaves").to_pylist(), dtype=np.int32), 2**depth)
 
     # chunks of a leaf: as many as its size asks for
     large = spark.createDataFrame([(int(t), int(x), int(-(-sizes[t, x] // chunk_rows))) for t, x in np.argwhere(sizes > 0)], "tree int, leaf int, chunks int")

@@ -292,6 +292,21 @@ def test_nearest_in_small_tables(spark, distinct):
     assert per == {i: min(10, distinct - 1) for i in range(distinct)}
 
 
+def test_nearest_beside_a_dense_group(spark):
+    """A third of all vectors in one tight group, the sample a part of them:
+    queries beside the group find their neighbours too."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((3_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:1_000] = x[0] + 0.01 * x[:1_000]
+    vectors = [(i, [float(v) for v in x[i]]) for i in range(3_000)]
+    queries.prepare(spark)
+    docs = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = [r.asDict() for r in ann.search(docs, F.col("vec_id") % 50 == 7, sample=1_500).collect()]
+    for inside in (True, False):
+        assert recall([r for r in got if (r["query_id"] < 1_000) == inside], vectors) >= 0.9
+
+
 # near duplicates -------------------------------------------------------------
 
 
