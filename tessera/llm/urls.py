@@ -1,9 +1,9 @@
 """URL filter by a path-template tree (DataFrame functions only).
 
 Per host, paths form a tree of segments.  Level by level, a segment stays
-literal where it is common enough below its parent; the others there are
-variable and become a wildcard (``*``, with the file extension if any).  Levels
-below ``DEPTH`` are one ``**``.  Then, from the leaves up, a branch whose share
+literal where it has pages enough (``MIN_SUPPORT``, whatever its share); the
+others there are variable and become a wildcard (``*``, with the file extension
+if any).  That goes on as deep as any path with enough pages.  Then, from the leaves up, a branch whose share
 of bad labels is not significantly off its parent's is merged into the
 parent.  What remains are templates; one is rejected if its smoothed
 share of good labels is under ``MIN_PURITY``.  Listed rules (host, path) go
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import lower_ascii
 
-DEPTH = 4
+DEPTH = 4  # levels before it is asked whether any path goes on
 MIN_SUPPORT = 3  # pages of a literal segment
-MIN_SHARE = 0.05  # and its share of the parent's pages
+MIN_SHARE = 0.0  # of the parent's pages: none is asked for (the tests' oracle reads it)
 SIMILAR_Z = 1.96
 SMOOTHING = 10.0  # labels' worth of the overall share
 MIN_PURITY = 0.5
@@ -57,30 +57,35 @@ def _wild(segment: Column) -> Column:
     return F.concat(F.lit("*"), F.regexp_extract(segment, r"(\.[A-Za-z]{1,5})$", 1))
 
 
-def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
+def templates(paths: DataFrame) -> DataFrame:
     """Add ``template`` to distinct (host, path, n, ...) rows."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     t = paths.withColumn("segments", segments).withColumn("template", F.lit(""))
-    for level in range(1, depth + 1):
+    level, further = 0, True
+    while further:
+        level += 1
         t = t.withColumn("segment", F.get("segments", F.lit(level - 1)))
         child = t.where("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("pages"))
-        parent = child.groupBy("host", "template").agg(F.sum("pages").alias("all_pages"))
-        literal = child.join(parent, ["host", "template"]).where((F.col("pages") >= MIN_SUPPORT) & (F.col("pages") >= MIN_SHARE * F.col("all_pages")))
-        literal = literal.select("host", "template", "segment", F.lit(True).alias("literal"))
+        literal = child.where(F.col("pages") >= MIN_SUPPORT).select("host", "template", "segment", F.lit(True).alias("literal"))
         t = t.join(literal, ["host", "template", "segment"], "left")
         step = F.concat("template", F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise(_wild(F.col("segment"))))
         t = t.withColumn("template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(step)).drop("segment", "literal")
         t = cut_lineage(t)
-    deeper = F.size("segments") > depth
-    return t.withColumn("template", F.when(deeper, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))).drop("segments")
+        if level >= DEPTH:
+            going_on = t.where(F.size("segments") > level).groupBy("host", "template").agg(F.sum("n").alias("pages"))
+            further = not going_on.where(F.col("pages") >= MIN_SUPPORT).isEmpty()
+    # what is left goes on with too few pages for any literal segment
+    rest = F.transform(F.filter("segments", lambda s, i: i >= level), lambda s: F.concat(F.lit("/"), _wild(s)))
+    return t.withColumn("template", F.concat("template", F.array_join(rest, ""))).drop("segments")
 
 
-def merged(stats: DataFrame, depth: int = DEPTH) -> DataFrame:
+def merged(stats: DataFrame) -> DataFrame:
     """(host, template, node, labelled, bad): the node that each template
     ends in after merging similar branches into their parents."""
     t = stats.withColumn("node", F.col("template")).withColumn("done", F.lit(False))
     height = F.size(F.split("node", "/")) - 1
-    for level in range(depth + 1, 0, -1):
+    top = t.agg(F.max(height).alias("top")).first().top or 0
+    for level in range(top, 0, -1):
         here = (~F.col("done")) & (height == level)
         nodes = t.where(here).groupBy("host", "node").agg(F.sum("labelled").alias("nl"), F.sum("bad").alias("nb"))
         nodes = nodes.withColumn("parent", F.regexp_replace("node", r"/[^/]*$", ""))
@@ -105,7 +110,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES, *, id_col: str
     marks = labels.where("bad is not null").groupBy("host", "path").agg(F.count(F.lit(1)).alias("labelled"), F.sum("bad").alias("bad"))
     paths = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).join(marks, ["host", "path"], "left").fillna(0, ["labelled", "bad"])
     t = cut_lineage(templates(cut_lineage(paths)))
-    stats = t.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    stats = cut_lineage(t.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")))
     nodes = merged(stats)
     total = nodes.agg(F.try_divide(F.sum("bad"), F.sum("labelled")).alias("share"))
     judged = nodes.groupBy("host", "node").agg(F.sum("labelled").alias("nl"), F.sum("bad").alias("nb")).crossJoin(F.broadcast(total))

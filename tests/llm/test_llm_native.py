@@ -282,6 +282,21 @@ def test_url_tree_rejects_bad_templates(spark):
     assert urls.judge_urls(pages, labels.where("false")).where("verdict = 'block' and rule is null").count() == 0
 
 
+def test_url_tree_keeps_small_and_deep_branches(spark):
+    """One bad section of 40 of like size, and one below the fourth segment."""
+    rows, marks = [], []
+    for i in range(800):
+        for path, bad in ((f"/s{i % 40}/{i}.html", i % 40 == 7), (f"/a/b/c/d/e/{('good', 'fine', 'spam')[i % 3]}/{i}.html", i % 3 == 2)):
+            rows.append((len(rows), f"http://hot.test{path}", bad))
+            if i % 5 < 4:
+                marks.append(("hot.test", path, int(bad)))
+    rows.append((len(rows), "http://hot.test/" + "x/" * 40, False))
+    pages = spark.createDataFrame(rows, "page_id long, url string, want boolean")
+    queries.prepare(spark)
+    out = urls.judge_urls(pages, spark.createDataFrame(marks, "host string, path string, bad int"))
+    assert {r.page_id for r in out.where("verdict = 'block'").collect()} == {i for i, _, bad in rows if bad}
+
+
 # rules ---------------------------------------------------------------------
 
 
