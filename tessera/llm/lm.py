@@ -8,8 +8,9 @@
    that raises the likelihood of the class bigrams most, until few move; the
    bigram counts of the core come from all training texts.
 3. Every other word is exchanged once against the core's classes: the
-   likelihood of its neighbours under each class is a sum over all its
-   occurrences, made in the tasks and added up by word.
+   likelihood of its neighbours under each class is a sum over its occurrences
+   beside a core word or an end, made in the tasks and added up by word.  A word
+   without any is in class 1.
 4. Tokens get class and count: the ``TABLE`` most frequent words from a broadcast
    table (bounded by that parameter), all others by a join on the word.
    Class transitions are counted over all training texts.
