@@ -11,8 +11,9 @@ histogram (feature, bin) -> counts, made by a partial aggregate over the
 labelled documents and bounded by features x bins.  The list becomes one
 ordered conditional expression over the features.
 
-``MAX_RULES`` and ``MAX_CONDITIONS`` bound the length of the list (a model
-parameter); all labelled documents are used.
+``MAX_CONDITIONS`` bounds the length of a rule (a model parameter).  The list
+ends when no bad document is left or a rule is not accepted; every accepted one
+takes out ``MIN_COVER`` documents or more.  All labelled documents are used.
 
 Texts: null counts as without words.  Labels: a document with several labels is
 bad if any says so; null labels are left out; without labels the list is
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import WORD, words_of
 
-MAX_RULES = 12
 MAX_CONDITIONS = 3
 BINS = 24
 MIN_PRECISION = 0.9
@@ -141,7 +141,7 @@ def learn(measured: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", lab
     left = cut_lineage(values.select("bad", "part", F.array(*bins).alias("bins")))
 
     rules: list[list[Condition]] = []
-    while len(rules) < MAX_RULES:
+    while True:
         grow, rule = left.where("part > 0"), []
         best_gain = 1.0
         while len(rule) < MAX_CONDITIONS:

@@ -340,6 +340,27 @@ def test_rules_learn_and_hold_out(spark):
     assert all(got[i] == bool(q) for i, _, q in rows)
 
 
+def test_rules_for_fourteen_kinds(spark):
+    """Every feature too low or too high: each kind needs a rule of its own."""
+    mid = {"words": 100, "symbol_share": 0.2, "dup_line_share": 0.2, "repeat_share": 0.2, "word_length": 5.0, "upper_share": 0.2, "mark_share": 0.2}
+    kinds = [(f, x) for f in rules.FEATURES for x in (0.75, 2)]
+    rows, labels = [], []
+    for i in range(1_000):
+        kind = i // 30
+        v = dict(mid)
+        if kind < len(kinds):
+            v[kinds[kind][0]] *= kinds[kind][1]
+        chars = v["words"] * v["word_length"]
+        rows.append((i, v["words"], chars, v["symbol_share"] * chars, v["dup_line_share"] * 100, 100, v["repeat_share"] * v["words"], v["upper_share"] * chars, v["mark_share"] * chars))
+        labels.append((i, int(kind >= len(kinds))))
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "n_upper", "n_marks"]
+    queries.prepare(spark)
+    measured_ = spark.createDataFrame([(r[0], *map(float, r[1:])) for r in rows], "doc_id long, " + ", ".join(f"{c} double" for c in columns))
+    learnt = rules.learn(measured_, spark.createDataFrame(labels, "doc_id long, quality int"))
+    kept = {r.doc_id for r in measured_.where(rules.verdict(learnt)).collect()}
+    assert kept == {i for i, good in labels if good} and len(learnt) == len(kinds)
+
+
 def test_rules_edge_cases(spark):
     odd = [(1, None, 0), (None, "", 0), (2, "a b c a b c", 0), (2, "a b c a b c", 0), (3, "x" * 50_000, 0), (4, "l\nl\nl\n \n", 0), (5, "a a a a a", 0)]
     docs = spark.createDataFrame(odd, "doc_id long, text string, lines int")
