@@ -1,4 +1,4 @@
-"""The registered queries op1 to op10: each applies its operator, with
+"""The registered queries op1 to op13: each applies its operator, with
 production parameters, to the whole of its table."""
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import ann, chat, lm, minhash, mixing, packing, rules, suffix, tokens, urls
+from . import ann, chat, langid, lm, minhash, mixing, negatives, packing, rules, suffix, tokens, urls, variants
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -163,3 +163,50 @@ def op5(table) -> DataFrame:
     """Scores of every text under the class model and the add-one base."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     return lm.score(table("documents"), F.crc32(F.to_binary(name, F.lit("utf-8"))) % 7 == 2)
+
+
+@_query("op11_language_id")
+def op11(table) -> DataFrame:
+    """The language of every text, learned from three quarters of the ids."""
+    docs = table("documents")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    held_out = F.crc32(F.to_binary(name, F.lit("utf-8"))) % 4 == 2
+    model = langid.learn(docs, ~held_out)
+    found = langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model, keep=("doc_id", "held_out"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+_OP12_SQL = """
+WITH taking AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS alike, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM taking a JOIN taking b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.alike
+WHERE 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+
+@_query("op12_hard_negatives", _OP12_SQL)
+def op12(table) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 50."""
+    vectors = table("embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.taking_part(vectors.withColumn("label", label)), F.col("vec_id") % 50 == 0)
+
+
+@_query("op13_spelling_variants")
+def op13(table) -> DataFrame:
+    """Every word of the documents, one letter of some lost, with its form."""
+    words = variants.count_words(table("documents"), variants.drop_letter)
+    return variants.group_variants(words)
