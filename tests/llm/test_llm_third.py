@@ -252,7 +252,7 @@ def test_variants_against_brute_force(spark, monkeypatch, shard):
     monkeypatch.setattr(variants, "SHARD", shard)
     rnd = random.Random(shard)
     vocabulary = ["".join(rnd.choice("abcdé") for _ in range(rnd.randint(5, 11))) for _ in range(25)] + ["prefix" + x for x in ("aaaaa", "abcab", "ccccc")]
-    rows = [(i, " ".join(misspelt(rnd, vocabulary, 60))) for i in range(80)]
+    rows = [(i, " ".join(misspelt(rnd, vocabulary, 80))) for i in range(400)]
     want = brute_variants(rows)
     assert grouped(spark, rows) == want and sum(x[1] is not None for x in want) > 100 and any(x[1] and x[1] != x[2] for x in want)
 
