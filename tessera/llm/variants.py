@@ -171,7 +171,7 @@ def _suffix_order(text: np.ndarray, ends: np.ndarray, letters: int) -> np.ndarra
     place = np.arange(n)
     left = ends[np.searchsorted(ends, place)] - place  # letters before the delimiter
     bits = int(letters).bit_length()
-    width = max(1, 60 // bits)
+    width = min(n, max(1, 60 // bits))
     rank = np.zeros(n, np.int64)
     for k in range(width):
         rank <<= bits
