@@ -139,7 +139,7 @@ def q_version_current(spark, sf_dir):
 
 # --------------------------------------------------------------------------- JSON arrays -> raw zone
 
-ROWS_PER_FILE = 2000
+ROWS_PER_FILE = 50_000  # each file is one array, read in parallel
 
 
 DOCUMENT = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"

@@ -3,14 +3,17 @@ normalisation."""
 
 import json
 import os
+import random
 import tempfile
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.operators import layers, normalise, quality
-from tessera.sources.ingest import read_json_array, write_json_arrays
-from tessera.sources.json_items import ArrayItems
+from tessera.sources.ingest import _numbered, _pieces, read_json_array, write_json_arrays
+from tessera.sources.json_items import MALFORMED, ArrayItems, Effect, State, after
 
 LAB = [(1, "C01", "Laptop", 120.50), (2, "C02", "Mouse", 25.00), (3, "C01", "Monitor", 70.00), (4, "C03", "Desk", 220.00)]
 
@@ -199,13 +202,65 @@ def test_json_array_round_trip(spark):
     assert sorted(map(str, back.select("id", "t").collect())) == sorted(map(str, docs.collect())) and bad.count() == 0
 
 
+def _items(text):
+    """(item_no, raw, reason) of one reader that gets the whole file."""
+    reader, out = ArrayItems(), []
+    fragments = [x for i, part in enumerate(text.split(",")) for x in reader.feed("," * (i > 0) + part)]
+    for item, reason in fragments:
+        if reason or item.strip(" \t\r\n"):
+            out.append((None if reason else len(out), item if reason else item.strip(" \t\r\n"), reason))
+    left = reader.open_text()
+    return out if left is None else [*out, (None, left.strip(" \t\r\n"), MALFORMED)]
+
+
 def test_array_items_over_any_fragments():
     text = '\ufeff [ , {"a": "x\\"],{"}, [1, [2]],, 3 ,"s,]" ] junk'
-    want = [(0, '{"a": "x\\"],{"}', None), (1, "[1, [2]]", None), (2, "3", None), (3, '"s,]"', None)]
+    want = ['{"a": "x\\"],{"}', "[1, [2]]", "3", '"s,]"']
+    assert _items(text) == [(i, x, None) for i, x in enumerate(want)]
     for size in (1, 2, 3, 7, 100):
         reader = ArrayItems()
-        got = [x for i in range(0, len(text), size) for x in reader.feed(text[i : i + size])] + list(reader.end())
-        assert got == want
+        got = [x.strip() for i in range(0, len(text), size) for x, _ in reader.feed(text[i : i + size])]
+        assert [x for x in got if x] == want and reader.open_text() is None
+
+
+@given(st.text(alphabet='[]{}",\\ a\n', max_size=80), st.booleans(), st.integers(1, 4))
+@settings(max_examples=400, deadline=None)
+def test_split_states_follow_from_effects(text, in_array, per_split):
+    """Borders inside strings, behind escapes, in broken nesting."""
+    fragments = (("[" if in_array else "") + text).split(",")
+    reader, state = ArrayItems(), State()
+    for i in range(0, len(fragments), per_split):
+        assert state.done == reader.done and (state.done or state == reader.state())
+        body = ",".join(fragments[i : i + per_split])
+        if i == 0:
+            list(reader.feed(body))
+            state = reader.state()
+        else:
+            list(reader.feed("," + body))
+            outside, inside = Effect(False), Effect(True)
+            outside.feed(body)
+            inside.feed(body)
+            state = after(state, outside, inside)
+
+
+def test_json_arrays_read_from_all_splits(spark):
+    """Small splits of many files, with an item longer than several of them,
+    against one reader per file."""
+    d, rnd, files = tempfile.mkdtemp(prefix="tessera-json-"), random.Random(11), {}
+    for k in range(30):
+        items = [json.dumps({"package_name": "".join(rnd.choice('ab,[]{}"\\ \n') for _ in range(rnd.choice([0, 3, 30, 300]))), "n": [1, {"x": i}]}) for i in range(rnd.randint(0, 12))]
+        text = rnd.choice(["[", " [\n,"]) + rnd.choice([",", ",,", " ,\n"]).join(items) + rnd.choice(["]", ",]", "] x, y", "", ", [1, 2", "}]"])
+        text = text if k % 10 else rnd.choice(["", "   ", "x" + text, " " * 200 + "," + text, "[" + '{"a": ' * 50 + "}" * 70 + ", 5]"])
+        files[f"f{k}.json"] = text if k % 7 else "".join(c for c in text if rnd.random() < 0.97)  # damaged
+    for name, text in files.items():
+        _write(d, name, text)
+    want = sorted((name, *row) for name, text in files.items() for row in map(lambda r: (str(r[0]), r[1], str(r[2])), _items(text)))
+    for size in ("128m", "64", "17"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        got = _numbered(_pieces(spark, d)).collect()
+        assert sorted((os.path.basename(r.source_file), str(r.item_no), r.raw, str(r.reason)) for r in got) == want, size
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(want) > 150 and len({w[3] for w in want}) == 3
 
 
 def test_json_array_reader_ignores_content_after_the_array(spark):
