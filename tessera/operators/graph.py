@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, cut_table
+from ..session import cut_table
 
 
 # --------------------------------------------------------------------------- building
@@ -118,19 +118,17 @@ def _grow(frontier: DataFrame, e: DataFrame, unique: str) -> DataFrame:
     )
 
 
-def _distance_to(e: DataFrame, targets: DataFrame, hi: int | None) -> DataFrame:
-    """(end, far): nodes from which a target is at most ``hi`` edges away, and
-    the fewest edges (backward breadth-first search)."""
-    near = cut_lineage(targets.select(F.col("id").alias("end")).distinct().withColumn("far", F.lit(0)))
-    level, d = near, 0
-    while hi is None or d < hi:
-        d += 1
-        step = e.join(level.select(F.col("end").alias("dst")), "dst").select("end").distinct()
-        level = cut_lineage(step.join(near, "end", "left_anti").withColumn("far", F.lit(d)))
-        if level.isEmpty():
-            break
-        near = near.unionByName(level)
-    return near
+def _seeds(ids: DataFrame) -> DataFrame:
+    """Paths of no edge."""
+    none = F.array().cast("array<long>").alias("eids")
+    return ids.select(F.col("id").alias("start"), F.col("id").alias("end"), F.array("id").alias("nodes"), none, F.lit(0).alias("hops"))
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def expand(edges: DataFrame, starts: DataFrame, lo: int = 1, hi: int | None = None, rel=None, direction: str = "out",
@@ -141,52 +139,101 @@ def expand(edges: DataFrame, starts: DataFrame, lo: int = 1, hi: int | None = No
 
     ``hi=None`` is the unbounded pattern: it ends when no path can grow, which
     the uniqueness rule guarantees, also on cycles.  With ``targets`` (ids)
-    only paths that end there are given, and a path is dropped as soon as
-    no target can be reached from its end within the hops left."""
+    only paths that end there are given, found by ``paths_between``."""
     if unique not in ("edge", "node"):
         raise ValueError(unique)
-    e = _materialised(edges, rel, direction).withColumnRenamed("src", "end")
-    near = None if targets is None else cut_lineage(_distance_to(e, targets, hi))
-    frontier = starts.select(
-        F.col("id").alias("start"),
-        F.col("id").alias("end"),
-        F.array(F.col("id")).alias("nodes"),
-        F.array().cast("array<long>").alias("eids"),
-        F.lit(0).alias("hops"),
-    )
-    out, h = [], 0
+    e = _materialised(edges, rel, direction)
+    if targets is not None:
+        return paths_between(e, starts, targets, lo, hi, unique)
+    e = e.withColumnRenamed("src", "end")
+    frontier, out, h = _seeds(starts), [], 0
     while hi is None or h < hi:
         h += 1
         frontier = _grow(frontier, e, unique)
-        if near is not None:
-            left = F.lit(True) if hi is None else F.col("far") <= hi - h
-            frontier = frontier.join(near.filter(left).select("end"), "end", "left_semi")
         if h == hi:  # the last level is read once
             out.append(frontier)
             break
-        frontier = cut_lineage(frontier)
+        frontier = cut_table(frontier)
         if frontier.isEmpty():
             break
         out.append(frontier)
-    if not out:
-        return frontier.limit(0)
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    res = res.filter(F.col("hops") >= lo)
-    if targets is not None:
-        res = res.join(targets.select(F.col("id").alias("end")).distinct(), "end", "left_semi")
-    return res.select("start", "end", "nodes", "eids", "hops")
+    return _all(out).filter(F.col("hops") >= lo) if out else frontier.limit(0)
+
+
+def paths_between(e: DataFrame, starts: DataFrame, targets: DataFrame, lo: int, hi: int | None, unique: str) -> DataFrame:
+    """All paths from ``starts`` to ``targets`` along ``e`` (eid, src, dst; a
+    table that is read at every level), met in the middle.
+
+    Half paths grow forward from the starts and backward from the targets,
+    each time on the side whose last level has fewer; the halves of a path are
+    joined on the node where they meet, if together they still use no edge (no
+    node) twice.  A path no longer than the forward levels is found whole
+    there, a longer one by the last forward level and the rest backward, so
+    each is found once.  A side that cannot grow ends the search: it holds
+    halves as long as any path."""
+    sides = [e.select("eid", F.col("src").alias("end"), "dst"), e.select("eid", F.col("dst").alias("end"), F.col("src").alias("dst"))]
+    levels = [[_seeds(starts)], [cut_table(_seeds(targets.distinct()))]]
+    counts = [starts.count(), levels[1][0].count()]
+    while min(counts) and (hi is None or len(levels[0]) + len(levels[1]) - 2 < hi):
+        side = int(counts[1] < counts[0])
+        grown = cut_table(_grow(levels[side][-1], sides[side], unique))
+        counts[side] = grown.count()
+        if counts[side]:
+            levels[side].append(grown)
+    whole, back = _all(levels[0]), _all(levels[1])
+    back = back.select("end", F.col("start").alias("goal"), F.col("nodes").alias("b_nodes"), F.col("eids").alias("b_eids"), F.col("hops").alias("b_hops"))
+    both = whole.join(back, "end").filter((F.col("b_hops") == 0) | (F.col("hops") == len(levels[0]) - 1))
+    if unique == "node":
+        both = both.filter(F.size(F.array_intersect("nodes", "b_nodes")) == 1)
+    else:
+        both = both.filter(~F.arrays_overlap("eids", "b_eids"))
+    nodes = F.concat("nodes", F.slice(F.reverse("b_nodes"), F.lit(2), F.col("b_hops")))
+    both = both.select("start", F.col("goal").alias("end"), nodes.alias("nodes"), F.concat("eids", F.reverse("b_eids")).alias("eids"), (F.col("hops") + F.col("b_hops")).alias("hops"))
+    return both.filter(F.col("hops") >= max(lo, 1))
 
 
 def descendants(edges: DataFrame, roots: DataFrame, rel=None, direction: str = "out") -> DataFrame:
     """``(root)-[*]->(x)``: all nodes below ``roots`` (column ``id``) with their
-    depth, one row per path.  No depth limit; a path uses an edge once, so
-    cycles end."""
-    p = expand(edges, roots, 1, None, rel=rel, direction=direction, unique="edge")
+    depth, one row per path.  No depth limit.
+
+    Where every node has one parent at most and no circle is met, depths come
+    from pointer doubling (log2(depth) joins); else from the walk along the
+    edges, in which a path uses an edge once, so cycles end."""
+    e = stored(edges, rel)
+    forest = oriented(e, None, direction).select(F.col("dst").alias("id"), F.col("src").alias("at"))
+    if forest.groupBy("id").count().where("count > 1").isEmpty():
+        found = _tree_depths(forest, roots.select("id").distinct())
+        if found is not None:
+            return found
+    p = expand(e, roots, 1, None, direction=direction, unique="edge")
     return p.select(F.col("end").alias("id"), F.col("hops").alias("depth"))
 
 
+def _tree_depths(parents: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """(id, depth) below ``roots`` from (id, at = its parent), at most one row an
+    id.  A round replaces each node's pointer by its target's own, until it
+    stands on a root or runs off the top.  None where there is a circle."""
+    at_root = roots.select(F.col("id").alias("at"), F.lit(True).alias("hit"))
+    up = cut_table(parents.join(at_root, "at", "left").select("id", "at", F.lit(1).cast("long").alias("depth"), F.coalesce("hit", F.lit(False)).alias("hit")))
+    left = up.count().bit_length() + 1  # rounds after which a pointer has left any chain
+    while not up.where("not hit").isEmpty():
+        if not left:
+            return None
+        onward = up.select(F.col("id").alias("at"), F.col("at").alias("to"), F.col("depth").alias("more"), F.col("hit").alias("there"))
+        moved = up.where("not hit").join(onward, "at").select("id", F.col("to").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), F.col("there").alias("hit"))
+        up, left = cut_table(up.where("hit").unionByName(moved)), left - 1
+    # a root below another root: what is below it is below both
+    over = cut_table(up.join(roots, "id", "left_semi").select(F.col("id").alias("at"), F.col("at").alias("to"), F.col("depth").alias("more")))
+    found, further, left = [up], up, over.count()
+    while left >= 0:
+        further = cut_table(further.join(over, "at").select("id", F.col("to").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), "hit"))
+        if further.isEmpty():
+            return _all(found).select("id", F.col("depth").cast("int").alias("depth"))
+        found.append(further)
+        left -= 1
+    return None
+
+
 def reached(edges: DataFrame, starts: DataFrame, lo: int, hi: int, rel=None, direction: str = "out") -> DataFrame:
     """Distinct (start, end) of ``(s)-[*lo..hi]-(x)``.  For ``lo`` up to 1 a level
     keeps one row per (start, node, last edge) instead of every path, so a
@@ -216,44 +263,44 @@ def suggest_links(edges: DataFrame, anchors: DataFrame, rel=None) -> DataFrame:
 def shortest_path(edges: DataFrame, a, b, max_hops: int, rel=None, direction: str = "both") -> DataFrame:
     """One shortest path from ``a`` to ``b`` of at most ``max_hops`` edges.
 
-    Level-by-level BFS: each node is kept once, at its first level, with the
-    smallest predecessor as parent (ties broken by key, so the answer is
-    deterministic), then the path is read back level by level.  Work per
-    level is one join of the frontier with the edges, reduced to a row per
-    node, and one anti-join with the visited set; nothing enumerates
-    paths.  No path within the bound: no row.
+    Breadth-first from both ends, each time on the side whose last level has
+    fewer nodes, until the last levels share a node; so a hub near one end
+    is not expanded when the other end is nearer.  A level is one join of the
+    last one with the edges, reduced to a row per node with its smallest
+    predecessor, and an anti-join with the side's earlier levels; nothing
+    enumerates paths.  Of several shortest paths the one is given whose nodes,
+    read from ``b``, are the smallest possible predecessors.  No path within the
+    bound: no row.
     """
-    e = _materialised(edges, rel, direction).select(F.col("src").alias("parent"), F.col("dst").alias("id"))
-    spark = edges.sparkSession
-    id_type = e.schema["id"].dataType
-    start = spark.range(1).select(F.lit(a).cast(id_type).alias("id"), F.lit(None).cast(id_type).alias("parent"))
-    levels = [start]
-    frontier = start.select(F.col("id").alias("parent"))
+    e = _materialised(edges, rel, direction)
+    kind = e.schema["src"].dataType
+    sides = [e.select(F.col("src").alias("parent"), F.col("dst").alias("id")), e.select(F.col("dst").alias("parent"), F.col("src").alias("id"))]
+    row = edges.sparkSession.range(1)
+    levels = [[row.select(F.lit(x).cast(kind).alias("id"), F.lit(None).cast(kind).alias("parent"))] for x in (a, b)]
+    counts, met = [1, 1], levels[0][0].select("id").where(F.col("id") == F.lit(b).cast(kind))
     found = a == b
-    target_hit = F.max((F.col("id") == F.lit(b).cast(id_type)).cast("int"))
-    for _ in range(max_hops):
-        if found:
-            break
-        seen = levels[0].select("id")
-        for lv in levels[1:]:
-            seen = seen.unionByName(lv.select("id"))
-        cand = frontier.join(e, "parent").groupBy("id").agg(F.min("parent").alias("parent"))
-        new = cut_lineage(cand.join(seen, "id", "left_anti"))
-        # one small action per level: is the level empty, does it hold the target?
-        stats = new.agg(F.count(F.lit(1)).alias("n"), target_hit.alias("hit")).first()
-        if stats.n == 0:
-            break
-        levels.append(new)
-        found = stats.hit == 1
-        frontier = new.select(F.col("id").alias("parent"))
-    target = levels[-1].filter(F.col("id") == F.lit(b).cast(id_type))
-    path = target.select(F.array(F.col("id")).alias("nodes"), F.col("parent").alias("cur"))
+    while not found and min(counts) and len(levels[0]) + len(levels[1]) - 2 < max_hops:
+        side = int(counts[1] < counts[0])
+        mine, other = levels[side], levels[1 - side]
+        near = mine[-1].select(F.col("id").alias("parent")).join(sides[side], "parent").groupBy("id").agg(F.min("parent").alias("parent"))
+        # a level's neighbours lie on the level before, on itself or beyond, if edges go both ways
+        grown = cut_table(near.join(_all([lv.select("id") for lv in mine]), "id", "left_anti"))
+        counts[side] = grown.count()
+        mine.append(grown)
+        met = grown.select("id").join(other[-1].select("id"), "id")
+        found = not met.isEmpty()
     if not found:
-        return path.select("nodes", F.lit(0).alias("hops")).limit(0)
-    for lv in reversed(levels[:-1]):  # the parent of a level's node is one level up
-        path = path.join(lv.select(F.col("id").alias("cur"), F.col("parent").alias("next")), "cur")
-        path = path.select(F.array_prepend("nodes", F.col("cur")).alias("nodes"), F.col("next").alias("cur"))
-    return path.select("nodes", F.lit(len(levels) - 1).alias("hops"))
+        return row.select(F.array(F.lit(b).cast(kind)).alias("nodes"), F.lit(0).alias("hops")).limit(0)
+    # from where the sides meet on to b, over the nodes of b's levels that lie on a shortest path
+    chain, on = [], cut_table(met)
+    for level in reversed(levels[1][:-1]):
+        step = on.select(F.col("id").alias("parent")).join(sides[0], "parent").join(level.select("id"), "id", "left_semi")
+        on = cut_table(step.groupBy("id").agg(F.min("parent").alias("parent")))
+        chain.insert(0, on)
+    path = row.select(F.array(F.lit(b).cast(kind)).alias("nodes"))
+    for lv in [*chain, *reversed(levels[0][1:])]:
+        path = path.withColumn("id", F.get("nodes", F.lit(0))).join(lv, "id").select(F.array_prepend("nodes", F.col("parent")).alias("nodes"))
+    return path.select("nodes", F.lit(len(levels[0]) + len(levels[1]) - 2).alias("hops"))
 
 
 def neighbourhood(nodes: DataFrame, edges: DataFrame, start, lo: int = 1, hi: int = 2, rel=None) -> DataFrame:

@@ -90,13 +90,6 @@ def supply_graph(t):
     return edges.filter(F.col("rel") == "BOUGHT").unionByName(sold).unionByName(places)
 
 
-_SUPPLY_SQL = f"""{_TYPED_SQL}, supply AS (
-  SELECT src, dst FROM edges WHERE rel = 'BOUGHT'
-  UNION ALL SELECT dst, src FROM edges WHERE rel = 'SUPPLIES'
-  UNION ALL SELECT src, dst FROM edges WHERE rel = 'IN' AND src % 8 <> 2
-)"""
-
-
 def tree_edges(t):
     """Region -HAS-> Nation -HAS-> Customer."""
     n = t.nation.select(_tid("region", "n_regionkey").alias("src"), _tid("nation", "n_nationkey").alias("dst"))
@@ -317,13 +310,18 @@ def q_expand_bounded(spark, sf_dir):
 # --------------------------------------------------------------------------- supply graph
 
 
-@register(
-    "q_expand_exact",
-    f"""
-WITH {_SUPPLY_SQL}
-SELECT b.dst AS reached FROM supply a JOIN supply b ON b.src = a.dst WHERE a.src = {START} * 8 + 2
-""",
-)
+# The anchor's own edges come first, so that no join order is large.
+_MINE_SQL = f"""
+WITH mine AS (
+  SELECT DISTINCT {START} * 8 + 2 AS customer, l.l_partkey * 8 + 3 AS part
+  FROM lineitem l JOIN (SELECT o_orderkey FROM orders WHERE o_custkey = {START}) o ON l.l_orderkey = o.o_orderkey
+), sold AS (
+  SELECT DISTINCT m.customer, m.part, l.l_suppkey * 8 + 1 AS supplier
+  FROM mine m JOIN lineitem l ON l.l_partkey * 8 + 3 = m.part
+)"""
+
+
+@register("q_expand_exact", f"{_MINE_SQL} SELECT supplier AS reached FROM sold")
 def q_expand_exact(spark, sf_dir):
     """``(:Customer {key: 1})-[*2]->(x)``: one row per path."""
     p = graph.expand(supply_graph(Tables(spark, sf_dir)), _anchor(spark, "customer", START), 2, 2)
@@ -333,10 +331,9 @@ def q_expand_exact(spark, sf_dir):
 # A path of this graph has one node of each kind in a fixed order, so the
 # answer is written kind by kind.
 _CHAIN_SQL = f"""
-WITH {_SUPPLY_SQL}
-SELECT p.src AS customer, p.dst AS part, s.dst AS supplier, n.dst AS nation, r.dst AS region
-FROM supply p JOIN supply s ON s.src = p.dst JOIN supply n ON n.src = s.dst JOIN supply r ON r.src = n.dst
-WHERE p.src = {START} * 8 + 2
+{_MINE_SQL}
+SELECT m.customer, m.part, m.supplier, s.s_nationkey * 8 + 4 AS nation, n.n_regionkey * 8 + 5 AS region
+FROM sold m JOIN supplier s ON s.s_suppkey * 8 + 1 = m.supplier JOIN nation n ON n.n_nationkey = s.s_nationkey
 """
 
 
@@ -374,13 +371,23 @@ def q_graph_routes(spark, sf_dir):
 
 
 @register(
-    "q_suggest_links",
+    "q_graph_routes_to",
     f"""
-WITH {_SUPPLY_SQL}
-SELECT DISTINCT b.dst AS suggestion FROM supply a JOIN supply b ON b.src = a.dst
-WHERE a.src = {START} * 8 + 2 AND b.dst NOT IN (SELECT dst FROM supply WHERE src = {START} * 8 + 2)
+SELECT concat_ws(',', customer, part, supplier, nation) AS path_nodes, 3 AS hops FROM ({_CHAIN_SQL}) WHERE nation = 3 * 8 + 4
 """,
 )
+def q_graph_routes_to(spark, sf_dir):
+    """``MATCH p = (:Customer {key: 1})-[*]->(:Nation {key: 3}) RETURN nodes(p),
+    length(p)``: every route between the two, edge-unique, without a hop limit."""
+    t = Tables(spark, sf_dir)
+    p = graph.expand(supply_graph(t), _anchor(spark, "customer", START), 1, None, unique="edge", targets=_anchor(spark, "nation", 3))
+    return p.select(graph.path_text(F.col("nodes")).alias("path_nodes"), "hops").orderBy("hops", "path_nodes")
+
+
+@register(
+    "q_suggest_links",
+    f"{_MINE_SQL} SELECT DISTINCT supplier AS suggestion FROM sold",
+)
 def q_suggest_links(spark, sf_dir):
     """Nodes that customer 1 may link to: within 1..2 hops of the supply graph
     and not linked yet."""

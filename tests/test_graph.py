@@ -1,6 +1,8 @@
 """Graph operators on the fixture graphs (friendships, org chart, social and
 books graphs)."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,8 +63,6 @@ def test_parallel_edges_stay_apart(spark):
 
 
 def test_paths_to_targets_are_the_filtered_paths(spark):
-    import random
-
     rng = random.Random(1)
     pairs = [(rng.randrange(9), rng.randrange(9)) for _ in range(22)]
     e = spark.createDataFrame(pairs, "src long, dst long").withColumn("rel", F.lit("R"))
@@ -187,3 +187,88 @@ def test_recursive_sql_equals_frontier_loop(spark):
     )
     loop = graph.descendants(tree_edges(t), spark.createDataFrame([(13,)], "id long"), rel="HAS")
     assert sorted(map(tuple, rec.collect())) == sorted(map(tuple, loop.collect()))
+
+
+def _random_edges(spark, rng, nodes, count):
+    pairs = [(rng.randrange(nodes), rng.randrange(nodes)) for _ in range(count)]
+    return pairs, spark.createDataFrame(pairs, "src long, dst long").withColumn("rel", F.lit("R"))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_routes_meet_in_the_middle(spark, seed):
+    """Several starts and targets, also equal ones, on graphs with cycles and
+    parallel edges, with and without a bound, against plain enumeration."""
+    rng = random.Random(seed)
+    pairs, e = _random_edges(spark, rng, 7, 12)
+    unique, hi = ("edge", "node")[seed % 2], (None, 6)[seed // 2]
+    starts, targets = {0, 1}, {5, 0}
+    want = []
+
+    def walk(start, at, nodes, used):
+        if used and at in targets:
+            want.append(tuple(nodes))
+        if hi is None or len(used) < hi:
+            for i, (s, d) in enumerate(pairs):
+                if s == at and i not in used and (unique == "edge" or d not in nodes):
+                    walk(start, d, [*nodes, d], used | {i})
+
+    for s in starts:
+        walk(s, s, [s], frozenset())
+    ids = [spark.createDataFrame([(x,) for x in sorted(side)], "id long") for side in (starts, targets)]
+    got = graph.expand(e, ids[0], 1, hi, unique=unique, targets=ids[1]).collect()
+    assert sorted(tuple(r.nodes) for r in got) == sorted(want) and all(len(r.nodes) == r.hops + 1 == len(r.eids) + 1 for r in got)
+
+
+def test_shortest_path_from_both_ends(spark):
+    """Length and tie rule against a one-sided search, both directions."""
+    rng = random.Random(7)
+    for direction, nodes, count in (("out", 14, 24), ("both", 16, 20), ("in", 10, 16)):
+        pairs, e = _random_edges(spark, rng, nodes, count)
+        along = {"out": pairs, "in": [(d, s) for s, d in pairs], "both": pairs + [(d, s) for s, d in pairs]}[direction]
+        for goal, bound in ((nodes - 1, 6), (nodes - 2, 3), (0, 3)):
+            parent, level, frontier = {}, {0: 0}, [0]
+            while frontier:
+                step = {}
+                for s, d in along:
+                    if s in frontier and d not in level:
+                        step[d] = min(step.get(d, s), s)
+                parent |= step
+                level |= dict.fromkeys(step, level[frontier[0]] + 1)
+                frontier = sorted(step)
+            want = [goal]
+            while goal in level and want[0] != 0:
+                want.insert(0, parent[want[0]])
+            found = graph.shortest_path(e, 0, goal, bound, direction=direction).collect()
+            assert [(r.nodes, r.hops) for r in found] == ([(want, level[goal])] if level.get(goal, 99) <= bound else [])
+
+
+def _walk_depths(pairs, roots):
+    out = []
+
+    def walk(at, depth, used):
+        for i, (s, d) in enumerate(pairs):
+            if s == at and i not in used:
+                out.append((d, depth + 1))
+                walk(d, depth + 1, used | {i})
+
+    for r in roots:
+        walk(r, 0, frozenset())
+    return sorted(out)
+
+
+def test_descendants_of_forests_by_doubling(spark, monkeypatch):
+    rng = random.Random(3)
+    forest = [(rng.randrange(max(0, i - 9), i), i) for i in range(1, 60) if i % 13]
+    e = spark.createDataFrame(forest, "src long, dst long").withColumn("rel", F.lit("R"))
+    monkeypatch.setattr(graph, "expand", None)  # no walk
+    for roots in ({0}, {0, 3, 13, 14, 999}, {59}):
+        got = graph.descendants(e, spark.createDataFrame([(r,) for r in roots] * 2, "id long"))
+        assert sorted(map(tuple, got.collect())) == _walk_depths(forest, roots)
+
+
+def test_descendants_below_a_circle(spark):
+    pairs = [(1, 2), (2, 3), (3, 1), (2, 4), (4, 5)]
+    e = spark.createDataFrame(pairs, "src long, dst long").withColumn("rel", F.lit("R"))
+    for roots in ({1}, {1, 2}, {4}):
+        got = graph.descendants(e, spark.createDataFrame([(r,) for r in roots], "id long"))
+        assert sorted(map(tuple, got.collect())) == _walk_depths(pairs, roots)
