@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_table
+from ..session import cut_counted, cut_table
 
 
 # --------------------------------------------------------------------------- building
@@ -153,8 +153,8 @@ def expand(edges: DataFrame, starts: DataFrame, lo: int = 1, hi: int | None = No
         if h == hi:  # the last level is read once
             out.append(frontier)
             break
-        frontier = cut_table(frontier)
-        if frontier.isEmpty():
+        frontier, count = cut_counted(frontier)
+        if not count:
             break
         out.append(frontier)
     return _all(out).filter(F.col("hops") >= lo) if out else frontier.limit(0)
@@ -172,12 +172,11 @@ def paths_between(e: DataFrame, starts: DataFrame, targets: DataFrame, lo: int,
     each is found once.  A side that cannot grow ends the search: it holds
     halves as long as any path."""
     sides = [e.select("eid", F.col("src").alias("end"), "dst"), e.select("eid", F.col("dst").alias("end"), F.col("src").alias("dst"))]
-    levels = [[_seeds(starts)], [cut_table(_seeds(targets.distinct()))]]
-    counts = [starts.count(), levels[1][0].count()]
+    seeds = [cut_counted(_seeds(side)) for side in (starts, targets.distinct())]
+    levels, counts = [[table] for table, _ in seeds], [count for _, count in seeds]
     while min(counts) and (hi is None or len(levels[0]) + len(levels[1]) - 2 < hi):
         side = int(counts[1] < counts[0])
-        grown = cut_table(_grow(levels[side][-1], sides[side], unique))
-        counts[side] = grown.count()
+        grown, counts[side] = cut_counted(_grow(levels[side][-1], sides[side], unique))
         if counts[side]:
             levels[side].append(grown)
     whole, back = _all(levels[0]), _all(levels[1])
@@ -214,8 +213,8 @@ def _tree_depths(parents: DataFrame, roots: DataFrame) -> DataFrame | None:
     id.  A round replaces each node's pointer by its target's own, until it
     stands on a root or runs off the top.  None where there is a circle."""
     at_root = roots.select(F.col("id").alias("at"), F.lit(True).alias("hit"))
-    up = cut_table(parents.join(at_root, "at", "left").select("id", "at", F.lit(1).cast("long").alias("depth"), F.coalesce("hit", F.lit(False)).alias("hit")))
-    left = up.count().bit_length() + 1  # rounds after which a pointer has left any chain
+    up, count = cut_counted(parents.join(at_root, "at", "left").select("id", "at", F.lit(1).cast("long").alias("depth"), F.coalesce("hit", F.lit(False)).alias("hit")))
+    left = count.bit_length() + 1  # rounds after which a pointer has left any chain
     while not up.where("not hit").isEmpty():
         if not left:
             return None
@@ -223,11 +222,11 @@ def _tree_depths(parents: DataFrame, roots: DataFrame) -> DataFrame | None:
         moved = up.where("not hit").join(onward, "at").select("id", F.col("to").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), F.col("there").alias("hit"))
         up, left = cut_table(up.where("hit").unionByName(moved)), left - 1
     # a root below another root: what is below it is below both
-    over = cut_table(up.join(roots, "id", "left_semi").select(F.col("id").alias("at"), F.col("at").alias("to"), F.col("depth").alias("more")))
-    found, further, left = [up], up, over.count()
+    over, left = cut_counted(up.join(roots, "id", "left_semi").select(F.col("id").alias("at"), F.col("at").alias("to"), F.col("depth").alias("more")))
+    found, further = [up], up
     while left >= 0:
-        further = cut_table(further.join(over, "at").select("id", F.col("to").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), "hit"))
-        if further.isEmpty():
+        further, count = cut_counted(further.join(over, "at").select("id", F.col("to").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), "hit"))
+        if not count:
             return _all(found).select("id", F.col("depth").cast("int").alias("depth"))
         found.append(further)
         left -= 1
@@ -284,8 +283,7 @@ def shortest_path(edges: DataFrame, a, b, max_hops: int, rel=None, direction: st
         mine, other = levels[side], levels[1 - side]
         near = mine[-1].select(F.col("id").alias("parent")).join(sides[side], "parent").groupBy("id").agg(F.min("parent").alias("parent"))
         # a level's neighbours lie on the level before, on itself or beyond, if edges go both ways
-        grown = cut_table(near.join(_all([lv.select("id") for lv in mine]), "id", "left_anti"))
-        counts[side] = grown.count()
+        grown, counts[side] = cut_counted(near.join(_all([lv.select("id") for lv in mine]), "id", "left_anti"))
         mine.append(grown)
         met = grown.select("id").join(other[-1].select("id"), "id")
         found = not met.isEmpty()

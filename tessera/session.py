@@ -15,7 +15,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
@@ -104,3 +105,10 @@ def cut_table(df: DataFrame) -> DataFrame:
     path = scratch_folder(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cut_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_table`` and the number of rows, counted while they are written."""
+    seen = Observation(f"rows_{uuid.uuid4().hex}")
+    table = cut_table(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return table, int(seen.get.get("n", 0))
