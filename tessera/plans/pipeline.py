@@ -4,10 +4,13 @@ tables.  Every run writes to a fresh folder in shared storage (see
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.names import normalise_name
 from ..operators import changes, layers, quality
+from ..session import cut_table
 from ..sources.ingest import read_json_array, write_json_arrays
 from ..sources.tables import Tables
 from .registry import register
@@ -137,6 +140,93 @@ def q_version_current(spark, sf_dir):
     return _versioned_orders(spark, Tables(spark, sf_dir)).read().select(*_O)
 
 
+@register(
+    "q_version_folded",
+    f"""
+SELECT 2 AS version, * FROM ({_V1_SQL}) WHERE NOT (o_orderstatus = 'F' AND o_totalprice < 5000)
+UNION ALL
+SELECT 3, o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 2 ELSE o_totalprice END, o_orderdate, o_orderpriority
+FROM ({_V1_SQL}) WHERE NOT (o_orderstatus = 'F' AND o_totalprice < 5000)
+""",
+)
+def q_version_folded(spark, sf_dir):
+    """A snapshot of version 2 is folded, an update follows that reads it and
+    not the history before; the table as of the snapshot and now."""
+    vt = _versioned_orders(spark, Tables(spark, sf_dir))
+    vt.fold()
+    vt.update(F.col("o_orderpriority") == "1-URGENT", {"o_totalprice": F.col("o_totalprice") + 2})
+    return vt.read(2).select(F.lit(2).alias("version"), *_O).unionByName(vt.read().select(F.lit(3).alias("version"), *_O))
+
+
+# --------------------------------------------------------------------------- stored layouts
+
+BUCKETS = 16
+
+
+@register(
+    "q_keyed_store",
+    """
+SELECT o_orderkey, o_custkey, o_totalprice, 1 AS seq FROM orders WHERE o_custkey % 100 <> 7
+UNION ALL SELECT o_orderkey, o_custkey, o_totalprice + 10, 2 FROM orders WHERE o_custkey % 100 = 7
+UNION ALL SELECT o_orderkey + 1000000000000, o_custkey, o_totalprice, 2 FROM orders WHERE o_custkey % 100 = 3
+""",
+)
+def q_keyed_store(spark, sf_dir):
+    """Orders loaded into a keyed store, then a second load that replaces some
+    and inserts others; the store afterwards.  A load writes its keys'
+    buckets only."""
+    orders = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    store = layers.KeyedStore(spark, layers.lake_dir(spark, "keyed_orders"), "o_orderkey", "seq", BUCKETS)
+    store.load(orders.withColumn("seq", F.lit(1)))
+    changed = orders.filter(F.col("o_custkey") % 100 == 7).withColumn("o_totalprice", F.col("o_totalprice") + 10)
+    new = orders.filter(F.col("o_custkey") % 100 == 3).withColumn("o_orderkey", F.col("o_orderkey") + 1_000_000_000_000)
+    store.load(changed.unionByName(new).withColumn("seq", F.lit(2)))
+    return store.read().select("o_orderkey", "o_custkey", "o_totalprice", "seq")
+
+
+@register(
+    "q_managed_join",
+    """
+SELECT o.o_orderkey, o.o_orderpriority, count(*) AS num_lines, CAST(sum(l.l_quantity) AS DOUBLE) AS quantity
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey, o.o_orderpriority
+""",
+)
+def q_managed_join(spark, sf_dir):
+    """Orders and their lines as managed tables in equal buckets of the order
+    key: the join and the aggregate above it plan no exchange.  The tables
+    are dropped once the result is written."""
+    t = Tables(spark, sf_dir)
+    names = [f"{name}_{uuid.uuid4().hex}" for name in ("orders", "lines")]
+    try:
+        orders = layers.publish_bucketed(t.orders.select("o_orderkey", "o_orderpriority"), names[0], "o_orderkey", BUCKETS)
+        lines = layers.publish_bucketed(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity"), names[1], "o_orderkey", BUCKETS)
+        joined = orders.join(lines, "o_orderkey").groupBy("o_orderkey", "o_orderpriority")
+        return cut_table(joined.agg(F.count(F.lit(1)).alias("num_lines"), F.sum("l_quantity").cast("double").alias("quantity")))
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@register(
+    "q_clustered_lookup",
+    """
+SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders
+WHERE o_custkey = 13 OR (o_orderdate = (SELECT max(o_orderdate) FROM orders) AND o_orderpriority = '1-URGENT')
+""",
+)
+def q_clustered_lookup(spark, sf_dir):
+    """Lookups on stored orders, in ranges of the date with bloom filters on
+    the customer: the rows of one customer, and the urgent ones of one day."""
+    orders = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    files = max(8, orders.count() // 1_000_000)
+    stored = layers.write_clustered(orders, layers.lake_dir(spark, "clustered_orders"), "o_orderdate", ["o_custkey"], files)
+    day = stored.agg(F.max("o_orderdate")).first()[0]
+    urgent = (F.col("o_orderdate") == F.lit(day)) & (F.col("o_orderpriority") == "1-URGENT")
+    mine = stored.filter(F.col("o_custkey") == 13)
+    found = mine.unionByName(stored.filter(urgent & ~F.col("o_custkey").eqNullSafe(F.lit(13))))
+    return found.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+
+
 # --------------------------------------------------------------------------- JSON arrays -> raw zone
 
 ROWS_PER_FILE = 50_000  # each file is one array, read in parallel
