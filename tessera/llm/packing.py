@@ -14,7 +14,9 @@ upper bits.  A repeated task packs the same rows the same way.
 
 Token ids are those of the library for the vocabulary file: its merges run in
 the faster of the two installed byte-level encoders, from the same file (see
-README); long texts are split at safe boundaries (``tokens.safe_pieces``).
+README); long texts are split at safe boundaries (``tokens.safe_pieces``).  A
+piece with ``LONG_SPACE`` white-space characters in a row, on which that
+encoder's pattern runs out of stack at some length, goes to the library.
 
 Nulls: a null text is empty and has only the end id; ids may be null or
 repeat (each row is a document).  An empty table gives an empty result.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +39,9 @@ from .tokens import default_vocabulary, safe_pieces
 
 WINDOW = 1024
 END_ID = 0
+LONG_SPACE = 10_000
 _ROWS_OUT = 4096
+_SPACES = re.compile(r"\s{%d}" % LONG_SPACE)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -53,6 +58,7 @@ def encoder(path: str):
     them by default (a special string in a text becomes its id)."""
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -61,10 +67,16 @@ def encoder(path: str):
     ranks = {bytes(letters[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in special}
     enc = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
+    @functools.cache
+    def library() -> Tokenizer:
+        return Tokenizer.from_file(path)
+
     def ids(text: str) -> list[int]:
         out: list[int] = []
         for piece in safe_pieces(text):
-            if any(s in piece for s in special):
+            if len(piece) >= LONG_SPACE and _SPACES.search(piece):
+                out += library().encode(piece, add_special_tokens=False).ids
+            elif any(s in piece for s in special):
                 out += enc.encode(piece, allowed_special="all")
             else:
                 out += enc.encode_ordinary(piece)
