@@ -132,10 +132,10 @@ def _sizes_fit(a, b):
 
 
 def full_sets(wanted: DataFrame, docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(rep, set) of the classes ``wanted`` (rep, thash)."""
+    """(rep, set) of the classes ``wanted`` (rep, id, thash)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.xxhash64(text).alias("thash"), F.to_binary(text, F.lit("utf-8")).alias("bytes"))
-    rows = rows.join(wanted, ["rep", "thash"], "left_semi").select("rep", "bytes")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("thash"), F.to_binary(text, F.lit("utf-8")).alias("bytes"))
+    rows = rows.join(wanted, ["id", "thash"]).select("rep", "bytes")
     sets = rows.mapInArrow(_sets(width), "rep long, set array<long>")
     return cut_table(sets.dropDuplicates(["rep"]))
 
@@ -258,7 +258,7 @@ def class_components(reps: DataFrame, docs: DataFrame, **how) -> DataFrame | Non
     # were copied from meets more of them than they each other
     rank = keys.groupBy("rep").agg(F.sum("c").alias("meets"))
     keys = cut_lineage(keys.join(rank, "rep").withColumn("who", F.struct("meets", "rep", "n")))
-    sets = full_sets(reps.join(rank, "rep", "left_semi").select("rep", "thash"), docs, **how)
+    sets = full_sets(reps.join(rank, "rep", "left_semi").select("rep", "id", "thash"), docs, **how)
 
     pairs = keys.join(keys.groupBy("key").agg(F.max("who").alias("centre")), "key")
     pairs = pairs.where((F.col("rep") != F.col("centre.rep")) & _sizes_fit(F.col("n"), F.col("centre.n")))
@@ -293,16 +293,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     signed = cut_lineage(signatures(docs, **how))
     known = signed.where("n > 0 and doc_id is not null")
     classes = known.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "thash", "sig")).alias("m"))
-    classes = cut_lineage(classes.select("h1", "h2", "n", F.col("m.doc_id").alias("rep"), F.col("m.thash").alias("thash"), F.col("m.sig").alias("sig")))
-    # an id on rows of different texts can stand for several classes
-    reps = classes.groupBy("rep").agg(F.min(F.struct("thash", "n", "sig")).alias("m")).select("rep", "m.thash", "m.n", "m.sig")
-    comp = class_components(reps, docs, **how)
+    # a class has a number of its own: an id may stand on rows of different texts
+    number = F.monotonically_increasing_id().alias("rep")
+    classes = cut_lineage(classes.select("h1", "h2", "n", number, F.col("m.doc_id").alias("id"), F.col("m.thash").alias("thash"), F.col("m.sig").alias("sig")))
+    comp = class_components(classes, docs, **how)
 
-    whole = classes.select("h1", "h2", "n", "rep")
+    whole = classes.select("h1", "h2", "n", "rep", "id")
     if comp is None:
-        whole = whole.withColumnRenamed("rep", "component")
+        whole = whole.withColumnRenamed("id", "component")
     else:
-        whole = whole.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
+        named = comp.withColumnRenamed("node", "rep").join(whole.select("rep", "id"), "rep")
+        named = named.select("rep", "component").join(named.groupBy("component").agg(F.min("id").alias("name")), "component")
+        whole = whole.join(named.select("rep", "name"), "rep", "left").select("h1", "h2", "n", F.coalesce("name", "id").alias("component"))
     out = signed.join(whole, ["h1", "h2", "n"], "left")
     linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     component = F.when(linked, F.col("component")).otherwise(F.col("doc_id"))
