@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -240,7 +241,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
         ask = Judge(Model(*shared.value))
         for batch in batches:
             column = batch.column(0)
-            ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False))
+            ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
             a = 0
             while a < batch.num_rows:
                 b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + chunk, "right")))

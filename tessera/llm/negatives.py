@@ -33,6 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,7 +125,7 @@ def _packer(size: int):
 
         for batch in batches:
             lists = batch.column(2)
-            dims = pa.compute.list_value_length(lists).to_numpy()
+            dims = pc.list_value_length(lists).to_numpy()
             flat, ends = lists.flatten().to_numpy(), np.cumsum(dims)
             ids, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             extra = batch.column(3).flatten().to_numpy().reshape(batch.num_rows, -1)

@@ -33,18 +33,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_table
-from .shingles import chunks, mixed
+from .shingles import mixed
 
 LENGTH = 200
 PREFIX = 64
 BUCKET_RUNS = 20_000
-CHUNK_BYTES = 1 << 19
-_SORT_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 18  # bytes of text worked on at a time
+_SORT_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
@@ -115,26 +116,53 @@ def _intervals(lo: np.ndarray, hi: np.ndarray) -> list[dict]:
     return [{"lo": int(x), "hi": int(y)} for x, y in zip(lo[new], hi[np.concatenate([new[1:] - 1, [len(hi) - 1]])])]
 
 
+def _by_bytes(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``limit`` bytes of a column, a row at least."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, "right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
+def _pieces(texts: list[bytes], length: int, limit: int = CHUNK_BYTES) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Lists of (text, offset, bytes) of about ``limit`` bytes.  A longer text is
+    cut so that each of its windows lies in one piece; a run that a cut
+    divides is two runs."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        for at in range(0, max(1, len(text) - length + 1), limit):
+            held.append((i, at, text[at : at + limit + length - 1]))
+            size += len(held[-1][2])
+            if size >= limit:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def _runs(length: int, prefix: int):
-    """A row for each different run of a text: its first start, how often it is
-    there, and, if more than once, all of its windows' starts."""
+    """A row for each different run of a text (of a piece, where it is long):
+    its first start, how often it is there, and, if more than once, all of
+    its windows' starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for part in chunks(texts, CHUNK_BYTES):
-                text, start, count, name, body = cover_runs([texts[i] for i in part], rolling, length, prefix)
+        for part in (part for batch in batches for part in _by_bytes(batch, 2)):
+            for pieces in _pieces(part.column(2).to_pylist(), length):
+                piece, start, count, name, body = cover_runs([p[2] for p in pieces], rolling, length, prefix)
+                text, start = np.array([p[0] for p in pieces])[piece], start + np.array([p[1] for p in pieces])[piece]
                 order = np.lexsort((start, body, name, text))
                 text, start, count, name, body = (x[order] for x in (text, start, count, name, body))
                 same = (text[1:] == text[:-1]) & (name[1:] == name[:-1]) & (body[1:] == body[:-1]) & (count[1:] == count[:-1])
                 first = np.flatnonzero(np.concatenate([[True], ~same])) if len(text) else np.zeros(0, dtype=np.int64)
                 times = np.diff(np.concatenate([first, [len(text)]]))
                 own = [None if n == 1 else _intervals(start[i : i + n], start[i : i + n] + count[i : i + n] - 1) for i, n in zip(first.tolist(), times.tolist())]
-                take = pa.array(text[first] + part.start)
+                take = pa.array(text[first])
                 span = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
                 cols = [pa.array(start[first].astype(np.int32)), pa.array(count[first].astype(np.int32)), pa.array(name[first]), pa.array(body[first]), pa.array(times.astype(np.int32)), pa.array(own, span)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *cols], ["id", "thash", "start", "windows", "name", "body", "times", "own"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), *cols], ["id", "thash", "start", "windows", "name", "body", "times", "own"])
 
     return run
 
@@ -228,7 +256,8 @@ def repeated_windows(rows: DataFrame, *, length: int = LENGTH, prefix: int = PRE
     span = "array<struct<lo:bigint,hi:bigint>>"
     texts = rows.where(F.octet_length("bytes") >= length).select("id", "thash", "bytes")
     runs = texts.mapInArrow(_runs(length, prefix), f"id {kind}, thash long, start int, windows int, name long, body long, times int, own {span}")
-    again = runs.groupBy("name").agg(F.sum("times").alias("c")).where("c > 1").select("name")
+    # counted before the runs are dealt out: one map over the texts at a time
+    again = cut_table(runs.groupBy("name").agg(F.sum("times").alias("c")).where("c > 1").select("name"))
     runs = cut_table(runs.join(again, "name", "left_semi"))
 
     # "windows" is the length of the body, which the body's hash covers
@@ -268,7 +297,7 @@ def _to_characters(data: bytes, a: np.ndarray, b: np.ndarray):
 
 def _cut(length: int, whole_chars: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _by_bytes(whole, 1, 4 * CHUNK_BYTES)):
             removed, spans, kept = [], [], []
             for data, lo, hi in zip(batch.column(1), batch.column(2), batch.column(3)):
                 data = data.as_py()

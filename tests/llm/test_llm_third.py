@@ -280,3 +280,81 @@ def test_suffix_intervals(monkeypatch):
     shard = pa.table({"left": [False] * n + [True] * n, "word": words * 2, "n": [1] * 2 * n, "asks": [True] * 2 * n, "target": [True] * 2 * n})
     found = variants._near(shard)
     assert set(zip(found["word"].to_pylist(), found["near"].to_pylist())) == brute_pairs(words)
+
+
+# --------------------------------------------------------------------------- earlier operators
+def test_long_white_space_is_packed_and_counted(spark):
+    """Runs of a million white-space characters, and special strings beside them."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tessera.llm import packing, tokens
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["\n" * 1_000_000 + "x", " " * 1_000_000 + "x", "a b" + " \n\t" * 20_000 + "c <|endoftext|> d", "x" + "　" * 50_000, "ok " * 4]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: [*tok.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    got = {}
+    for r in sorted(packing.pack(docs).collect(), key=lambda r: (r.doc_id, r.start)):
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+    assert got == want
+    assert {r.doc_id: r.n_tokens + 1 for r in tokens.count_tokens(docs).collect()} == {i: len(x) for i, x in want.items()}
+
+
+def test_near_duplicates_of_an_id_on_several_texts(spark):
+    """Every text of a repeated id is searched, not one of them."""
+    from tessera.llm import minhash
+
+    rnd = random.Random(2)
+    x, y, z = ([f"w{rnd.randrange(10**6)}" for _ in range(60)] for _ in range(3))
+    near = lambda w, k: [*w[:k], "other", *w[k + 1 :]]
+    rows = [(1, x), (1, y), (5, near(y, 1)), (7, near(x, 58)), (7, z), (9, near(z, 0)), (3, near(z, 59)), (8, y)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect())
+    assert got == sorted([(1, 1, True), (1, 1, True), (5, 1, False), (7, 1, False), (8, 1, False), (3, 3, True), (7, 3, False), (9, 3, False)])
+    assert sorted(r.doc_id for r in minhash.deduplicated(docs).collect()) == [1, 1, 3]
+
+
+def test_pieces_of_long_texts_hold_every_window_once():
+    from tessera.llm import suffix
+
+    rnd = random.Random(1)
+    texts = [bytes(rnd.choices(b"abc", k=n)) for n in (0, 5, 199, 200, 700, 4321, 1000)]
+    for limit in (200, 256, 1000, 10**6):
+        windows = Counter()
+        for pieces in suffix._pieces(texts, 200, limit):
+            assert sum(len(p[2]) for p in pieces) <= 2 * limit + 400
+            for i, at, data in pieces:
+                assert texts[i][at : at + len(data)] == data
+                windows.update((i, at + k) for k in range(len(data) - 199))
+        assert windows == Counter((i, k) for i, t in enumerate(texts) for k in range(len(t) - 199))
+
+
+def test_repeats_within_and_across_long_texts(spark):
+    """A text of 20 MB and shorter ones; repeats at piece borders, and over them."""
+    import xxhash
+
+    from tessera.llm import suffix
+
+    rnd = np.random.default_rng(4)
+    letters = lambda n: rnd.integers(97, 123, n).astype(np.uint8).tobytes()
+    step, shared = suffix.CHUNK_BYTES, letters(900)
+    long = bytearray(letters(20_000_000))
+    for at in (step - 450, 3 * step - 1, 5 * step - 199, 7 * step + 5, 20_000_000 - 900):
+        long[at : at + 900] = shared
+    other = bytearray(letters(700_000))
+    other[300_000:300_250] = long[9 * step - 100 : 9 * step + 150]
+    rows = [bytes(long), bytes(other), letters(500) + shared[100:400], b"z" * 600_000]
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(rows)], "doc_id long, text string")
+    got = {r.row.doc_id: (r.n_removed, [(s.start, s.stop) for s in r.spans], xxhash.xxh64_hexdigest(r.kept)) for r in suffix.remove_repeats(docs).collect()}
+    spans = {
+        0: [*((at, at + 900) for at in (step - 450, 3 * step - 1, 5 * step - 199, 7 * step + 5)), (9 * step - 100, 9 * step + 150), (20_000_000 - 900, 20_000_000)],
+        1: [(300_000, 300_250)],
+        2: [(500, 800)],
+        3: [(0, 600_000)],
+    }
+    for i, text in enumerate(rows):
+        kept, at = b"", 0
+        for a, b in spans[i]:
+            kept, at = kept + text[at:a], b
+        assert got[i] == (sum(b - a for a, b in spans[i]), spans[i], xxhash.xxh64_hexdigest(kept + text[at:]))
