@@ -1,11 +1,11 @@
 """URL filter by a path-template tree (DataFrame functions only).
 
-Per host, paths form a tree of segments.  Level by level, a segment stays
-literal where it has pages enough (``MIN_SUPPORT``, whatever its share); the
-others there are variable and become a wildcard (``*``, with the file extension
-if any).  That goes on as deep as any path with enough pages.  Then, from the leaves up, a branch whose share
-of bad labels is not significantly off its parent's is merged into the
-parent.  What remains are templates; one is rejected if its smoothed
+Per host, paths form a tree of segments.  A segment stays literal where it has
+pages enough (``MIN_SUPPORT``, whatever its share); the others there are
+variable and become a wildcard (``*``, with the file extension if any).  That
+goes on as deep as any path with enough pages.  Then, from the leaves up, a
+branch whose share of bad labels is not significantly off its parent's is
+merged into the parent.  What remains are templates; one is rejected if its smoothed
 share of good labels is under ``MIN_PURITY``.  Listed rules (host, path) go
 before the method, the longest first.
 
@@ -26,9 +26,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import lower_ascii
 
-DEPTH = 4  # levels before it is asked whether any path goes on
 MIN_SUPPORT = 3  # pages of a literal segment
-MIN_SHARE = 0.0  # of the parent's pages: none is asked for (the tests' oracle reads it)
 SIMILAR_Z = 1.96
 SMOOTHING = 10.0  # labels' worth of the overall share
 MIN_PURITY = 0.5
@@ -57,49 +55,77 @@ def _wild(segment: Column) -> Column:
     return F.concat(F.lit("*"), F.regexp_extract(segment, r"(\.[A-Za-z]{1,5})$", 1))
 
 
+def _prefix(text: str, segments: Column) -> Column:
+    """The first so many segments of a path that starts with ``/``."""
+    return F.call_function("substring_index", F.col(text), F.lit("/"), (segments + 1).cast("int"))
+
+
 def templates(paths: DataFrame) -> DataFrame:
-    """Add ``template`` to distinct (host, path, n, ...) rows."""
-    segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    t = paths.withColumn("segments", segments).withColumn("template", F.lit(""))
-    level, further = 0, True
+    """Add ``template`` to distinct (host, path, n, ...) rows.
+
+    A round takes each path from its template so far over all segments that
+    stay literal, and over the variable one behind them: under one template the
+    pages of longer and longer prefixes grow fewer, so one count of all prefixes
+    finds where literal segments end.  Rounds go on while a template has
+    pages enough that go on behind it, so there are as many as wildcards."""
+    segments = F.array_join(F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), lambda s: F.concat(F.lit("/"), s)), "")
+    t = paths.withColumn("rest", segments).withColumn("template", F.lit("")).withColumn("no", F.monotonically_increasing_id())
+    t, further = cut_lineage(t), True
     while further:
-        level += 1
-        t = t.withColumn("segment", F.get("segments", F.lit(level - 1)))
-        child = t.where("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("pages"))
-        literal = child.where(F.col("pages") >= MIN_SUPPORT).select("host", "template", "segment", F.lit(True).alias("literal"))
-        t = t.join(literal, ["host", "template", "segment"], "left")
-        step = F.concat("template", F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise(_wild(F.col("segment"))))
-        t = t.withColumn("template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(step)).drop("segment", "literal")
+        longer = t.where("rest <> ''").withColumn("k", F.explode(F.sequence(F.lit(1), F.size(F.split("rest", "/")) - 1)))
+        longer = longer.select("no", "host", "template", "n", "k", _prefix("rest", F.col("k")).alias("prefix"))
+        enough = longer.groupBy("host", "template", "prefix").agg(F.sum("n").alias("pages")).where(F.col("pages") >= MIN_SUPPORT)
+        literal = longer.join(enough.drop("pages"), ["host", "template", "prefix"]).groupBy("no").agg(F.max("k").alias("k"))
+        t = t.join(literal, "no", "left").withColumn("k", F.coalesce("k", F.lit(0)))
+        same = _prefix("rest", F.col("k"))
+        behind = F.substring(F.col("rest"), F.char_length(same) + 1, F.lit(2_147_483_647))
+        variable = F.regexp_extract(behind, "^/([^/]*)", 1)
+        step = F.when(behind == "", F.lit("")).otherwise(F.concat(F.lit("/"), _wild(variable)))
+        t = t.withColumns({"template": F.concat("template", same, step), "rest": F.regexp_replace(behind, "^/[^/]*", "")}).drop("k")
         t = cut_lineage(t)
-        if level >= DEPTH:
-            going_on = t.where(F.size("segments") > level).groupBy("host", "template").agg(F.sum("n").alias("pages"))
-            further = not going_on.where(F.col("pages") >= MIN_SUPPORT).isEmpty()
+        going_on = t.where("rest <> ''").groupBy("host", "template").agg(F.sum("n").alias("pages"))
+        further = not going_on.where(F.col("pages") >= MIN_SUPPORT).isEmpty()
     # what is left goes on with too few pages for any literal segment
-    rest = F.transform(F.filter("segments", lambda s, i: i >= level), lambda s: F.concat(F.lit("/"), _wild(s)))
-    return t.withColumn("template", F.concat("template", F.array_join(rest, ""))).drop("segments")
+    rest = F.transform(F.filter(F.split("rest", "/"), lambda s: s != ""), lambda s: F.concat(F.lit("/"), _wild(s)))
+    return t.withColumn("template", F.concat("template", F.array_join(rest, ""))).drop("rest", "no")
 
 
 def merged(stats: DataFrame) -> DataFrame:
     """(host, template, node, labelled, bad): the node that each template
-    ends in after merging similar branches into their parents."""
-    t = stats.withColumn("node", F.col("template")).withColumn("done", F.lit(False))
-    height = F.size(F.split("node", "/")) - 1
-    top = t.agg(F.max(height).alias("top")).first().top or 0
-    for level in range(top, 0, -1):
-        here = (~F.col("done")) & (height == level)
-        nodes = t.where(here).groupBy("host", "node").agg(F.sum("labelled").alias("nl"), F.sum("bad").alias("nb"))
-        nodes = nodes.withColumn("parent", F.regexp_replace("node", r"/[^/]*$", ""))
+    ends in after merging similar branches into their parents.
+
+    Only where labelled templates part is there anything to compare: a branch
+    without a sibling has its parent's share.  So the tree is worked off by
+    the forks on the way to a template, from the last to the first, in as many
+    rounds as there are forks on one way; a template without labels goes with
+    the nearest branch above it that stays apart."""
+    known = stats.where("labelled > 0")
+    depth = F.size(F.split("template", "/")) - 1
+    way = known.select("host", "template", F.explode(F.when(depth > 0, F.sequence(F.lit(0), depth - 1)).otherwise(F.array().cast("array<int>"))).alias("at"))
+    way = way.withColumn("parent", _prefix("template", F.col("at"))).withColumn("child", _prefix("template", F.col("at") + 1))
+    forks = way.groupBy("host", "parent").agg(F.min("child").alias("a"), F.max("child").alias("b")).where("a <> b").select("host", "parent")
+    met = way.join(forks, ["host", "parent"]).groupBy("host", "template").agg(F.array_sort(F.collect_list("at")).alias("forks"))
+    t = known.join(met, ["host", "template"], "left").withColumn("forks", F.coalesce("forks", F.array().cast("array<int>")))
+    t = cut_lineage(t.withColumn("node", F.lit(None).cast("string")))
+    most = t.agg(F.max(F.size("forks"))).first()[0] or 0
+    for k in range(most - 1, -1, -1):
+        here = F.col("node").isNull() & (F.size("forks") > k)
+        at = F.get("forks", F.lit(k))
+        t = t.withColumn("child", F.when(here, _prefix("template", at + 1))).withColumn("parent", F.when(here, _prefix("template", at)))
+        nodes = t.where("child is not null").groupBy("host", "parent", "child").agg(F.sum("labelled").alias("nl"), F.sum("bad").alias("nb"))
         pooled = nodes.groupBy("host", "parent").agg(F.sum("nl").alias("pl"), F.sum("nb").alias("pb"))
-        both = nodes.join(pooled, ["host", "parent"])
         rate = F.col("pb") / F.greatest(F.col("pl"), F.lit(1))
         off = F.abs(F.col("nb") - F.col("nl") * rate) > SIMILAR_Z * F.sqrt(F.col("nl") * rate * (1 - rate))
-        apart = both.select("host", "node", "parent", ((F.col("nl") > 0) & off).alias("apart"))
-        t = t.join(apart, ["host", "node"], "left")
-        keep = F.coalesce(F.col("apart"), F.lit(True)) | F.col("done")
-        t = t.withColumn("done", F.when(F.col("apart").isNull(), F.col("done")).otherwise(F.col("done") | F.col("apart")))
-        t = t.withColumn("node", F.when(keep, F.col("node")).otherwise(F.col("parent"))).drop("apart", "parent")
-        t = cut_lineage(t)
-    return t.drop("done")
+        apart = nodes.join(pooled, ["host", "parent"]).where(off).select("host", "child", F.lit(True).alias("apart"))
+        t = t.join(apart, ["host", "child"], "left").withColumn("node", F.when(F.col("apart"), F.col("child")).otherwise(F.col("node")))
+        t = cut_lineage(t.drop("apart", "child", "parent"))
+    stay = t.where("node is not null").select("host", "node").distinct()
+    others = stats.where("labelled = 0").withColumn("at", F.explode(F.sequence(F.lit(0), depth)))
+    others = others.withColumn("node", _prefix("template", F.col("at"))).join(stay, ["host", "node"])
+    above = others.groupBy("host", "template").agg(F.max_by("node", "at").alias("node"))
+    rest = stats.where("labelled = 0").join(above, ["host", "template"], "left")
+    columns = ["host", "template", F.coalesce("node", F.lit("")).alias("node"), "labelled", "bad"]
+    return t.select(*columns).unionByName(rest.select(*columns))
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES, *, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

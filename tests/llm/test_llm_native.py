@@ -1,6 +1,7 @@
 """Mixing, chat formatting, URL filter and quality rules."""
 
 import os
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -183,14 +184,12 @@ def tree_verdicts(pages, labels):
         marks[key].append(bad)
     segments = {k: [s for s in k[1].split("/") if s] for k in n}
     template = {k: "" for k in n}
-    for level in range(urls.DEPTH):
+    depth = max(map(len, segments.values()), default=0)
+    for level in range(depth):
         child = Counter()
         for k in n:
             if len(segments[k]) > level:
                 child[k[0], template[k], segments[k][level]] += n[k]
-        parent = Counter()
-        for (h, t, _), c in child.items():
-            parent[h, t] += c
         after = {}
         for k in n:
             if len(segments[k]) <= level:
@@ -199,18 +198,15 @@ def tree_verdicts(pages, labels):
             s = segments[k][level]
             c = child[k[0], template[k], s]
             ext = re.search(r"(\.[A-Za-z]{1,5})$", s)
-            keep = c >= urls.MIN_SUPPORT and c >= urls.MIN_SHARE * parent[k[0], template[k]]
+            keep = c >= urls.MIN_SUPPORT
             after[k] = template[k] + "/" + (s if keep else "*" + (ext[1] if ext else ""))
         template = after
-    for k in n:
-        if len(segments[k]) > urls.DEPTH:
-            template[k] += "/**"
     stat = defaultdict(lambda: [0, 0])
     for k in n:
         stat[k[0], template[k]][0] += len(marks[k])
         stat[k[0], template[k]][1] += sum(marks[k])
     node, done = {k: k[1] for k in stat}, set()
-    for level in range(urls.DEPTH + 1, 0, -1):
+    for level in range(depth, 0, -1):
         nodes = defaultdict(lambda: [0, 0])
         for k in stat:
             if (k[0], node[k]) not in done and node[k].count("/") == level:
@@ -297,6 +293,44 @@ def test_url_tree_keeps_small_and_deep_branches(spark):
     assert {r.page_id for r in out.where("verdict = 'block'").collect()} == {i for i, _, bad in rows if bad}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_url_tree_against_the_tree_in_memory(spark, seed):
+    """Deep paths, forks at many depths, labels on few pages, repeated urls."""
+    rnd = random.Random(seed)
+    keys, marks = [], []
+    for _ in range(500):
+        path = ""
+        while rnd.random() < 0.8 and path.count("/") < 12:
+            path += "/" + rnd.choice(["a", "b", "b", "c.html", str(rnd.randrange(60)), "s" * rnd.randint(1, 3)])
+        keys.append((rnd.choice(["h.test", "h.test", "i.test"]), path + rnd.choice(["", "/", "//"])))
+    for k in set(keys):
+        if rnd.random() < 0.5:
+            marks += [(k, int(rnd.random() < (0.9 if "/b/b" in k[1] else 0.1)))] * rnd.randint(1, 3)
+    pages = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p) in enumerate(keys)], "page_id long, url string")
+    labels = spark.createDataFrame([(*k, b) for k, b in marks], "host string, path string, bad int")
+    queries.prepare(spark)
+    want = tree_verdicts(keys, marks)
+    got = urls.judge_urls(pages, labels, rules=()).collect()
+    assert {r.page_id: r.verdict for r in got} == {i: "block" if k in want else "allow" for i, k in enumerate(keys)}
+    assert 20 < sum(r.verdict == "block" for r in got) < 400
+
+
+def test_url_tree_of_a_crawler_trap(spark, monkeypatch):
+    """Paths of a thousand segments take no more rounds than short ones."""
+    rounds = []
+    cut = urls.cut_lineage
+    monkeypatch.setattr(urls, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    paths = ["/x" * k + "/end" for k in (3, 10, 500, 999, 1000)] + ["/y" * 1000] * 3
+    pages = spark.createDataFrame([(i, f"http://trap.test{p}") for i, p in enumerate(paths)], "page_id long, url string")
+    labels = spark.createDataFrame([("trap.test", p, int("/y" in p)) for p in paths], "host string, path string, bad int")
+    queries.prepare(spark)
+    got = {r.page_id: r.verdict for r in urls.judge_urls(pages, labels, rules=()).collect()}
+    marks = [(("trap.test", p), int("/y" in p)) for p in paths]
+    want = tree_verdicts([("trap.test", p) for p in paths], marks)
+    assert got == {i: "block" if ("trap.test", p) in want else "allow" for i, p in enumerate(paths)}
+    assert len(rounds) < 20
+
+
 # rules ---------------------------------------------------------------------
 
 
