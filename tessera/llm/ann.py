@@ -218,14 +218,23 @@ def _best(k: int, block: int = 256):
     return run
 
 
+def _first_by_hash(rows: DataFrame, count: int, sample: int, seed: int) -> DataFrame:
+    """``sample`` of the ``count`` rows: those of the smallest hash.  Only rows
+    below a bound that leaves more than enough are ordered."""
+    key = F.xxhash64("vec_id", F.lit(seed))
+    share = 1.25 * sample / max(1, count)
+    near = rows if share >= 1 else rows.where(key < F.lit(int((share - 0.5) * 2**64)))
+    return near.orderBy(key, "vec_id").limit(sample)
+
+
 def search(table: DataFrame, is_query: Column, *, k: int = K, trees: int = TREES, depth: int = DEPTH, share: float = SHARE, sample: int = SAMPLE, chunk_rows: int = CHUNK_ROWS, seed: int = SEED, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row for
     which ``is_query`` (a condition on vec_id) holds."""
     vectors = valid_vectors(table, id_col, vec_col)
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
-    by_hash = [F.xxhash64("vec_id", F.lit(seed)), F.col("vec_id")]
-    fit = vectors.orderBy(*by_hash).limit(sample).select("vec").collect()
+    count = vectors.count()
+    fit = _first_by_hash(vectors, count, sample, seed).select("vec").collect()
     if not fit:
         return spark.createDataFrame([], schema)
     points = np.unique(np.array([r.vec for r in fit]), axis=0)
@@ -237,7 +246,7 @@ def search(table: DataFrame, is_query: Column, *, k: int = K, trees: int = TREES
     for r in per_leaf:
         sizes[r.tree, r.leaf] = r["count"]
 
-    again = placed.orderBy(*by_hash).limit(sample).select("vec_id", "vec", "leaves").toArrow()  # the fitted rows
+    again = _first_by_hash(placed, count, sample, seed).select("vec_id", "vec", "leaves").toArrow()  # the fitted rows
     fitted = Sample(np.array(again.column("vec_id")), np.array(again.column("vec").to_pylist()), np.array(again.column("leaves").to_pylist(), dtype=np.int32), 2**depth)
 
     # chunks of a leaf: as many as its size asks for

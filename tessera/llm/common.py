@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -45,6 +45,17 @@ def shuffled_index(i: Column, n: Column, *key: Column, rounds: int = 12) -> Colu
     return F.aggregate(turns, i.cast("long"), swap)
 
 
+def kth_largest(counts: DataFrame, k: int) -> tuple[int, float]:
+    """The k-th largest n of ``counts`` (.., n), and the share of the rows of
+    just that n which are among the k.  They are read off the histogram of n
+    (a row for each different count), so no task orders rows of all others."""
+    histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("rows"))
+    so_far = F.sum("rows").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1))
+    upto = histogram.withColumn("so_far", F.coalesce(so_far, F.lit(0))).where(F.col("so_far") < k)
+    last = upto.agg(F.min(F.struct("n", "rows", "so_far")).alias("m")).first().m
+    return (0, 1.0) if last is None else (last.n, min(1.0, (k - last.so_far) / last.rows))
+
+
 #: Edges for one task of a component round.
 EDGES_PER_TASK = 50_000
 

@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, cut_table
+from .common import kth_largest
 from .shingles import chunks
 
 CLASSES = 16
@@ -47,6 +48,7 @@ SWEEPS = 12
 DISCOUNT = 0.5
 BACKOFF = 2.0
 _FLUSH = 400_000  # different words that a task holds
+_ROWS_OUT = 50_000
 _HELD = 1 << 22  # tokens that a task holds
 _END = 0  # class of the end token; word classes are 1 .. CLASSES
 
@@ -63,26 +65,21 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple
             yield batch, part, [texts[i] for i in part]
 
 
-def _frequent(most: int):
-    """A task's most frequent words."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's words and how often each is met; a bounded table of them at a time."""
+    count: Counter[bytes] = Counter()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            top = count.most_common(most)
-            count.clear()
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
+    def out() -> Iterator[pa.RecordBatch]:
+        while count:
+            some = [count.popitem() for _ in range(min(len(count), _ROWS_OUT))]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], ["word", "n"])
 
-        for _, _, texts in _texts(batches):
-            for words in _words(texts):
-                count.update(words)
-            if len(count) > 2 * _FLUSH:
-                yield out()
-        if count:
-            yield out()
-
-    return run
+    for _, _, texts in _texts(batches):
+        for words in _words(texts):
+            count.update(words)
+        if len(count) > _FLUSH:
+            yield from out()
+    yield from out()
 
 
 def _sequence(texts: list[bytes], index: dict, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,8 +250,8 @@ def _added(classes: int):
 
 def cluster(train: DataFrame, *, classes: int = CLASSES, core: int = CORE) -> DataFrame:
     """(word, n, cls) of every word of ``train`` (one binary text column)."""
-    counts = train.mapInArrow(_frequent(16 * core), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(core).collect()]
+    counts = cut_table(train.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    top = [bytes(r.word) for r in counts.where(F.col("n") >= kth_largest(counts, core)[0]).orderBy(F.desc("n"), "word").limit(core).collect()]
     size = len(top) + 1
     pairs = train.mapInArrow(_core_bigrams(top), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     bigrams = np.zeros(size * size)
@@ -411,7 +408,10 @@ def score(docs: DataFrame, held_out: Column, *, classes: int = CLASSES, core: in
         size[r.cls], types[r.cls] = r.n, r.types
     tokens, distinct = int(size.sum()), int(types.sum())
 
-    top = vocab.orderBy(F.desc("n"), "word").limit(table).toArrow()
+    # about ``table`` words; of those equally frequent at its end a share by hash
+    least, share = kth_largest(vocab, table)
+    tied = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))
+    top = vocab.where((F.col("n") > least) | ((F.col("n") == least) & tied)).toArrow()
     n_top, cls_top = np.array(top.column("n"), dtype=np.float64), np.array(top.column("cls"), dtype=np.int64)
     emit_top = np.log10((n_top - DISCOUNT) / size[cls_top]) if len(n_top) else n_top
     shared = spark.sparkContext.broadcast((b"\n".join(top.column("word").to_pylist()), cls_top, np.log10(n_top + 1), emit_top))

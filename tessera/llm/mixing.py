@@ -16,9 +16,10 @@ mix is a sequence of slots dealt out over output shards; a slot holds a block.
 3. ``mix``: slots join blocks on (source, block index).  Both sides have a key
    per block, so a source with a third of all words is spread like any other.
 
-No step has a task per source: positions in the line come from running sums in
-buckets of documents plus a running sum over the buckets.  Only the
-per-source totals (one row for each source) are ordered in one task.
+No step has a task per source over its documents: positions in the line come
+from running sums in buckets of documents, over the buckets of a range, and over
+the ranges; only the last, one row for four million documents, and the
+per-source totals are ordered in one task.  (Equal rows share a bucket.)
 
 Nulls: a null text has no words; a null source is a source, ordered last; a
 null id is an id.  Rows repeated in the input are documents of their own.
@@ -42,6 +43,7 @@ SHARD_SLOTS = 4096
 SEED = 20_011
 _CHUNK = 16_384
 _BUCKET_ROWS = 2_048
+_RANGE = 2_048  # buckets
 
 
 def _source_key(source: Column) -> Column:
@@ -91,8 +93,13 @@ def place(sized: DataFrame, rows: int) -> DataFrame:
     inside = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "thash"), F.lit(buckets)).cast("int"))
     inside = inside.withColumn("rn", F.row_number().over(own)).withColumn("upto", F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)))
     totals = sized.groupBy("skey", F.pmod(F.xxhash64("doc_id", "thash"), F.lit(buckets)).cast("int").alias("bucket")).agg(F.sum("size").alias("words"))
-    line = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select("skey", "bucket", F.coalesce(F.sum("words").over(line), F.lit(0)).alias("base"))
+    # running sums over ranges of buckets, then over the buckets of a range
+    totals = totals.withColumn("part", F.expr(f"bucket div {_RANGE}"))
+    before = lambda by, key: F.coalesce(F.sum("words").over(Window.partitionBy(*by).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = totals.groupBy("skey", "part").agg(F.sum("words").alias("words"))
+    parts = parts.select("skey", "part", before(["skey"], "part").alias("behind"))
+    base = totals.withColumn("base", before(["skey", "part"], "bucket")).join(parts, ["skey", "part"])
+    base = base.select("skey", "bucket", (F.col("base") + F.col("behind")).alias("base"))
     return inside.join(base, ["skey", "bucket"]).withColumn("start", F.col("base") + F.col("upto") - F.col("size")).drop("base", "upto")
 
 
