@@ -15,10 +15,11 @@ Semantics (results are bags, one row per match):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_counted, cut_table
+from .keys import number_rows
 
 
 # --------------------------------------------------------------------------- building
@@ -259,6 +260,46 @@ def suggest_links(edges: DataFrame, anchors: DataFrame, rel=None) -> DataFrame:
     return cand.join(direct, ["start", "end"], "left_anti")
 
 
+def suggest_top(first: DataFrame, second: DataFrame, k: int, linked: DataFrame | None = None) -> DataFrame:
+    """For every start of ``first`` (src, dst) its ``k`` best ends two hops away
+    over ``second`` (src, dst): (start, end, degree, rank).  The best ends are
+    those that most different edges of ``second`` lead to, then the smallest; the
+    start itself and pairs of ``linked`` (start, end) are left out.
+
+    A middle node's ends stand in one order for all who come by, so each edge
+    into it needs only the first few of them: they are handed out in blocks of
+    ``k``, and an edge gets a further block only while its start has rejected
+    some.  A hub of d edges thus gives d * k rows and not d * d, and no node's
+    ends are gathered in one task: their places come from a numbering of all."""
+    first, second = first.select("src", "dst").distinct(), cut_table(second.select("src", "dst").distinct())
+    degree = second.groupBy("dst").agg(F.count(F.lit(1)).alias("degree"))
+    ends = second.join(degree, "dst").select(F.col("src").alias("mid"), (-F.col("degree")).alias("less"), F.col("dst").alias("end"))
+    ends = cut_table(number_rows(ends, ["mid", "less", "end"], "no"))
+    base = ends.groupBy("mid").agg(F.min("no").alias("base"), F.count(F.lit(1)).alias("size"))
+    ends = ends.join(base, "mid").withColumn("block", F.expr(f"(no - base) div {k}"))
+    blocks = ends.groupBy("mid", "block").agg(F.collect_list(F.struct("less", "end")).alias("ends"))
+    blocks = cut_table(blocks.join(base.select("mid", "size"), "mid"))
+    zero = F.lit(0).cast("long")
+    asking, found = first.select(F.col("src").alias("start"), F.col("dst").alias("mid"), zero.alias("block"), zero.alias("held")), []
+    while True:
+        given = asking.join(blocks, ["mid", "block"])
+        each = given.select("start", "mid", "block", "held", "size", F.explode("ends").alias("e")).select("start", "mid", "block", "held", "size", "e.less", "e.end")
+        if linked is not None:
+            each = each.join(linked.select("start", "end", F.lit(True).alias("known")).distinct(), ["start", "end"], "left")
+        known = F.coalesce("known", F.lit(False)) if linked is not None else F.lit(False)
+        taken, count = cut_counted(each.withColumn("good", ~known & (F.col("end") != F.col("start"))))
+        if not count:
+            break
+        found.append(taken.where("good").select("start", "end", "less"))
+        more = taken.groupBy("start", "mid", "block").agg(F.max("held").alias("held"), F.max("size").alias("size"), F.sum(F.col("good").cast("long")).alias("got"))
+        more = more.withColumn("held", F.col("held") + F.col("got")).where((F.col("held") < k) & ((F.col("block") + 1) * k < F.col("size")))
+        asking = cut_table(more.select("start", "mid", (F.col("block") + 1).alias("block"), "held"))
+    none = asking.select("start", F.col("mid").alias("end"), F.lit(0).cast("long").alias("less")).limit(0)
+    order = Window.partitionBy("start").orderBy("less", "end")
+    ranked = _all([none, *found]).distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("start", "end", (-F.col("less")).alias("degree"), "rank")
+
+
 def shortest_path(edges: DataFrame, a, b, max_hops: int, rel=None, direction: str = "both") -> DataFrame:
     """One shortest path from ``a`` to ``b`` of at most ``max_hops`` edges.
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import graph
+from ..session import cut_table
 from ..sources.tables import Tables
 from .registry import register
 
@@ -395,6 +396,30 @@ def q_suggest_links(spark, sf_dir):
     return s.select(F.col("end").alias("suggestion"))
 
 
+SUGGESTIONS = 3
+
+
+@register(
+    "q_suggest_all",
+    f"""
+WITH bought AS (SELECT DISTINCT o.o_custkey AS c, l.l_partkey AS p FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+degree AS (SELECT c, count(*) AS degree FROM bought GROUP BY c),
+pairs AS (SELECT DISTINCT a.c AS customer, b.c AS suggestion FROM bought a JOIN bought b ON a.p = b.p AND a.c <> b.c)
+SELECT customer, suggestion, degree, CAST(row_number() OVER (PARTITION BY customer ORDER BY degree DESC, suggestion) AS INTEGER) AS rank
+FROM pairs JOIN degree ON degree.c = suggestion QUALIFY rank <= {SUGGESTIONS}
+""",
+)
+def q_suggest_all(spark, sf_dir):
+    """For every customer the three customers with the most parts among those
+    who bought a part that they bought too."""
+    t = Tables(spark, sf_dir)
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("src"))
+    bought = cut_table(t.lineitem.select("l_orderkey", F.col("l_partkey").alias("dst")).join(orders, "l_orderkey").select("src", "dst").distinct())
+    back = bought.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    out = graph.suggest_top(bought, back, SUGGESTIONS)
+    return out.select(F.col("start").alias("customer"), F.col("end").alias("suggestion"), "degree", "rank")
+
+
 @register(
     "q_shortest_path",
     f"""

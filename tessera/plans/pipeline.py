@@ -275,8 +275,8 @@ def q_load_job(spark, sf_dir):
     package name for each, keyed replace into the raw store in two batches
     (short documents, then long ones), then the package dimension from the
     store: blank names to quarantine, the last document of a package wins,
-    dense keys."""
-    docs, _bad = _loaded(spark, Tables(spark, sf_dir))
+    dense keys.  What is set aside is stored in the lake with its reason."""
+    docs, bad = _loaded(spark, Tables(spark, sf_dir))
     docs = docs.withColumn("package_name", F.coalesce(F.nullif(F.col("source"), F.lit("")), F.lit("osv")))
     docs = docs.withColumn("normalized_package_name", normalise_name("package_name"))
     rows = docs.select(
@@ -285,7 +285,9 @@ def q_load_job(spark, sf_dir):
     )
     store = changes.upsert_replace(rows.limit(0), rows.filter(F.coalesce(F.col("n_chars") < 5000, F.lit(True))), "_id", "doc_id")
     store = changes.upsert_replace(store, rows.filter(F.col("n_chars") >= 5000), "_id", "doc_id")
-    good, _blank = quality.split(store, {"missing package name": quality.required_text("package_name")})
+    good, blank = quality.split(store, {"missing package name": quality.required_text("package_name")})
+    aside = bad.select("source_file", "raw", "reason").unionByName(blank.select(F.col("_id").alias("raw"), "reason"), allowMissingColumns=True)
+    layers.write_table(aside, layers.lake_dir(spark, "quarantine"))
     attrs = ["package_name", "lang", "text", "n_chars"]
     dim = changes.upsert_dimension(None, good, "normalized_package_name", "doc_id", "package_key", attrs)
     return dim.select("package_key", "normalized_package_name", *attrs)

@@ -272,3 +272,25 @@ def test_descendants_below_a_circle(spark):
     for roots in ({1}, {1, 2}, {4}):
         got = graph.descendants(e, spark.createDataFrame([(r,) for r in roots], "id long"))
         assert sorted(map(tuple, got.collect())) == _walk_depths(pairs, roots)
+
+
+def test_suggestions_for_all_nodes(spark):
+    """Against all pairs, with a hub that a third of all edges meet at, and links
+    that use up the first blocks."""
+    rng = random.Random(5)
+    first = {(rng.randrange(60), rng.randrange(100, 130)) for _ in range(150)} | {(a, 100) for a in range(60)}
+    second = {(rng.randrange(100, 130), rng.randrange(60)) for _ in range(150)} | {(100, c) for c in range(0, 60, 2)}
+    degree = {}
+    for _, c in second:
+        degree[c] = degree.get(c, 0) + 1
+    popular = sorted(degree, key=lambda c: (-degree[c], c))
+    linked = {(a, c) for a in range(0, 60, 3) for c in popular[:12]} | {(7, c) for c in range(60)}
+    frames = [spark.createDataFrame(sorted(x) * 2, names) for x, names in ((first, "src long, dst long"), (second, "src long, dst long"), (linked, "start long, end long"))]
+    for k, known in ((3, linked), (5, set())):
+        want = set()
+        for a in {a for a, _ in first}:
+            ends = {c for x, m in first if x == a for n, c in second if n == m} - {a} - {c for x, c in known if x == a}
+            want |= {(a, c, degree[c], i + 1) for i, c in enumerate(sorted(ends, key=lambda c: (-degree[c], c))[:k])}
+        got = graph.suggest_top(frames[0], frames[1], k, frames[2] if known else None)
+        assert {tuple(r) for r in got.collect()} == want
+    assert graph.suggest_top(frames[0].limit(0), frames[1], 3).count() == 0
