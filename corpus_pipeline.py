@@ -4,12 +4,11 @@ that is written as Parquet and read again as the next stage's documents."""
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import minhash, mixing, packing, queries, rules, suffix
-from tessera.session import checkpoint_dir
+from tessera.session import scratch_folder
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +59,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the rows of the last one."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    top = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    top = scratch_folder(spark, "pipeline")  # goes when the program ends
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}_{name}")
         docs = spark.read.parquet(f"{top}/{k}_{name}")
