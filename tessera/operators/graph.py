@@ -199,22 +199,24 @@ def descendants(edges: DataFrame, roots: DataFrame, rel=None, direction: str = "
     Where every node has one parent at most and no circle is met, depths come
     from pointer doubling (log2(depth) joins); else from the walk along the
     edges, in which a path uses an edge once, so cycles end."""
-    e = stored(edges, rel)
-    forest = oriented(e, None, direction).select(F.col("dst").alias("id"), F.col("src").alias("at"))
-    if forest.groupBy("id").count().where("count > 1").isEmpty():
-        found = _tree_depths(forest, roots.select("id").distinct())
-        if found is not None:
-            return found
-    p = expand(e, roots, 1, None, direction=direction, unique="edge")
+    parents = oriented(edges, rel, direction).select(F.col("dst").alias("id"), F.col("src").alias("at"))
+    found = _tree_depths(parents, roots.select("id").distinct())
+    if found is not None:
+        return found
+    p = expand(edges, roots, 1, None, rel=rel, direction=direction, unique="edge")
     return p.select(F.col("end").alias("id"), F.col("hops").alias("depth"))
 
 
 def _tree_depths(parents: DataFrame, roots: DataFrame) -> DataFrame | None:
-    """(id, depth) below ``roots`` from (id, at = its parent), at most one row an
-    id.  A round replaces each node's pointer by its target's own, until it
-    stands on a root or runs off the top.  None where there is a circle."""
+    """(id, depth) below ``roots`` from (id, at = a parent).  A round replaces each
+    node's pointer by its target's own, until it stands on a root or runs off
+    the top.  None where a node has several parents or there is a circle."""
+    parents = parents.groupBy("id").agg(F.max("at").alias("at"), F.count(F.lit(1)).alias("parents"))
     at_root = roots.select(F.col("id").alias("at"), F.lit(True).alias("hit"))
-    up, count = cut_counted(parents.join(at_root, "at", "left").select("id", "at", F.lit(1).cast("long").alias("depth"), F.coalesce("hit", F.lit(False)).alias("hit")))
+    up, count = cut_counted(parents.join(at_root, "at", "left").select("id", "at", F.lit(1).cast("long").alias("depth"), F.coalesce("hit", F.lit(False)).alias("hit"), "parents"))
+    if not up.where("parents > 1").isEmpty():
+        return None
+    up = up.drop("parents")
     left = count.bit_length() + 1  # rounds after which a pointer has left any chain
     while not up.where("not hit").isEmpty():
         if not left:
@@ -225,6 +227,8 @@ def _tree_depths(parents: DataFrame, roots: DataFrame) -> DataFrame | None:
     # a root below another root: what is below it is below both
     over, left = cut_counted(up.join(roots, "id", "left_semi").select(F.col("id").alias("at"), F.col("at").alias("to"), F.col("depth").alias("more")))
     found, further = [up], up
+    if not left:
+        return up.select("id", F.col("depth").cast("int").alias("depth"))
     while left >= 0:
         further, count = cut_counted(further.join(over, "at").select("id", F.col("to").alias("at"), (F.col("depth") + F.col("more")).alias("depth"), "hit"))
         if not count:
