@@ -19,11 +19,14 @@ with probability 4e-5, and less above.
    with probability 1e-7) may be linked; chains of them are clusters.  In a
    cluster all classes of different components are compared in full, and the
    links that join components are passed on.  Tasks pass on no more pairs than
-   it takes to keep a group together; groups of any size are compared in
+   it takes to keep a group together.  In a bucket and in a cluster the classes
+   outside the largest component ask, all classes answer, so a group that hangs
+   together but for a few costs its size; groups of any size are compared in
    bounded blocks, and nothing is capped.
 
 Keys, classes and links are joined on values with many distinct keys; joins on
-a hot bucket are inner equi-joins that adaptive execution splits.
+a hot bucket are inner equi-joins that adaptive execution splits.  Members of a
+large bucket or cluster meet what is known of it in several tasks.
 
 Null or empty texts have empty sets and are linked with nothing.  Rows without
 an id are in no link (component_id null, kept true).  Repeated rows are copies;
@@ -51,6 +54,7 @@ ROWS = 2
 SCREEN = 11
 BUCKET_ROWS = 4_096  # rows of a bucket that a task compares at once
 BLOCK_SHINGLES = 1 << 20  # shingles of a cluster that a task compares at once
+SALTS = 64  # tasks over which the members of a cluster are dealt
 SIMILAR = 75  # per cent
 
 
@@ -177,18 +181,15 @@ def _pairs_found(found: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["u", "v"])
 
 
-def _spanning(rep: np.ndarray, label: np.ndarray, side: np.ndarray, apart: bool, linked) -> Iterator[tuple[int, int]]:
+def _spanning(rep: np.ndarray, label: np.ndarray, asks: np.ndarray, linked) -> Iterator[tuple[int, int]]:
     """Links that join the components of a group, one per join.  ``linked`` gives
-    the members linked with member i; with ``apart`` only pairs of the two
-    sides count.  Members of the largest component need no turn of their own."""
-    labels, counts = np.unique(label, return_counts=True)
-    if len(labels) < 2:
-        return
+    the members linked with member i; the members that ask take a turn each."""
     label = label.copy()
-    for i in np.flatnonzero(label != labels[np.argmax(counts)]):
-        other = linked(i) & (label != label[i])
-        if apart:
-            other &= side != side[i]
+    for i in np.flatnonzero(asks):
+        other = label != label[i]
+        if not other.any():
+            continue
+        other &= linked(i)
         while other.any():
             k = int(np.argmax(other))
             yield int(max(rep[i], rep[k])), int(min(rep[i], rep[k]))
@@ -201,14 +202,14 @@ def _screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     as it takes to keep together what may be linked."""
     found: list[tuple[int, int]] = []
     for group in _groups(batches, ["key", "lo", "hi"]):
-        rep, label, n, side = (_column(group, c) for c in ("rep", "component", "n", "side"))
+        rep, label, n, asks = (_column(group, c) for c in ("rep", "component", "n", "asks"))
         sig = np.stack(_lists(group, "sig"))
 
         def linked(i: int) -> np.ndarray:
             fits = np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * SIMILAR
             return fits & ((sig == sig[i]).sum(axis=1) >= SCREEN)
 
-        found += _spanning(rep, label, side, group.column("lo")[0] != group.column("hi")[0], linked)
+        found += _spanning(rep, label, asks, linked)
         if len(found) > 50_000:
             yield _pairs_found(found)
             found = []
@@ -219,7 +220,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Clusters -> links between different components, from the full sets."""
     found: list[tuple[int, int]] = []
     for group in _groups(batches, ["key", "lo", "hi"]):
-        rep, label, side = (_column(group, c) for c in ("rep", "component", "side"))
+        rep, label, asks = (_column(group, c) for c in ("rep", "component", "asks"))
         sets = _lists(group, "set")
         n = np.array([len(x) for x in sets])
         values, ids = np.unique(np.concatenate(sets), return_inverse=True)
@@ -231,21 +232,45 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common = np.bincount(np.concatenate([owner[start[x] : start[x + 1]] for x in own[i]]), minlength=len(sets))
             return 100 * common >= SIMILAR * (n + n[i] - common)
 
-        found += _spanning(rep, label, side, group.column("lo")[0] != group.column("hi")[0], linked)
+        found += _spanning(rep, label, asks, linked)
         if len(found) > 50_000:
             yield _pairs_found(found)
             found = []
     yield _pairs_found(found)
 
 
-def _in_blocks(rows: DataFrame, key: str, blocks) -> DataFrame:
-    """Rows of a group dealt out over pairs of blocks (key, lo, hi): one pair for
-    a group of one block; a row of a large group goes to every pair of its
-    block, so a group of any size is worked off in bounded tasks."""
-    rows = rows.withColumn("blocks", blocks.cast("int")).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("other", other).withColumn("lo", F.least("side", "other")).withColumn("hi", F.greatest("side", "other"))
-    rows = rows.withColumnRenamed(key, "key").drop("blocks", "other")
+def _apart(rows: DataFrame, group: str, weight, block: int) -> DataFrame:
+    """(group, main, asking, whole) of the groups of several components: the
+    heaviest component, and blocks for the rows outside it and for all rows."""
+    per = rows.groupBy(group, "component").agg(F.sum(weight).alias("w"))
+    per = per.groupBy(group).agg(F.max(F.struct("w", "component")).alias("top"), F.sum("w").alias("all"))
+    blocks = lambda x: F.ceil(x / block).cast("int")
+    out = per.select(group, F.col("top.component").alias("main"), blocks(F.col("all") - F.col("top.w")).alias("asking"), blocks(F.col("all")).alias("whole"))
+    return out.where("asking > 0")
+
+
+def _dealt(rows: DataFrame, groups: DataFrame, group: str, own, other) -> DataFrame:
+    """``rows`` joined with ``groups`` (one row each), the rows of a group in as
+    many tasks as ``own`` says; ``other`` is the same number, of ``groups``."""
+    groups = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), (other - 1).cast("int"))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), own).cast("int"))
+    return rows.join(groups, [group, "salt"]).drop("salt")
+
+
+def _in_blocks(rows: DataFrame, group: str) -> DataFrame:
+    """Rows with (main, asking, whole) of their group, dealt out over (key, lo,
+    hi): the rows of block lo that ask, and all rows of block hi.  A group of any
+    size is worked off in bounded tasks, one for a small group; its largest
+    component is not compared with itself."""
+    turn = F.col("component") != F.col("main")
+    lo, hi = (F.pmod(F.xxhash64("rep", F.lit(k)), F.col(c)).cast("int") for k, c in enumerate(("asking", "whole")))
+    rows = rows.withColumns({"turn": turn, "own_lo": lo, "own_hi": hi})
+    place = lambda a, b, asks: F.struct(a.alias("lo"), b.alias("hi"), asks.alias("asks"))
+    every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    answers = F.transform(every("asking"), lambda x: place(x, F.col("own_hi"), F.col("turn") & (x == F.col("own_lo"))))
+    asks = F.transform(F.filter(every("whole"), lambda x: F.col("turn") & (x != F.col("own_hi"))), lambda x: place(F.col("own_lo"), x, F.lit(True)))
+    rows = rows.withColumn("place", F.explode(F.concat(answers, asks))).select("*", "place.*").withColumnRenamed(group, "key")
+    rows = rows.drop("place", "turn", "own_lo", "own_hi", "main", "asking", "whole")
     return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
 
@@ -269,9 +294,9 @@ def class_components(reps: DataFrame, docs: DataFrame, **how) -> DataFrame | Non
 
     part = keys.select("key", "c", "rep", "n").join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
     part = cut_lineage(part.withColumn("component", F.coalesce("component", "rep")))
-    open_ = part.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-    rest = part.join(open_, "key").join(reps.select("rep", "sig"), "rep")
-    rest = _in_blocks(rest, "key", F.ceil(F.col("c") / BUCKET_ROWS))
+    open_ = cut_lineage(_apart(part, "key", F.lit(1), BUCKET_ROWS))
+    rest = _dealt(part, open_, "key", F.ceil(F.col("c") / BUCKET_ROWS), F.col("whole"))
+    rest = _in_blocks(rest.drop("c").join(reps.select("rep", "sig"), "rep"), "key")
     maybe = cut_lineage(rest.mapInArrow(_screened, "u long, v long").distinct())
     if maybe.isEmpty():
         return comp
@@ -279,10 +304,11 @@ def class_components(reps: DataFrame, docs: DataFrame, **how) -> DataFrame | Non
     # left out of a bucket because its ends hang together is in one cluster
     cluster = connected_components(tree.union(maybe)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     member = cluster.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed_ = member.groupBy("cluster").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("cluster")
-    member = cut_lineage(member.join(mixed_, "cluster").join(sets, "rep"))
-    weight = member.groupBy("cluster").agg(F.ceil(F.sum(F.size("set")) / BLOCK_SHINGLES).alias("blocks"))
-    member = _in_blocks(member.join(weight, "cluster"), "cluster", F.greatest("blocks", F.lit(1)))
+    many = F.lit(SALTS)
+    mixed_ = _apart(member, "cluster", F.lit(1), BUCKET_ROWS).select("cluster")
+    member = cut_lineage(_dealt(member, mixed_, "cluster", many, many).join(sets, "rep"))
+    member = _dealt(member, _apart(member, "cluster", F.size("set"), BLOCK_SHINGLES), "cluster", many, many)
+    member = _in_blocks(member, "cluster")
     further = cut_lineage(member.mapInArrow(_compared, "u long, v long").distinct())
     return comp if further.isEmpty() else connected_components(tree.union(further))
 

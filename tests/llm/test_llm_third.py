@@ -358,3 +358,59 @@ def test_repeats_within_and_across_long_texts(spark):
         for a, b in spans[i]:
             kept, at = kept + text[at:a], b
         assert got[i] == (sum(b - a for a, b in spans[i]), spans[i], xxhash.xxh64_hexdigest(kept + text[at:]))
+
+
+def test_members_that_ask_meet_all_others(spark):
+    """Every member outside its group's largest component meets every member of
+    the group, in bounded blocks; the largest component does not meet itself."""
+    from tessera.llm import minhash
+
+    rnd = random.Random(5)
+    member = [("big", i, 0 if i < 150 else rnd.randrange(1, 9)) for i in range(200)] + [("one", i, 7) for i in range(300, 340)]
+    member += [("two", i, i) for i in range(400, 402)]
+    rows = spark.createDataFrame(member, "cluster string, rep long, component long")
+    apart = minhash._apart(rows, "cluster", F.lit(1), 20)
+    assert sorted(tuple(r) for r in apart.collect()) == [("big", 0, 3, 10), ("two", 401, 1, 1)]
+    dealt = minhash._in_blocks(minhash._dealt(rows, apart, "cluster", F.lit(4), F.lit(4)), "cluster")
+    blocks = {}
+    for r in dealt.collect():
+        blocks.setdefault((r.key, r.lo, r.hi), []).append(r)
+    assert len(blocks) == 31 and max(len(b) for b in blocks.values()) < 80
+    assert all(len({r.rep for r in b}) == len(b) for b in blocks.values())
+    met = Counter((r.rep, o.rep) for b in blocks.values() for r in b if r.asks for o in b)
+    for group, size in (("big", 200), ("two", 2)):
+        ids = [i for g, i, _ in member if g == group]
+        asking = [i for g, i, c in member if g == group and c != {"big": 0, "two": 401}[group]]
+        assert {r for r, _ in met} & set(ids) == set(asking)
+        assert all((a, b) in met for a in asking for b in ids)
+
+
+def test_near_duplicates_in_many_blocks(spark, monkeypatch):
+    """A bucket and a cluster larger than a block give the components of brute force."""
+    from tessera.llm import minhash
+
+    monkeypatch.setattr(minhash, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 300)
+    rnd = random.Random(6)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(60)]
+    texts = {}
+    for i in range(60):  # copies with edits at random places: linked with some of the others, not with all
+        words = list(base)
+        for _ in range(rnd.randrange(0, 4)):
+            words[rnd.randrange(60)] = f"x{rnd.randrange(10**6)}"
+        texts[i] = " ".join(words)
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, t in texts.items() for w in [t.split()]}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    got = minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: find(i) for i in sets}
