@@ -19,7 +19,9 @@ mix is a sequence of slots dealt out over output shards; a slot holds a block.
 No step has a task per source over its documents: positions in the line come
 from running sums in buckets of documents, over the buckets of a range, and over
 the ranges; only the last, one row for four million documents, and the
-per-source totals are ordered in one task.  (Equal rows share a bucket.)
+per-source totals are ordered in one task.  Equal rows are counted first and
+dealt out in lots of a bucket's size, so a row that makes up a third of the
+table fills buckets like any others.
 
 Nulls: a null text has no words; a null source is a source, ordered last; a
 null id is an id.  Rows repeated in the input are documents of their own.
@@ -89,10 +91,15 @@ def place(sized: DataFrame, rows: int) -> DataFrame:
     """Add (bucket, rn) and ``start``, the document's first word in its
     source's line.  ``rows`` (the row count) sets the number of buckets."""
     buckets = rows // _BUCKET_ROWS + 16
+    lots = sized.groupBy("doc_id", "source", "skey", "thash", "size").agg(F.count(F.lit(1)).alias("copies"))
+    lots = lots.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {_BUCKET_ROWS}"))))
+    lots = lots.withColumn("copies", F.least(F.col("copies") - F.col("lot") * _BUCKET_ROWS, F.lit(_BUCKET_ROWS).cast("long")))
+    lots = cut_lineage(lots.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "thash", "lot"), F.lit(buckets)).cast("int")))
     own = Window.partitionBy("skey", "bucket").orderBy(F.col("doc_id").asc_nulls_last(), "thash", "size")
-    inside = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "thash"), F.lit(buckets)).cast("int"))
+    inside = lots.repartition("skey", "bucket").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    inside = inside.drop("copies", "lot", "copy")
     inside = inside.withColumn("rn", F.row_number().over(own)).withColumn("upto", F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    totals = sized.groupBy("skey", F.pmod(F.xxhash64("doc_id", "thash"), F.lit(buckets)).cast("int").alias("bucket")).agg(F.sum("size").alias("words"))
+    totals = lots.groupBy("skey", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
     # running sums over ranges of buckets, then over the buckets of a range
     totals = totals.withColumn("part", F.expr(f"bucket div {_RANGE}"))
     before = lambda by, key: F.coalesce(F.sum("words").over(Window.partitionBy(*by).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -414,3 +414,126 @@ def test_near_duplicates_in_many_blocks(spark, monkeypatch):
                 parent[max(x, y)] = min(x, y)
     got = minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
     assert {r.doc_id: r.component_id for r in got.collect()} == {i: find(i) for i in sets}
+
+
+# --------------------------------------------------------------------------- mixing
+def test_mix_deals_repeated_rows_over_buckets(spark, monkeypatch):
+    """A row that makes up a third of the table fills many buckets; every row has
+    a place of its own, and its words are taken as often as its source's passes say."""
+    from tessera.llm import mixing
+
+    monkeypatch.setattr(mixing, "_BUCKET_ROWS", 16)
+    rows = [(7, "one two three", "a")] * 200 + [(i, "w " * (1 + i % 9), "ab"[i % 2]) for i in range(100, 500)] + [(None, None, None)] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = mixing.sizes(docs)
+    placed = mixing.place(sized, sized.count()).collect()
+    assert len(placed) == len(rows)
+    for key in "sa", "sb", "n":
+        line = sorted((r.start, r.start + r["size"]) for r in placed if r.skey == key and r["size"])
+        assert all(x[1] == y[0] for x, y in zip(line, line[1:])) and (not line or line[0][0] == 0)
+    per = Counter((r.skey, r.bucket) for r in placed if r.doc_id == 7)
+    assert len(per) > 8 and max(per.values()) <= 48
+    got = mixing.taken_words(docs).collect()
+    assert sorted(((r.doc_id or 0, r["size"]) for r in got)) == sorted(((i or 0, len((t or "").split())) for i, t, _ in rows))
+    for r in got:
+        passes = int(r.target // r.source_size) if r.source_size else 0
+        assert passes * r["size"] <= r.taken <= (passes + 1) * r["size"]
+    for size in {r.source_size for r in got}:
+        own = [r for r in got if r.source_size == size]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1
+
+
+# --------------------------------------------------------------------------- class model
+def test_class_model_against_plain_loops(spark):
+    """Scores from the definition: class transitions counted over the training
+    texts, words within classes, unknown words by what the classes leave."""
+    from tessera.llm import lm
+
+    rnd = random.Random(8)
+    nouns, verbs = [f"n{i}" for i in range(12)], [f"v{i}" for i in range(8)]
+    pick = lambda: [w for _ in range(rnd.randrange(0, 12)) for w in (rnd.choice(nouns), rnd.choice(verbs))]
+    texts = {i: " ".join(pick() + (["odd%d" % i, "Never%d" % i] if i % 5 == 0 else [])) for i in range(120)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    held = F.col("doc_id") % 3 == 0
+    train = docs.where(~held).select(F.to_binary("text", F.lit("utf-8")).alias("text"))
+    vocab = {bytes(r.word).decode(): (r.n, r.cls) for r in lm.cluster(train, classes=4, core=15).collect()}
+    words = {i: t.lower().split() for i, t in texts.items()}
+    learned = [w for i, w in words.items() if i % 3]
+    count = Counter(w for own in learned for w in own)
+    assert {w: n for w, (n, _) in vocab.items()} == dict(count)
+    size, types, step = Counter({0: len(learned)}), Counter(), Counter()
+    for w, (n, c) in vocab.items():
+        size[c] += n
+        types[c] += 1
+    for own in learned:
+        line = [0, *(vocab[w][1] for w in own), 0]
+        step.update(zip(line, line[1:]))
+    total = sum(size.values())
+    leaves = {c: sum(n for (a, _), n in step.items() if a == c) for c in size}
+
+    def chance(a, b):  # of class b after class a; None: the word before is unknown
+        prior = size[b] / total
+        return prior if a is None else (step[a, b] + lm.BACKOFF * prior) / (leaves[a] + lm.BACKOFF)
+
+    def score(own):
+        out, before = 0.0, 0
+        for w in own:
+            if w in vocab:
+                n, c = vocab[w]
+                out += math.log10(chance(before, c) * (n - lm.DISCOUNT) / size[c])
+                before = c
+            else:
+                out += math.log10(sum(chance(before, c) * lm.DISCOUNT * types[c] / size[c] for c in types))
+                before = None
+        return out + math.log10(chance(before, 0))
+
+    for table in 5, 1_000:  # words beyond the broadcast table go by the join
+        got = {r.doc_id: r.score for r in lm.score(docs, held, classes=4, core=15, table=table).collect()}
+        assert got == {i: pytest.approx(score(w), rel=1e-6, abs=1e-6) for i, w in words.items()}
+
+
+def test_exchange_ends_where_no_move_helps():
+    """No single word's move to another class raises the likelihood of the class bigrams."""
+    from tessera.llm import lm
+
+    rng = np.random.default_rng(9)
+    grid = rng.poisson(2.0, (11, 11)).astype(float)
+    cls = lm.exchange(grid, 3, sweeps=100)
+
+    def likelihood(c):
+        m = np.zeros((11, 4))
+        m[np.arange(11), c] = 1
+        g = m.T @ grid @ m
+        x = lambda v: float(sum(a * math.log(a) for a in v if a > 0))
+        return x(g.ravel()) - x(g.sum(0)) - x(g.sum(1))
+
+    best = likelihood(cls)
+    for w in range(10):
+        for c in 1, 2, 3:
+            other = cls.copy()
+            other[w] = c
+            assert likelihood(other) <= best + 1e-6
+
+
+# --------------------------------------------------------------------------- neighbours
+def test_recall_above_the_fitted_sample(spark):
+    """Production parameters on more vectors than the trees are fitted on, a third
+    of them in one tight group."""
+    from tessera.llm import ann
+
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:6_600] = x[0] + 0.05 * x[:6_600]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.search(rows, F.col("vec_id") % 400 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = {}
+    for q in range(0, 20_000, 400):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits[q] = len(found[q] & set(np.argsort(d)[:10].tolist())) / 10
+    inside, outside = ([h for q, h in hits.items() if (q < 6_600) == side] for side in (True, False))
+    print("recall inside", np.mean(inside), "outside", np.mean(outside), "lowest", min(hits.values()))
+    assert np.mean(inside) >= 0.9 and np.mean(outside) >= 0.9
