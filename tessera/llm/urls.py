@@ -1,8 +1,12 @@
 """URL filter by a path-template tree (DataFrame functions only).
 
 Per host, paths form a tree of segments.  A segment stays literal where it has
-pages enough (``MIN_SUPPORT``, whatever its share); the others there are
-variable and become a wildcard (``*``, with the file extension if any).  That
+pages enough (``MIN_SUPPORT``, whatever its share).  Where values are an open
+set (of ``n`` pages ``NEW_SHARE`` or more show a value that no other page
+shows, which estimates the chance that a further page brings a new one), as
+with ids and titles, it must also have ``MIN_SUPPORT`` times the pages of a mean value: a
+popular item is no branch of its own, a section beside the items is.  The
+others are variable and become a wildcard (``*``, with the file extension if any).  That
 goes on as deep as any path with enough pages.  Then, from the leaves up, a
 branch whose share of bad labels is not significantly off its parent's is
 merged into the parent.  What remains are templates; one is rejected if its smoothed
@@ -27,6 +31,8 @@ from ..session import cut_lineage
 from .common import lower_ascii
 
 MIN_SUPPORT = 3  # pages of a literal segment
+NEW_SHARE = 0.1  # of pages whose value no other page has: an open set of values
+SALTS = 16  # ways in which the paths at one place of the tree are dealt out
 SIMILAR_Z = 1.96
 SMOOTHING = 10.0  # labels' worth of the overall share
 MIN_PURITY = 0.5
@@ -60,34 +66,54 @@ def _prefix(text: str, segments: Column) -> Column:
     return F.call_function("substring_index", F.col(text), F.lit("/"), (segments + 1).cast("int"))
 
 
+def _joined(segments: Column) -> Column:
+    return F.array_join(F.transform(segments, lambda s: F.concat(F.lit("/"), s)), "")
+
+
+def _maybe_literal(t: DataFrame) -> DataFrame:
+    """``segments`` with ``canon``: the wildcard for a segment that has too few
+    pages on its host, counted at its depth under any template."""
+    rows = t.select("no", "host", "n", F.posexplode("segments").alias("k", "segment"))
+    common = rows.groupBy("host", "k", "segment").agg(F.sum("n").alias("pages"))
+    common = common.where((F.col("pages") >= MIN_SUPPORT) & (F.col("segment") != _wild(F.col("segment"))))
+    may = rows.join(common, ["host", "k", "segment"], "left_semi").groupBy("no").agg(F.collect_list("k").alias("may"))
+    canon = F.transform("segments", lambda s, i: F.when(F.array_contains("may", i), s).otherwise(_wild(s)))
+    t = t.join(may, "no", "left").withColumn("may", F.coalesce("may", F.array().cast("array<int>")))
+    return t.withColumn("canon", canon).drop("may")
+
+
 def templates(paths: DataFrame) -> DataFrame:
     """Add ``template`` to distinct (host, path, n, ...) rows.
 
-    A round takes each path from its template so far over all segments that
-    stay literal, and over the variable one behind them: under one template the
-    pages of longer and longer prefixes grow fewer, so one count of all prefixes
-    finds where literal segments end.  Rounds go on while a template has
-    pages enough that go on behind it, so there are as many as wildcards."""
-    segments = F.array_join(F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), lambda s: F.concat(F.lit("/"), s)), "")
-    t = paths.withColumn("rest", segments).withColumn("template", F.lit("")).withColumn("no", F.monotonically_increasing_id())
-    t, further = cut_lineage(t), True
+    A round takes each path over all segments that stay literal and over those
+    that cannot be literal under any template.  It halts behind a variable
+    segment only where some of the segments at that place of the tree may have
+    been literal but are not: those pages are then counted together.  So there
+    are as many rounds as such places on one way, not as segments."""
+    t = paths.withColumn("segments", F.filter(F.split("path", "/"), lambda s: s != ""))
+    t = _maybe_literal(cut_lineage(t.withColumn("no", F.monotonically_increasing_id())))
+    t, further = cut_lineage(t.withColumn("template", F.lit(""))), True
     while further:
-        longer = t.where("rest <> ''").withColumn("k", F.explode(F.sequence(F.lit(1), F.size(F.split("rest", "/")) - 1)))
-        longer = longer.select("no", "host", "template", "n", "k", _prefix("rest", F.col("k")).alias("prefix"))
-        enough = longer.groupBy("host", "template", "prefix").agg(F.sum("n").alias("pages")).where(F.col("pages") >= MIN_SUPPORT)
-        literal = longer.join(enough.drop("pages"), ["host", "template", "prefix"]).groupBy("no").agg(F.max("k").alias("k"))
-        t = t.join(literal, "no", "left").withColumn("k", F.coalesce("k", F.lit(0)))
-        same = _prefix("rest", F.col("k"))
-        behind = F.substring(F.col("rest"), F.char_length(same) + 1, F.lit(2_147_483_647))
-        variable = F.regexp_extract(behind, "^/([^/]*)", 1)
-        step = F.when(behind == "", F.lit("")).otherwise(F.concat(F.lit("/"), _wild(variable)))
-        t = t.withColumns({"template": F.concat("template", same, step), "rest": F.regexp_replace(behind, "^/[^/]*", "")}).drop("k")
-        t = cut_lineage(t)
-        going_on = t.where("rest <> ''").groupBy("host", "template").agg(F.sum("n").alias("pages"))
-        further = not going_on.where(F.col("pages") >= MIN_SUPPORT).isEmpty()
-    # what is left goes on with too few pages for any literal segment
-    rest = F.transform(F.filter(F.split("rest", "/"), lambda s: s != ""), lambda s: F.concat(F.lit("/"), _wild(s)))
-    return t.withColumn("template", F.concat("template", F.array_join(rest, ""))).drop("rest", "no")
+        rows = t.select("no", "host", "n", "template", "canon", F.posexplode(F.arrays_zip("segments", "canon")).alias("k", "s"))
+        segment, parent = F.col("s.segments"), F.concat("template", _joined(F.slice("canon", F.lit(1), F.col("k"))))
+        may = (F.col("s.canon") == segment) & (segment != _wild(segment))
+        rows = rows.select("no", "host", "n", "k", parent.alias("parent"), segment.alias("segment"), may.alias("may"))
+        values = rows.groupBy("host", "parent", "segment").agg(F.sum("n").alias("pages"), F.max("may").alias("may"))
+        places = values.groupBy("host", "parent").agg(F.count(F.lit(1)).alias("d"), F.sum("pages").alias("n"), F.count_if(F.col("pages") == 1).alias("once"))
+        opened = places.where(F.col("once") >= NEW_SHARE * F.col("n")).select("host", "parent", (MIN_SUPPORT * F.col("n") / F.col("d")).alias("least"))
+        asked = values.where("may").join(opened, ["host", "parent"], "left")
+        stays = F.col("pages") >= F.greatest(F.lit(float(MIN_SUPPORT)), F.coalesce("least", F.lit(0.0)))
+        asked = cut_lineage(asked.select("host", "parent", "segment", stays.alias("stays")))
+        halting = asked.where("not stays").select("host", "parent").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        variable = rows.join(asked.where("stays"), ["host", "parent", "segment"], "left_anti").withColumn("salt", F.pmod(F.xxhash64("no"), F.lit(SALTS)).cast("int"))
+        halted = variable.join(halting, ["host", "parent", "salt"]).groupBy("no").agg(F.min("k").alias("k"))
+        size = F.size("segments")
+        t = t.join(halted, "no", "left").withColumn("k", F.coalesce("k", size))
+        behind = F.when(F.col("k") < size, F.concat(F.lit("/"), _wild(F.get("segments", F.col("k"))))).otherwise("")
+        t = t.withColumn("template", F.concat("template", _joined(F.slice("canon", F.lit(1), F.col("k"))), behind))
+        t = cut_lineage(t.withColumns({c: F.slice(c, F.col("k") + 2, size) for c in ("segments", "canon")}).drop("k"))
+        further = not t.where(F.size("segments") > 0).isEmpty()
+    return t.drop("segments", "canon", "no")
 
 
 def merged(stats: DataFrame) -> DataFrame:

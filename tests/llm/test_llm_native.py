@@ -190,6 +190,9 @@ def tree_verdicts(pages, labels):
         for k in n:
             if len(segments[k]) > level:
                 child[k[0], template[k], segments[k][level]] += n[k]
+        places = defaultdict(list)
+        for (h, up, _), c in child.items():
+            places[h, up].append(c)
         after = {}
         for k in n:
             if len(segments[k]) <= level:
@@ -198,8 +201,11 @@ def tree_verdicts(pages, labels):
             s = segments[k][level]
             c = child[k[0], template[k], s]
             ext = re.search(r"(\.[A-Za-z]{1,5})$", s)
-            keep = c >= urls.MIN_SUPPORT
-            after[k] = template[k] + "/" + (s if keep else "*" + (ext[1] if ext else ""))
+            wild = "*" + (ext[1] if ext else "")
+            counts = places[k[0], template[k]]
+            opened = counts.count(1) >= urls.NEW_SHARE * sum(counts)
+            keep = c >= urls.MIN_SUPPORT and not (opened and c < urls.MIN_SUPPORT * sum(counts) / len(counts))
+            after[k] = template[k] + "/" + (s if keep and s != wild else wild)
         template = after
     stat = defaultdict(lambda: [0, 0])
     for k in n:
@@ -315,6 +321,34 @@ def test_url_tree_against_the_tree_in_memory(spark, seed):
     assert 20 < sum(r.verdict == "block" for r in got) < 400
 
 
+def test_url_tree_popular_items_are_no_branches(spark):
+    """Items of an open set are one template even where one has many pages
+    (its own labels say little); a section beside them is a branch."""
+    rows = [f"/item/{i}/{j}" for i in range(300) for j in range(1 + i % 3)] + ["/item/7/a", "/item/7/b", "/item/7/c"]
+    rows += [f"/item/offers/{i}" for i in range(40)] + ["/closed/x"] * 3 + ["/closed/y"] * 5
+    paths = spark.createDataFrame([("h.test", p, 1, 0, 0) for p in set(rows)], "host string, path string, n long, labelled long, bad long")
+    got = {r.path: r.template for r in urls.templates(paths.where("path not like '/closed%'").unionByName(
+        spark.createDataFrame([("h.test", "/closed/x", 3, 0, 0), ("h.test", "/closed/y", 5, 0, 0)], paths.schema))).collect()}
+    assert got["/item/7/a"] == "/item/*/*" and got["/item/2/1"] == "/item/*/1" and got["/item/0/0"] == "/item/*/0"
+    assert got["/item/offers/3"] == "/item/offers/*"
+    assert got["/closed/x"] == "/closed/x" and got["/closed/y"] == "/closed/y"
+
+
+def test_url_tree_of_ever_new_segments(spark, monkeypatch):
+    """Paths of ever new segments take no round for each of them."""
+    rounds = []
+    cut = urls.cut_lineage
+    monkeypatch.setattr(urls, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    paths = ["".join(f"/{i}-{k}" for k in range(200)) + "/end" for i in range(20)] + ["/*/a", "/*/a", "/*/b.html"] * 3
+    pages = spark.createDataFrame([(i, f"http://trap.test{p}") for i, p in enumerate(paths)], "page_id long, url string")
+    marks = [(("trap.test", p), int(i % 2)) for i, p in enumerate(paths)]
+    labels = spark.createDataFrame([(*k, b) for k, b in marks], "host string, path string, bad int")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(pages, labels, rules=()).collect()}
+    want = tree_verdicts([("trap.test", p) for p in paths], marks)
+    assert got == {i: "block" if ("trap.test", p) in want else "allow" for i, p in enumerate(paths)}
+    assert len(rounds) < 20
+
+
 def test_url_tree_of_a_crawler_trap(spark, monkeypatch):
     """Paths of a thousand segments take no more rounds than short ones."""
     rounds = []
