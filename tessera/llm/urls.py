@@ -13,9 +13,10 @@ merged into the parent.  What remains are templates; one is rejected if its smoo
 share of good labels is under ``MIN_PURITY``.  Listed rules (host, path) go
 before the method, the longest first.
 
-All counts are partial aggregates keyed by (host, prefix, segment), joined back
-by the same key, so a host with a third of all pages is pre-aggregated and
-its join partitions can be split.
+All counts are partial aggregates keyed by (host, prefix, segment).  They are
+joined back by that key and a path's lot (``SALTS``); a count stands once for each
+lot that it comes from.  So a segment on a third of all paths is pre-aggregated
+and its paths are dealt over several tasks.
 
 Nulls: a null url, or one without ``://``, has an empty host and path and is
 allowed unless its (empty) template is rejected.  Rows may repeat; each gets
@@ -32,7 +33,7 @@ from .common import lower_ascii
 
 MIN_SUPPORT = 3  # pages of a literal segment
 NEW_SHARE = 0.1  # of pages whose value no other page has: an open set of values
-SALTS = 16  # ways in which the paths at one place of the tree are dealt out
+SALTS = 16  # lots in which the paths through one place of the tree are dealt out
 SIMILAR_Z = 1.96
 SMOOTHING = 10.0  # labels' worth of the overall share
 MIN_PURITY = 0.5
@@ -70,13 +71,18 @@ def _joined(segments: Column) -> Column:
     return F.array_join(F.transform(segments, lambda s: F.concat(F.lit("/"), s)), "")
 
 
+def _lot() -> Column:
+    return F.pmod(F.xxhash64("no"), F.lit(SALTS)).cast("int").alias("lot")
+
+
 def _maybe_literal(t: DataFrame) -> DataFrame:
     """``segments`` with ``canon``: the wildcard for a segment that has too few
     pages on its host, counted at its depth under any template."""
-    rows = t.select("no", "host", "n", F.posexplode("segments").alias("k", "segment"))
-    common = rows.groupBy("host", "k", "segment").agg(F.sum("n").alias("pages"))
+    rows = t.select("no", _lot(), "host", "n", F.posexplode("segments").alias("k", "segment"))
+    common = rows.groupBy("host", "k", "segment").agg(F.sum("n").alias("pages"), F.collect_set("lot").alias("lots"))
     common = common.where((F.col("pages") >= MIN_SUPPORT) & (F.col("segment") != _wild(F.col("segment"))))
-    may = rows.join(common, ["host", "k", "segment"], "left_semi").groupBy("no").agg(F.collect_list("k").alias("may"))
+    common = common.select("host", "k", "segment", F.explode("lots").alias("lot"))
+    may = rows.join(common, ["host", "k", "segment", "lot"], "left_semi").groupBy("no").agg(F.collect_list("k").alias("may"))
     canon = F.transform("segments", lambda s, i: F.when(F.array_contains("may", i), s).otherwise(_wild(s)))
     t = t.join(may, "no", "left").withColumn("may", F.coalesce("may", F.array().cast("array<int>")))
     return t.withColumn("canon", canon).drop("may")
@@ -97,16 +103,17 @@ def templates(paths: DataFrame) -> DataFrame:
         rows = t.select("no", "host", "n", "template", "canon", F.posexplode(F.arrays_zip("segments", "canon")).alias("k", "s"))
         segment, parent = F.col("s.segments"), F.concat("template", _joined(F.slice("canon", F.lit(1), F.col("k"))))
         may = (F.col("s.canon") == segment) & (segment != _wild(segment))
-        rows = rows.select("no", "host", "n", "k", parent.alias("parent"), segment.alias("segment"), may.alias("may"))
-        values = rows.groupBy("host", "parent", "segment").agg(F.sum("n").alias("pages"), F.max("may").alias("may"))
+        rows = rows.select("no", _lot(), "host", "n", "k", parent.alias("parent"), segment.alias("segment"), may.alias("may"))
+        values = rows.groupBy("host", "parent", "segment").agg(F.sum("n").alias("pages"), F.max("may").alias("may"), F.collect_set("lot").alias("lots"))
         places = values.groupBy("host", "parent").agg(F.count(F.lit(1)).alias("d"), F.sum("pages").alias("n"), F.count_if(F.col("pages") == 1).alias("once"))
         opened = places.where(F.col("once") >= NEW_SHARE * F.col("n")).select("host", "parent", (MIN_SUPPORT * F.col("n") / F.col("d")).alias("least"))
         asked = values.where("may").join(opened, ["host", "parent"], "left")
         stays = F.col("pages") >= F.greatest(F.lit(float(MIN_SUPPORT)), F.coalesce("least", F.lit(0.0)))
-        asked = cut_lineage(asked.select("host", "parent", "segment", stays.alias("stays")))
-        halting = asked.where("not stays").select("host", "parent").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        variable = rows.join(asked.where("stays"), ["host", "parent", "segment"], "left_anti").withColumn("salt", F.pmod(F.xxhash64("no"), F.lit(SALTS)).cast("int"))
-        halted = variable.join(halting, ["host", "parent", "salt"]).groupBy("no").agg(F.min("k").alias("k"))
+        asked = cut_lineage(asked.select("host", "parent", "segment", "lots", stays.alias("stays")))
+        halting = asked.where("not stays").select("host", "parent").distinct().withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        literal = asked.where("stays").select("host", "parent", "segment", F.explode("lots").alias("lot"))
+        variable = rows.join(literal, ["host", "parent", "segment", "lot"], "left_anti")
+        halted = variable.join(halting, ["host", "parent", "lot"]).groupBy("no").agg(F.min("k").alias("k"))
         size = F.size("segments")
         t = t.join(halted, "no", "left").withColumn("k", F.coalesce("k", size))
         behind = F.when(F.col("k") < size, F.concat(F.lit("/"), _wild(F.get("segments", F.col("k"))))).otherwise("")
