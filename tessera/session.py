@@ -67,9 +67,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df):
     """Materialise ``df`` in the shared checkpoint folder (reliable, survives
-    executor loss) and return the truncated-lineage DataFrame."""
+    executor loss) and return the truncated-lineage DataFrame.  What it wrote
+    goes when the program ends, also where the caller's session does not clean
+    its checkpoints."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    written = kept._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if written.isDefined():
+        _remove_at_exit(df.sparkSession, written.get())
+    return kept
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -79,6 +85,18 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when the program ends, be the session stopped by then or not."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def clean() -> None:
+        with contextlib.suppress(Exception):  # the JVM may be gone by then
+            files.delete(target, True)
+
+    atexit.register(clean)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of this run through Spark's own file system layer."""
     jvm = spark.sparkContext._jvm
@@ -89,12 +107,7 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder in shared storage, removed when the program ends."""
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-    def clean() -> None:
-        with contextlib.suppress(Exception):  # the session may be gone by then
-            remove_folder(spark, path)
-
-    atexit.register(clean)
+    _remove_at_exit(spark, path)
     return path
 
 
