@@ -28,11 +28,13 @@ included, has probability 1.  Only id and text are read.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain, count, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,25 +84,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def _sequence(texts: list[bytes], index: dict, end: int) -> tuple[np.ndarray, np.ndarray]:
+def _sequence(words: list[list[bytes]], index: dict, end: int, missing: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of all tokens, each text between two ends, and the place of the
-    end before each text."""
-    words = _words(texts)
+    end before each text.  A word that ``index`` lacks is ``missing``."""
     size = np.array([len(w) for w in words], dtype=np.int64)
-    total = int(size.sum()) + len(words) + 1
-
-    def numbers():
-        yield end
-        for own in words:
-            yield from map(index.__getitem__, own)
-            yield end
-
-    return np.fromiter(numbers(), dtype=np.int32, count=total), np.cumsum(size + 1) - size - 1
-
-
-class _Unknown(dict):
-    def __missing__(self, word):
-        return -1
+    total, start = int(size.sum()), np.cumsum(size + 1) - size - 1
+    flat = chain.from_iterable(words)
+    numbers = map(index.__getitem__, flat) if missing is None else map(index.get, flat, repeat(missing))
+    seq, inside = np.full(total + len(words) + 1, end, dtype=np.int32), np.ones(total + len(words) + 1, dtype=bool)
+    inside[start] = inside[-1] = False
+    seq[inside] = np.fromiter(numbers, dtype=np.int32, count=total)
+    return seq, start
 
 
 def _core_bigrams(core: list[bytes]):
@@ -108,9 +102,9 @@ def _core_bigrams(core: list[bytes]):
     size = len(core) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, total = _Unknown({w: i for i, w in enumerate(core)}), np.zeros(size * size, dtype=np.int64)
+        index, total = {w: i for i, w in enumerate(core)}, np.zeros(size * size, dtype=np.int64)
         for _, _, texts in _texts(batches):
-            seq, _ = _sequence(texts, index, len(core))
+            seq, _ = _sequence(_words(texts), index, len(core), -1)
             a, b = seq[:-1].astype(np.int64), seq[1:]
             both = (a >= 0) & (b >= 0)
             np.add.at(total, a[both] * size + b[both], 1)
@@ -173,6 +167,13 @@ def _blocks(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
 
 
+def _bytes_of(column: pa.Array) -> np.ndarray:
+    """The bytes of all values of a binary column, end to end."""
+    column = column.cast(pa.binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+
+
 def _neighbour_scores(core: list[bytes], cls: np.ndarray, after: np.ndarray, before: np.ndarray):
     """(word, n, s): a word's count and, for each class, the likelihood of its
     neighbours if the word were in it (little-endian 32-bit floats)."""
@@ -180,13 +181,7 @@ def _neighbour_scores(core: list[bytes], cls: np.ndarray, after: np.ndarray, bef
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {w: int(c) for w, c in zip(core, cls)}
-
-        class Numbers(dict):
-            def __missing__(self, word):
-                self[word] = i = len(self) + 1  # number 0 is the end
-                return i
-
-        index, held, tokens = Numbers(), [], 0
+        index, held, tokens = defaultdict(count(1).__next__), [], 0  # number 0 is the end
 
         def flush() -> pa.RecordBatch:
             seq = np.concatenate(held)
@@ -201,14 +196,15 @@ def _neighbour_scores(core: list[bytes], cls: np.ndarray, after: np.ndarray, bef
             for own, other, weight in ((seq[:-1], k[1:], after), (seq[1:], k[:-1], before)):
                 times = np.bincount(own.astype(np.int64) * (states + 1) + other, minlength=size * (states + 1))
                 score += times.reshape(size, states + 1)[:, :states] @ weight
-            count = np.bincount(seq, minlength=size)
+            n = np.bincount(seq, minlength=size)
             s = _blocks(score[1:].astype("<f4"), np.arange(size) * 4 * classes)
             index.clear()
+            index.default_factory = count(1).__next__
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(count[1:]), s], ["word", "n", "s"])
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(n[1:]), s], ["word", "n", "s"])
 
         for _, _, texts in _texts(batches):
-            held.append(_sequence(texts, index, 0)[0])
+            held.append(_sequence(_words(texts), index, 0)[0])
             tokens += len(held[-1])
             if len(index) > _FLUSH or tokens > _HELD:
                 if index:
@@ -226,24 +222,26 @@ def _added(classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # the last word may go on in the next batch
 
-        def out(words, n, s) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array(1 + np.argmax(s, axis=1), pa.int32())], ["word", "n", "cls"])
+        def out(words: pa.Array, n, s) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([words, pa.array(n, pa.int64()), pa.array(1 + np.argmax(s, axis=1), pa.int32())], ["word", "n", "cls"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            words, n = batch.column(0).to_pylist(), np.array(batch.column(1))
-            s = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype="<f4").astype(np.float64).reshape(len(words), classes)
+            words, n = batch.column(0).cast(pa.binary()), np.array(batch.column(1))
+            s = _bytes_of(batch.column(2)).view("<f4").astype(np.float64).reshape(len(words), classes)
             if held:
-                words, n, s = [held[0], *words], np.concatenate([[held[1]], n]), np.concatenate([held[2][None], s])
-            first = np.array([i for i in range(len(words)) if not i or words[i] != words[i - 1]])
+                words, n, s = pa.concat_arrays([held[0], words]), np.concatenate([held[1], n]), np.concatenate([held[2], s])
+            other = pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)
+            first = np.concatenate([[0], 1 + np.flatnonzero(other)])
             n, s = np.add.reduceat(n, first), np.add.reduceat(s, first, axis=0)
-            words = [words[i] for i in first]
-            held = (words[-1], n[-1], s[-1])
-            if len(words) > 1:
-                yield out(words[:-1], n[:-1], s[:-1])
+            words = words.take(pa.array(first))
+            last = len(words) - 1
+            held = (words.slice(last), n[last:], s[last:])
+            if last:
+                yield out(words.slice(0, last), n[:last], s[:last])
         if held:
-            yield out([held[0]], [held[1]], held[2][None])
+            yield out(*held)
 
     return run
 
@@ -277,7 +275,7 @@ def _encode(table: dict, end_count: int, log_emit_end: float, n_classes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, cls, base, emit = table.value
-        index = _Unknown({w: i for i, w in enumerate(words.split(b"\n") if words else [])})
+        index = {w: i for i, w in enumerate(words.split(b"\n") if words else [])}
         end = len(cls)  # number of the end; -1, the last entry, is "not in the table"
         cls = np.concatenate([cls, [_END, -1]]).astype(np.int64)
         base = np.concatenate([base, [np.log10(end_count + 1), 0.0]])
@@ -285,7 +283,8 @@ def _encode(table: dict, end_count: int, log_emit_end: float, n_classes: int):
         row = TaskContext.get().partitionId() << 33
         for batch, part, texts in _texts(batches, 2):
             n = len(texts)
-            seq, start = _sequence(texts, index, end)
+            split = _words(texts)
+            seq, start = _sequence(split, index, end, -1)
             k = cls[seq]
             size = np.diff(np.concatenate([start, [len(seq) - 1]]))  # tokens, the end included
             doc = np.repeat(np.arange(n), size)  # of every token but the first end
@@ -298,7 +297,6 @@ def _encode(table: dict, end_count: int, log_emit_end: float, n_classes: int):
             known = np.add.reduceat(((token != end) & (here >= 0)).astype(np.int64), start) + (end_count > 0)
             rare = np.flatnonzero(here < 0)
             lists = np.concatenate([[0], np.cumsum(np.bincount(doc[rare], minlength=n))]).astype(np.int32)
-            split = _words(texts)
             rare_at = rare - start[doc[rare]]
             rare_words = pa.array([split[d][i] for d, i in zip(doc[rare].tolist(), rare_at.tolist())], pa.binary())
             after = np.append(k, _END)[rare + 2]
@@ -355,8 +353,8 @@ def _pairs(states: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(states * states)
         for batch in batches:
-            for codes, times in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                np.add.at(total, np.frombuffer(codes, "<u2").astype(np.int64), np.frombuffer(times, "<u4"))
+            if batch.num_rows:
+                total += np.bincount(_bytes_of(batch.column(0)).view("<u2"), weights=_bytes_of(batch.column(1)).view("<u4"), minlength=len(total))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some].astype(np.int64))], ["pair", "n"])
 

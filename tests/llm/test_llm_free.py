@@ -8,10 +8,12 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -235,6 +237,33 @@ def test_lm_edge_cases(spark, odd):
     assert lm.score(odd.where("false"), F.lit(True)).collect() == []
 
 
+def test_lm_splits_a_text_once_in_each_pass(monkeypatch):
+    """The rare words of a text come from the same split as its numbers."""
+    texts, split = [b"a b rare", b"", b"rare a"], []
+    plain = lm._words
+    monkeypatch.setattr(lm, "_words", lambda t: split.extend(t) or plain(t))
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    table = SimpleNamespace(value=(b"a\nb", np.array([1, 2]), np.zeros(2), np.zeros(2)))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([False] * 3), pa.array(texts)], ["id", "held_out", "text"])
+    out = pa.Table.from_batches(lm._encode(table, 3, 0.0, 2)(iter([batch]))).to_pylist()
+    assert split == texts
+    assert [r["n_tokens"] for r in out] == [4, 1, 3] and [r["rare"] for r in out] == [[b"rare"], [], [b"rare"]]
+    assert [r["places"] for r in out] == [[{"at": 2, "l": 2, "r": 0}], [], [{"at": 0, "l": 0, "r": 1}]]
+
+
+def test_lm_scores_of_a_word_add_up_over_batches():
+    rng, words = np.random.default_rng(5), sorted([b"a"] * 7 + [b"b"] + [b"c"] * 4 + [b"d", b"e"] + [b"f"] * 3)
+    n, s = np.arange(1, len(words) + 1), rng.random((len(words), 4)).astype("<f4")
+    for cut in (1, 2, 5, 100):
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(words[i : i + cut]), pa.array(n[i : i + cut]), pa.array([x.tobytes() for x in s[i : i + cut]])], ["word", "n", "s"])
+            for i in range(0, len(words), cut)
+        ]
+        got = pa.Table.from_batches(lm._added(4)(iter(batches))).to_pylist()
+        own = {w: [i for i, x in enumerate(words) if x == w] for w in words}
+        assert got == [{"word": w, "n": n[i].sum(), "cls": 1 + s[i].astype(float).sum(0).argmax()} for w, i in own.items()]
+
+
 # nearest neighbours ----------------------------------------------------------
 
 
