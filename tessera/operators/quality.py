@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import is_blank
+from .joins import without_match
 
 
 class ConstraintViolation(ValueError):
@@ -27,11 +28,10 @@ def unique_violations(df: DataFrame, key: list[str]) -> DataFrame:
 
 def fk_violations(child: DataFrame, child_key: list[str], parent: DataFrame, parent_key: list[str]) -> DataFrame:
     """FOREIGN KEY: child rows whose (non-NULL) key has no parent row."""
-    p = parent.select(*[F.col(pk).alias(ck) for pk, ck in zip(parent_key, child_key)]).distinct()
     c = child
     for k in child_key:
         c = c.filter(F.col(k).isNotNull())  # NULL reference passes
-    return c.join(p, child_key, "left_anti")
+    return without_match(c, parent, child_key, parent_key).select(*child_key, *[k for k in c.columns if k not in child_key])
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

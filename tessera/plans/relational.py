@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import money, out, ratio, units
 from ..session import cut_lineage
-from ..operators.joins import outer_join
+from ..operators.joins import outer_join, without_match
 from ..sources.tables import Tables
 from .registry import register
 
@@ -199,9 +199,8 @@ def q_full_outer_emulated(spark, sf_dir):
     left, right = o.alias("o"), li.alias("l")
     same = F.col("o.o_orderkey") == F.col("l.l_orderkey")
     matched = left.join(right, same).select("o.o_orderkey", "l.l_orderkey", "l.l_linenumber")
-    lines, orders = li.select("l_orderkey").distinct(), o.select("o_orderkey").distinct()
-    left_only = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
-    right_only = li.join(orders, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+    left_only = without_match(o, li, ["o_orderkey"], ["l_orderkey"])
+    right_only = without_match(li, o, ["l_orderkey"], ["o_orderkey"])
     return matched.unionByName(left_only, allowMissingColumns=True).unionByName(right_only, allowMissingColumns=True)
 
 
@@ -227,8 +226,7 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
 def q_anti_join(spark, sf_dir):
     t = Tables(spark, sf_dir)
     # distinct keys first: a hot order key on the probed side becomes one row
-    li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    return t.orders.select("o_orderkey", "o_custkey").join(li, "o_orderkey", "left_anti")
+    return without_match(t.orders.select("o_orderkey", "o_custkey"), t.lineitem, ["o_orderkey"], ["l_orderkey"])
 
 
 @register(
